@@ -44,7 +44,13 @@ def _network(ip: str, bits: int) -> str:
 
 
 _FIELD = "json_extract_string(line, '$.{}')".format
-_SAFE = f"SELECT *, CASE WHEN json_valid(line) THEN line END AS good FROM ({LINES})"
+
+
+def _safe(lines: str) -> str:
+    return f"SELECT *, CASE WHEN json_valid(line) THEN line END AS good FROM ({lines})"
+
+
+_SAFE = _safe(LINES)
 _STATUS = (
     "CASE WHEN good IS NULL THEN 'bad_json' "
     "WHEN json_extract_string(good, '$.srcIP') IS NULL OR json_extract_string(good, '$.dstIP') IS NULL THEN 'missing_ip' "
@@ -71,6 +77,19 @@ _GEO = (
 _INJECTED_FEATURES = V.features_sql(INJECTED)
 
 
+def _valid_flows(source: str) -> str:
+    lines = f"WITH f AS ({source}) {V.duck(V.LINES, 'f')}"
+    return (
+        f"SELECT event_id, event_ts, {_typed_fields()} FROM "
+        f"(SELECT *, {_STATUS} AS status FROM ({_safe(lines)})) WHERE status = 'ok'"
+    )
+
+
+# the job sees the injected lines, without the rejected ones
+_JOB_FEATURES = V.features_sql(_valid_flows(INJECTED))
+_COUNTS = "number_of_records, number_of_unique_ips, number_of_unique_ports"
+
+
 def _scored(select: str, **kwargs: object) -> str:
     return f"WITH {V.scored_sql(_INJECTED_FEATURES, **kwargs)} {select}"
 
@@ -149,6 +168,9 @@ _DATED = f"SELECT *, CAST(substr(transaction_time, 1, 10) AS DATE) AS dt FROM ({
 
 _DAY_FEATURES = V.features_sql(FLOW)
 
+_JOB_OUTLIERS = f"WITH {V.scored_sql(_JOB_FEATURES)} SELECT {KEYS}, {_COUNTS}, {_OUTLIER_TAIL}"
+_ALERTS = f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({_RULE}) WHERE logistic >= 0.99"
+
 ORACLES: dict[str, str] = {
     "flow_features": _DAY_FEATURES,
     "flow_features_minute": V.features_sql(FLOW, 60),
@@ -262,6 +284,16 @@ ORACLES: dict[str, str] = {
     "publish_messages": f"SELECT CAST(to_json(struct_pack(event_id := event_id, {', '.join(f'{c} := {c}' for c in FLOW_LOG.fieldNames())})) AS VARCHAR) AS value, "
     f"'event_type' AS header, 'netflow' AS event_type FROM ({FLOW})",
     "load_features_table": f"SELECT * EXCLUDE (dt) FROM ({_DATED}) WHERE dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'",
+    "flow_job_features": _JOB_FEATURES,
+    "flow_job_outliers": _JOB_OUTLIERS,
+    "flow_job_raw": "SELECT f.* EXCLUDE (event_id, event_ts), g.geoCountry, g.geoCity, g.latitude, g.longitude "
+    f"FROM ({_valid_flows(INJECTED)}) f LEFT JOIN ({V.duck(V.GEO, 'nation JOIN region ON n_regionkey = r_regionkey')}) g "
+    f"ON {_ip_number('f.srcIP')} BETWEEN g.start_ip AND g.end_ip",
+    "fraud_job_alerts": _ALERTS,
+    "stream_features": V.features_sql(_valid_flows(FLOW)),
+    "stream_outliers": _JOB_OUTLIERS,
+    "stream_request_instances": f"SELECT transactionId, type, amount FROM ({TRANSACTIONS})",
+    "stream_alerts": _ALERTS,
     "csv_labelled_scan": f"SELECT step, isFraud, type, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest, transactionId FROM ({TRANSACTIONS}) WHERE isFraud = 1",
     "centroids_json_load": f"WITH {V.normalized_sql()} SELECT centroid_id, round(normalized_dest, 5) AS normalized_dest, {VECTOR} FROM normalized",
 }

@@ -347,6 +347,7 @@ def _documents(spark, sf):
         batch_bytes=REQUEST_BYTES,
         window_seconds=REQUEST_WINDOW,
         shard=_order_shard(),
+        order="o_orderkey",
     )
 
 
@@ -512,7 +513,7 @@ def load_features_table(spark, sf):
         spark,
         table,
         FEATURES,
-        [sinks.DATE_COLUMN, sinks.LOAD_COLUMN],
+        [sinks.LOAD_COLUMN, sinks.DATE_COLUMN],
         scratch_path(spark, "features"),
     )
     rows = sinks.with_date(V.features(spark, sf))

@@ -57,10 +57,11 @@ def requests(
     window_seconds: int = 5,
     event_time: str = "event_ts",
     shard: Column | None = None,
+    order: str = KEY_COLUMN,
 ) -> DataFrame:
     """Size-bounded request documents per window and shard."""
     rows = transactions.select(
-        KEY_COLUMN,
+        order,
         F.window(event_time, f"{window_seconds} seconds").start.alias("_start"),
         (shard if shard is not None else shard_of(F.col(KEY_COLUMN), key_range)).alias("_part"),
         instance_json().alias("instance"),
@@ -69,7 +70,7 @@ def requests(
         rows,
         payload="instance",
         shard=F.col("_part"),
-        order=[KEY_COLUMN],
+        order=[order],
         limit=batch_bytes,
         window=F.col("_start"),
     )

@@ -52,15 +52,14 @@ def flow_frames(lines: DataFrame, options: FlowOptions = FlowOptions()) -> FlowF
     """Valid flows, rejects and features of `line, event_ts` records."""
     if options.arrival_time or "event_ts" not in lines.columns:
         lines = with_arrival_time(lines)
+    if lines.isStreaming:
+        lines = with_watermark(lines, "event_ts", options.allowed_lateness_seconds)
     parsed = parse_flow_lines(lines)
     flows = valid_rows(parsed)
     if options.restamp:
         flows = restamp(flows)
-    windowed = flows
-    if lines.isStreaming:
-        windowed = with_watermark(flows, "event_ts", options.allowed_lateness_seconds)
     features = window_features(
-        windowed,
+        flows,
         window_seconds=options.window_seconds,
         subnet_form=options.subnet_form,
         mask_bits=options.mask_bits,
@@ -84,7 +83,7 @@ def create_tables(
         specs.append((options.raw_table, FLOW_LOG_GEO))
     for table, schema in specs:
         path = f"{location}/{table.split('.')[-1]}" if location else None
-        create_table(spark, table, schema, [DATE_COLUMN, LOAD_COLUMN], path)
+        create_table(spark, table, schema, [LOAD_COLUMN, DATE_COLUMN], path)
 
 
 def _layout(options: FlowOptions, cluster_by: list[str]) -> dict:

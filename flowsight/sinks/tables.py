@@ -65,11 +65,18 @@ def require_table(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
 def _laid_out(
     df: DataFrame, shards: int | None, cluster_by: list[str] | None
 ) -> DataFrame:
-    """File layout: `shards` even files per load, sorted for min/max pruning."""
+    """File layout: `shards` even tasks per load, sorted for min/max pruning.
+
+    Without `shards` the rows are written where they are, without a shuffle.
+    """
     if shards:
-        df = df.repartition(shards)
+        # the row hash alone would send all copies of one row to one shard
+        spread = F.xxhash64(F.spark_partition_id(), *df.columns)
+        df = df.withColumn("_spread", spread).repartition(shards, "_spread").drop("_spread")
     if cluster_by:
-        df = df.sortWithinPartitions(*cluster_by)
+        # led by the partition column, so that the writer has nothing left to sort
+        lead = [DATE_COLUMN] if DATE_COLUMN in df.columns else []
+        df = df.sortWithinPartitions(*lead, *cluster_by)
     return df
 
 
@@ -96,15 +103,20 @@ def load(
     shards: int | None = None,
     cluster_by: list[str] | None = None,
 ) -> None:
-    """Load `load_id` into a table partitioned by it, replacing an earlier try.
+    """Load `load_id` into a table partitioned by it first, replacing an earlier try.
 
-    A micro-batch that is run again after a failure writes its own partitions
-    over, so rows are neither lost nor doubled. Runs the query.
+    A micro-batch that is run again after a failure writes its own partition over,
+    so rows are neither lost nor doubled. Runs the query.
     """
-    numbered = df.withColumn(LOAD_COLUMN, F.lit(load_id).cast("bigint"))
-    columns = require_table(df.sparkSession, table, numbered)
-    writer = _laid_out(numbered, shards, cluster_by).select(*columns).write
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    columns = require_table(df.sparkSession, table, df)
+    data = [c for c in columns if c != LOAD_COLUMN]
+    spec = f"{LOAD_COLUMN} = {int(load_id)}"
+    if DATE_COLUMN in columns:
+        spec += f", {DATE_COLUMN}"
+    df.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{rows}}",
+        rows=_laid_out(df, shards, cluster_by).select(*data),
+    )
 
 
 def load_checked(

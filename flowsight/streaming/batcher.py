@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from flowsight.operators.batching import request_text
 
 _OUTPUT = (
-    "window_start timestamp, shard int, batch_id bigint, n_rows bigint, "
+    "window_start bigint, shard bigint, batch_id bigint, n_rows bigint, "
     "n_bytes bigint, request string"
 )
 
@@ -31,8 +31,7 @@ class WindowBatcher(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
             self.rows.appendList([(text,) for text in frame["payload"]])
-        end = int(pd.Timestamp(key[1]).tz_localize(None).timestamp() * 1000)
-        self.handle.registerTimer(end)
+        self.handle.registerTimer(int(key[1]) // 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -52,8 +51,8 @@ class WindowBatcher(StatefulProcessor):
     def _document(self, key, batch: int, texts: list[str], size: int) -> pd.DataFrame:
         return pd.DataFrame(
             {
-                "window_start": [key[0]],
-                "shard": [key[2]],
+                "window_start": [int(key[0])],
+                "shard": [int(key[2])],
                 "batch_id": [batch],
                 "n_rows": [len(texts)],
                 "n_bytes": [size],
@@ -73,16 +72,17 @@ def stream_requests(
     window_seconds: int = 5,
     event_time: str = "event_ts",
 ) -> DataFrame:
-    """Request documents per window and shard of a watermarked stream.
+    """Request documents per window and shard of a watermarked stream, in the shape
+    of the batch operator (`window_start` in epoch microseconds).
 
     Needs the RocksDB state store. Rows past the watermark are dropped.
     """
     window = F.window(event_time, f"{window_seconds} seconds")
     keyed = rows.select(
         event_time,
-        window.start.alias("window_start"),
-        window.end.alias("window_end"),
-        shard.cast("int").alias("shard"),
+        F.unix_micros(window.start).alias("window_start"),
+        F.unix_micros(window.end).alias("window_end"),
+        shard.cast("bigint").alias("shard"),
         payload.alias("payload"),
     )
     return keyed.groupBy("window_start", "window_end", "shard").transformWithStateInPandas(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from flowsight.session import ROCKSDB_PROVIDER
 
 
 def with_watermark(
@@ -20,32 +24,55 @@ def with_watermark(
     return df.withWatermark(event_time, f"{lateness_seconds} seconds")
 
 
-def run_to_end(start: Callable[[], StreamingQuery]) -> StreamingQuery:
-    """Start an availableNow query and wait for it."""
-    query = start()
-    query.awaitTermination()
-    return query
+def run_to_end(start: Callable[[], list[StreamingQuery]]) -> None:
+    """Start availableNow queries and wait for them, with their state on disk."""
+    spark = SparkSession.active()
+    with state_on_disk(spark):
+        queries = start()
+    for query in queries:
+        query.awaitTermination()
 
 
 def write_sentinel(
-    spark: SparkSession, like: DataFrame, directory: str, event_time: str = "event_ts"
+    spark: SparkSession,
+    schema: StructType,
+    directory: str,
+    event_time: str = "event_ts",
+    **values: object,
 ) -> None:
-    """One all-null record far in the future, for a source folder of its own.
+    """One record far in the future, for a source folder of its own.
 
     A stream only closes the windows its watermark has passed. When input has ended
     for good, start the query once more with this record in reach: it closes every
-    window of real data and its own window never closes.
+    window of real data, and its own window never closes. `values` make it pass the
+    filters in front of the watermark, which Spark evaluates first.
     """
-    far = F.lit("9999-01-01 00:00:00").cast("timestamp")
+    # within the range of nanosecond timestamps, which Arrow hands to pandas
+    far = F.lit("2200-01-01 00:00:00").cast("timestamp")
     row = spark.range(1).select(
         *[
-            (far if f.name == event_time else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in like.schema
+            (far if f.name == event_time else F.lit(values.get(f.name)).cast(f.dataType)).alias(f.name)
+            for f in schema
         ]
     )
     row.coalesce(1).write.mode("append").parquet(directory)
 
 
-def empty_folder(spark: SparkSession, like: DataFrame, directory: str) -> None:
-    """Create `directory` as an empty parquet source with the schema of `like`."""
-    spark.createDataFrame([], like.schema).write.mode("append").parquet(directory)
+def empty_source(spark: SparkSession, schema: StructType, directory: str) -> None:
+    """Create `directory` as a parquet source without rows."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(directory)
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB, not on the heap."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
