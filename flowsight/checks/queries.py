@@ -169,7 +169,6 @@ def nearest_centroid(spark, sf):
     rows = scoring.nearest_centroid(
         V.features(spark, sf, injected=True),
         V.normalized_centroids(spark, sf),
-        V.N_CLUSTERS,
     )
     return rows.select(
         *KEYS,
@@ -180,7 +179,7 @@ def nearest_centroid(spark, sf):
 
 def centroid_distance(spark, sf):
     rows = scoring.centroid_distances(
-        V.features(spark, sf), V.normalized_centroids(spark, sf), V.N_CLUSTERS
+        V.features(spark, sf), V.normalized_centroids(spark, sf)
     )
     names = [f"distance_{i + 1}" for i in range(V.N_CLUSTERS)]
     return _rounded(rows.select(*KEYS, *names), 6, *names)
@@ -190,7 +189,6 @@ def row_spread(spark, sf):
     rows = scoring.score_rows(
         V.features(spark, sf, injected=True),
         V.normalized_centroids(spark, sf),
-        V.N_CLUSTERS,
     )
     numbers = ["normalized_dest", "spread"]
     return _rounded(rows.select(*KEYS, "centroid_id", *numbers), 5, *numbers)
@@ -200,7 +198,6 @@ def outliers(spark, sf):
     return scoring.find_outliers(
         V.features(spark, sf, injected=True),
         V.normalized_centroids(spark, sf),
-        n_centroids=V.N_CLUSTERS,
     )
 
 
@@ -208,7 +205,6 @@ def outliers_rotated_counts(spark, sf):
     return scoring.find_outliers(
         V.features(spark, sf, injected=True),
         V.normalized_centroids(spark, sf),
-        n_centroids=V.N_CLUSTERS,
         rotate_counts=True,
     )
 
@@ -231,14 +227,14 @@ def centroid_spread_compat(spark, sf):
 def _steps(spark, sf):
     rows = V.features(spark, sf)
     start = V.centroids(spark, sf)
-    first, info_1 = clustering.kmeans_step(rows, start, V.N_CLUSTERS, 1)
-    second, info_2 = clustering.kmeans_step(rows, first, V.N_CLUSTERS, 2)
+    first, info_1 = clustering.kmeans_step(rows, start, 1)
+    second, info_2 = clustering.kmeans_step(rows, first, 2)
     return second, info_1.unionByName(info_2)
 
 
 def kmeans_one_step(spark, sf):
     rows, start = V.features(spark, sf), V.centroids(spark, sf)
-    updated, _ = clustering.kmeans_step(rows, start, V.N_CLUSTERS)
+    updated, _ = clustering.kmeans_step(rows, start)
     return _rounded(updated, 6, *VECTOR_COLUMNS)
 
 

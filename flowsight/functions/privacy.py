@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 TOKEN_PREFIX = "IMSI_TOKEN"
 
 # Patterns of the inspected kinds. Word borders are spelt out in
-# ASCII because Java's \b follows Unicode letters.
+# ASCII because Java's \b follows Unicode letters, and looked for behind the first
+# digit because most characters are none.
 SENSITIVE_PATTERNS = {
-    "imsi": r"(?<![0-9A-Za-z_])[0-9]{14,15}(?![0-9A-Za-z_])",
+    "imsi": r"[0-9](?<![0-9A-Za-z_][0-9])[0-9]{13,14}(?![0-9A-Za-z_])",
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "ipv4": r"(?<![0-9A-Za-z_])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z_])",
+    "ipv4": r"[0-9](?<![0-9A-Za-z_][0-9])[0-9]{0,2}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9A-Za-z_])",
 }
 
 
@@ -57,6 +58,18 @@ def tokenize_columns(
     return df.withColumns({c: tokenize(F.col(c), key, prefix) for c in columns})
 
 
+# Text without this character holds none of the kind.
+_NEEDED = {"email": "@", "ipv4": "."}
+
+
+def count_sensitive(text: Column, kind: str, pattern: str) -> Column:
+    """Matches of the pattern; the regex is skipped where it cannot match."""
+    count = F.regexp_count(text, F.lit(pattern))
+    if kind in _NEEDED:
+        count = F.when(F.contains(text, F.lit(_NEEDED[kind])), count)
+    return F.coalesce(count, F.lit(0))
+
+
 def inspect_columns(
     df: DataFrame,
     columns: list[str] | tuple[str, ...],
@@ -66,9 +79,7 @@ def inspect_columns(
     kinds = kinds or SENSITIVE_PATTERNS
     return df.withColumns(
         {
-            f"{c}_{kind}_count": F.coalesce(
-                F.regexp_count(F.col(c), F.lit(pattern)), F.lit(0)
-            )
+            f"{c}_{kind}_count": count_sensitive(F.col(c), kind, pattern)
             for c in columns
             for kind, pattern in kinds.items()
         }

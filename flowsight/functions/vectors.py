@@ -1,14 +1,12 @@
-"""Feature-vector arithmetic over named columns.
+"""Feature-vector arithmetic over named columns, as SQL expression text.
 
-The ten dimensions are fixed, so sums are written out term by term: they stay in
-generated code, where an array with a lambda would not.
+The ten dimensions are fixed, so sums are written out term by term over columns
+that cannot be null: the generated code stays small enough to be compiled.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from flowsight.schemas import VECTOR_COLUMNS
@@ -18,39 +16,28 @@ def feature_vector() -> Column:
     return F.array(*[F.col(c).cast("double") for c in VECTOR_COLUMNS])
 
 
-def sum_of(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms)
+def not_null(names: list[str] = VECTOR_COLUMNS) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in names)
+
+
+def as_double(name: str) -> str:
+    """The column as a double that cannot be null, for rows that passed `not_null`."""
+    return f"coalesce(CAST({name} AS DOUBLE), 0D)"
 
 
 def differences(
-    centroid: Column, scale: dict[str, float] | None = None
-) -> list[Column]:
-    """Row minus centroid per dimension; `scale` divides each by its deviation."""
-    out = []
-    for name in VECTOR_COLUMNS:
-        diff = F.col(name).cast("double") - centroid[name]
-        if scale is not None:
-            diff = diff / F.lit(float(scale[name]) or 1.0)
-        out.append(diff)
-    return out
-
-
-def euclidean(diffs: list[Column]) -> Column:
-    return F.sqrt(sum_of([d * d for d in diffs]))
-
-
-def with_spread(df: DataFrame, centroid: Column, name: str = "spread") -> DataFrame:
-    """Adds the sample standard deviation of the ten differences to `centroid`."""
-    diff_names = [f"_diff_{c}" for c in VECTOR_COLUMNS]
-    n = len(diff_names)
-    staged = df.withColumns(dict(zip(diff_names, differences(centroid))))
-    staged = staged.withColumn(
-        "_diff_mean", sum_of([F.col(d) for d in diff_names]) / F.lit(float(n))
-    )
-    squares = [
-        (F.col(d) - F.col("_diff_mean")) * (F.col(d) - F.col("_diff_mean"))
-        for d in diff_names
-    ]
-    return staged.withColumn(
-        name, F.sqrt(sum_of(squares) / F.lit(float(n - 1)))
-    ).drop("_diff_mean", *diff_names)
+    left: list[str], right: list[str], scale: list[float] | None = None
+) -> list[str]:
+    """left - right per dimension; `scale` divides each by its deviation."""
+    diffs = [f"({a} - {b})" for a, b in zip(left, right)]
+    if scale is None:
+        return diffs
+    return [f"({d} / {float(s) or 1.0!r}D)" for d, s in zip(diffs, scale)]
+
+
+def sum_of_squares(terms: list[str]) -> str:
+    return "(" + " + ".join(f"{t} * {t}" for t in terms) + ")"
+
+
+def euclidean(diffs: list[str]) -> str:
+    return f"sqrt({sum_of_squares(diffs)})"

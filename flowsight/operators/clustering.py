@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsight.functions.vectors import differences, euclidean, sum_of
+from flowsight.functions.vectors import as_double, differences, euclidean
 from flowsight.operators.sampling import take_seeded
 from flowsight.operators.scoring import nearest_centroid
 from flowsight.schemas import CENTROIDS_LONG, TRAINING_INFO, VECTOR_COLUMNS
@@ -100,12 +100,14 @@ def centroid_rows(
     assigned: DataFrame, columns: list[str] = VECTOR_COLUMNS
 ) -> DataFrame:
     """Cluster means in the long form, from rows that carry a centroid_id."""
-    means = assigned.groupBy("centroid_id").agg(
-        *[F.avg(c).alias(c) for c in columns]
-    )
+    means = _means(assigned, columns)
     return means.unpivot("centroid_id", columns, "feature", "numerical_value")
 
 
+def _means(rows: DataFrame, columns: list[str] = VECTOR_COLUMNS) -> DataFrame:
+    return rows.groupBy("centroid_id").agg(*[F.avg(c).alias(c) for c in columns])
+
+
 def pivot_centroids(long: DataFrame, columns: list[str] = VECTOR_COLUMNS) -> DataFrame:
     """One row per cluster, one column per feature, rounded to one decimal."""
     entries = F.struct("feature", F.round("numerical_value", 1).alias("value"))
@@ -117,14 +119,14 @@ def pivot_centroids(long: DataFrame, columns: list[str] = VECTOR_COLUMNS) -> Dat
     )
 
 
-def _summed_difference(compat: bool) -> Column:
+def _summed_difference(compat: bool) -> str:
     terms = []
     for name in VECTOR_COLUMNS:
         other = name
         if compat and name in ("avg_tx_bytes", "avg_rx_bytes"):
             other = name.replace("avg", "min")
-        terms.append(F.col(f"p.{name}") - F.col(f"c.{other}"))
-    return sum_of(terms)
+        terms.append(f"(p.{name} - c.{other})")
+    return " + ".join(terms)
 
 
 def centroid_spread(
@@ -142,7 +144,7 @@ def centroid_spread(
     if compat:
         out["min_rx_bytes"] = "min_tx_bytes"
     return joined.groupBy("centroid_id").agg(
-        F.stddev_samp(_summed_difference(compat)).alias("normalized_dest"),
+        F.stddev_samp(F.expr(_summed_difference(compat))).alias("normalized_dest"),
         *[F.any_value(f"c.{source}").alias(name) for name, source in out.items()],
     )
 
@@ -191,38 +193,30 @@ def iteration_info(scored: DataFrame, iteration: int) -> DataFrame:
 def model_training_info(model: PipelineModel, assigned: DataFrame, centroids: DataFrame) -> DataFrame:
     """Training-info row of the last iteration of a fitted model, radii in the
     standardised space the model was trained in."""
-    scale = feature_deviations(model)
-    joined = assigned.alias("p").join(
-        centroids.select(
-            "centroid_id", F.struct(*VECTOR_COLUMNS).alias("_centroid")
-        ),
-        "centroid_id",
-    )
-    scored = joined.withColumn(
-        "distance", euclidean(differences(F.col("_centroid"), scale))
+    deviations = feature_deviations(model)
+    joined = assigned.alias("p").join(centroids.alias("c"), "centroid_id")
+    diffs = differences(
+        [as_double(f"p.{c}") for c in VECTOR_COLUMNS],
+        [as_double(f"c.{c}") for c in VECTOR_COLUMNS],
+        [deviations[c] for c in VECTOR_COLUMNS],
     )
+    scored = joined.select("centroid_id", F.expr(euclidean(diffs)).alias("distance"))
     return iteration_info(scored, model.stages[2].summary.numIter)
 
 
 def kmeans_step(
-    rows: DataFrame, centroids: DataFrame, n_centroids: int, iteration: int = 1
+    rows: DataFrame, centroids: DataFrame, iteration: int = 1
 ) -> tuple[DataFrame, DataFrame]:
     """One assign-and-update step from given centroids: (new centroids, info).
 
     Assignment is a projection, the update one partial aggregation to k rows. A
-    cluster that loses its last row disappears.
+    cluster that loses its last row disappears. Reads the given centroids, so a
+    chain of steps runs one job each and carries no lineage along.
     """
-    start = centroids.withColumn("normalized_dest", F.lit(None).cast("double"))
-    scored = nearest_centroid(rows, start, n_centroids).withColumns(
-        {
-            "centroid_id": F.col("nearest.centroid_id"),
-            "distance": F.col("nearest.distance"),
-        }
-    )
-    updated = scored.groupBy("centroid_id").agg(
-        *[F.avg(c).alias(c) for c in VECTOR_COLUMNS]
+    scored = nearest_centroid(rows, centroids).withColumns(
+        {c: F.col(f"nearest.{c}") for c in ("centroid_id", "distance")}
     )
-    return updated, iteration_info(scored, iteration)
+    return _means(scored), iteration_info(scored, iteration)
 
 
 def write_or_replace(df: DataFrame, table: str, **options: str) -> None:

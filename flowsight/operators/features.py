@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from flowsight.functions.netaddr import DEFAULT_MASK_BITS, subnet
 from flowsight.functions.scalars import duration_ms, utc_text
+from flowsight.schemas import FEATURES
 
 # Fixed value: 2^20 sketch entries, so counts are exact below about a million.
 DEFAULT_LG_K = 20
 
+OUTPUT_COLUMNS = FEATURES.fieldNames()[3:]
+
 _VALUE_COLUMNS = [("tx_bytes", "txBytes"), ("rx_bytes", "rxBytes"), ("duration", "duration")]
 
 
@@ -90,35 +93,15 @@ def window_features(
     else:
         raise ValueError(f"unknown distinct form {distinct!r}")
 
-    ints = [
-        "number_of_records",
-        "number_of_unique_ips",
-        "number_of_unique_ports",
-        "max_tx_bytes",
-        "min_tx_bytes",
-        "max_rx_bytes",
-        "min_rx_bytes",
-        "max_duration",
-        "min_duration",
-    ]
-    narrowed = grouped.withColumns({c: F.col(c).cast("int") for c in ints})
-    return narrowed.select(
+    def column(name: str) -> Column:
+        return F.col(name).cast("int").alias(name) if not name.startswith("avg") else F.col(name)
+
+    return grouped.select(
         *(["window"] if keep_window else []),
         "subscriber_id",
         "dst_subnet",
         utc_text(F.col("window.end")).alias("transaction_time"),
-        "number_of_records",
-        "number_of_unique_ips",
-        "number_of_unique_ports",
-        "max_tx_bytes",
-        "min_tx_bytes",
-        "avg_tx_bytes",
-        "max_rx_bytes",
-        "min_rx_bytes",
-        "avg_rx_bytes",
-        "max_duration",
-        "min_duration",
-        "avg_duration",
+        *[column(c) for c in OUTPUT_COLUMNS],
     )
 
 

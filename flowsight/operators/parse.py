@@ -22,14 +22,14 @@ def _parse(lines: DataFrame, schema: StructType) -> DataFrame:
     with_corrupt = StructType(
         schema.fields + [StructField(_CORRUPT, StringType(), True)]
     )
-    parsed = lines.withColumn(
-        "record",
-        F.from_json(
-            "line",
-            with_corrupt,
-            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
-        ),
+    record = F.from_json(
+        "line",
+        with_corrupt,
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
     )
+    # Exploding the one record keeps filters on it from being pushed below, where
+    # the line would be parsed again for every field they use.
+    parsed = lines.select("*", F.explode(F.array(record)).alias("record"))
     # the parser stops behind the first object, so text after it needs its own check
     whole = F.rtrim(F.col("line")).endswith("}")
     return parsed.withColumn(

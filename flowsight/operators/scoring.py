@@ -1,124 +1,277 @@
-"""Nearest centroid, spread and the outlier test."""
+"""Nearest centroid, spread and the outlier test.
+
+The centroids are model parameters: a handful of rows that every row is compared
+with. They are read once when the scoring is set up and become constants of the
+plan, so scoring is a projection: no join, no shuffle, legal on streams.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from flowsight.functions.vectors import differences, euclidean, with_spread
+from flowsight.functions.vectors import (
+    as_double,
+    differences,
+    euclidean,
+    not_null,
+    sum_of_squares,
+)
 from flowsight.schemas import OUTLIERS, VECTOR_COLUMNS
 
 # Fixed value: a row is an outlier strictly above this score.
 THRESHOLD = 2.0
 
-# Distances are written out per centroid up to here (generated code), and
-# computed with a lambda over the array beyond.
-UNROLL_LIMIT = 16
-# Centroids per array; larger models use several arrays.
-BLOCK_SIZE = 1024
+# Up to this many centroids the distances are written out in generated code; the
+# code of more would be too large to be compiled, and Arrow batches are faster.
+UNROLL_LIMIT = 6
+# Centroids per pass over the rows, and per distance matrix inside a pass.
+PASS_SIZE, MATRIX_SIZE = 100_000, 256
+
+_N = len(VECTOR_COLUMNS)
+_RESULT = StructType(
+    [
+        StructField("distance", DoubleType()),
+        StructField("centroid_id", IntegerType()),
+        StructField("normalized_dest", DoubleType()),
+        StructField("spread", DoubleType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class Centroids:
+    """Centroids sorted by id: ids, normalised spreads (NaN for none) and vectors."""
+
+    ids: np.ndarray
+    norms: np.ndarray
+    vectors: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    @property
+    def deviations(self) -> np.ndarray:
+        """Each vector minus its own mean."""
+        return self.vectors - self.vectors.sum(axis=1, keepdims=True) / _N
 
 
-def centroid_array(centroids: DataFrame, at_most: int) -> Column:
-    """The centroids as one array sorted by id, as an uncorrelated scalar subquery.
+def read_centroids(centroids: DataFrame) -> list[Centroids]:
+    """The side table as constants, in blocks of at most about PASS_SIZE rows.
 
-    Evaluated once per query; the feature side is neither joined nor shuffled.
-    More than `at_most` rows raise an error instead of growing the array; a row
-    with a null dimension is no centroid.
+    Runs the query behind it. A row with a null dimension is no centroid.
     """
-    entry = F.struct(
-        F.col("centroid_id").cast("int").alias("centroid_id"),
-        F.col("normalized_dest").cast("double").alias("normalized_dest"),
-        *[F.col(c).cast("double").alias(c) for c in VECTOR_COLUMNS],
+    norm = "normalized_dest" if "normalized_dest" in centroids.columns else "NULL"
+    rows = centroids.where(not_null(["centroid_id", *VECTOR_COLUMNS])).selectExpr(
+        "CAST(centroid_id AS INT) AS id",
+        f"CAST({norm} AS DOUBLE) AS norm",
+        *[f"CAST({c} AS DOUBLE) AS {c}" for c in VECTOR_COLUMNS],
+    )
+    first = rows.limit(PASS_SIZE + 1).collect()
+    if len(first) <= PASS_SIZE:
+        return [_block(first)] if first else []
+    parts = ceil(2 * rows.count() / PASS_SIZE)
+    slot = F.pmod(F.xxhash64("id"), F.lit(parts))
+    return [_block(rows.where(slot == p).collect()) for p in range(parts)]
+
+
+def _block(rows: list) -> Centroids:
+    rows = sorted(rows, key=lambda r: r["id"])
+    return Centroids(
+        np.array([r["id"] for r in rows], dtype=np.int32),
+        np.array([np.nan if r["norm"] is None else r["norm"] for r in rows]),
+        np.array([[r[c] for c in VECTOR_COLUMNS] for r in rows]).reshape(-1, _N),
+    )
+
+
+def _number(value: float) -> str:
+    return "CAST(NULL AS DOUBLE)" if np.isnan(value) else f"{float(value)!r}D"
+
+
+def _numbers(values: np.ndarray) -> list[str]:
+    return [_number(v) for v in values]
+
+
+def _staged(features: DataFrame) -> DataFrame:
+    """Vector columns as doubles that cannot be null, `_x0` .. `_x9`."""
+    return features.where(not_null()).selectExpr(
+        "*", *[f"{as_double(c)} AS _x{j}" for j, c in enumerate(VECTOR_COLUMNS)]
+    )
+
+
+def _distance_exprs(model: Centroids, scale: dict[str, float] | None) -> list[str]:
+    x = [f"_x{j}" for j in range(_N)]
+    by = [scale[c] for c in VECTOR_COLUMNS] if scale else None
+    return [euclidean(differences(x, _numbers(v), by)) for v in model.vectors]
+
+
+def _scored_in_code(
+    features: DataFrame,
+    model: Centroids,
+    scale: dict[str, float] | None,
+    spread_columns: list[str],
+) -> DataFrame:
+    k = len(model)
+    df = _staged(features)
+    df = df.selectExpr(
+        "*",
+        *[f"{d} AS _d{i}" for i, d in enumerate(_distance_exprs(model, scale))],
+        f"({' + '.join(as_double(c) for c in spread_columns)}) / {_N}D AS _mean",
+    )
+    if k == 1:
+        nearest, pos = "_d0", "0"
+    else:
+        nearest = f"least({', '.join(f'_d{i}' for i in range(k))})"
+        cases = "".join(f" WHEN _d{i} = _nearest THEN {i}" for i in range(k - 1))
+        pos = f"CASE{cases} ELSE {k - 1} END"
+    df = df.selectExpr("*", f"{nearest} AS _nearest").selectExpr("*", f"{pos} AS _pos")
+
+    def pick(values: list[str]) -> str:
+        return f"get(array({', '.join(values)}), _pos)"
+
+    own = [f"({as_double(c)} - _mean)" for c in spread_columns]
+    centre = [pick(_numbers(model.deviations[:, j])) for j in range(_N)]
+    spread = f"sqrt({sum_of_squares(differences(own, centre))} / {_N - 1}D)"
+    result = (
+        f"struct(_nearest AS distance, CAST({pick([str(i) for i in model.ids])} AS INT) AS centroid_id, "
+        f"{pick(_numbers(model.norms))} AS normalized_dest, {spread} AS spread)"
     )
-    complete = centroids.dropna(subset=["centroid_id", *VECTOR_COLUMNS])
-    bounded = complete.limit(at_most + 1)
-    rows = F.array_sort(F.collect_list(entry))
-    checked = F.when(F.count(F.lit(1)) <= at_most, rows).otherwise(
-        F.raise_error(F.lit(f"more than {at_most} centroids in the side table"))
+    # Exploding the one struct keeps filters on it from being pushed below, where
+    # the distances would be written out again for every use.
+    return df.selectExpr(
+        *[f"`{c}`" for c in features.columns], f"explode(array({result})) AS nearest"
     )
-    return bounded.agg(checked.alias("centroids")).scalar()
 
 
-def _nearest_in(array: Column, size: int, scale: dict[str, float] | None) -> Column:
-    """(distance, pos) of the nearest array entry; the lowest position wins a tie."""
+def _nearest_rows(
+    x: np.ndarray, model: Centroids, scale: np.ndarray | None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(distance, position) of the nearest centroid per row of `x`."""
+    best = np.full(len(x), np.inf)
+    where = np.zeros(len(x), dtype=np.int64)
+    for start in range(0, len(model), MATRIX_SIZE):
+        block = model.vectors[start : start + MATRIX_SIZE]
+        total = np.zeros((len(x), len(block)))
+        for j in range(_N):
+            d = x[:, j, None] - block[None, :, j]
+            if scale is not None:
+                d = d / scale[j]
+            total += d * d
+        distance = np.sqrt(total)
+        pos = distance.argmin(axis=1)
+        found = distance[np.arange(len(x)), pos]
+        closer = found < best
+        best[closer], where[closer] = found[closer], pos[closer] + start
+    return best, where
+
 
-    def candidate(centroid: Column, pos: Column) -> Column:
-        distance = euclidean(differences(centroid, scale))
-        return F.struct(distance.alias("distance"), pos.cast("int").alias("pos"))
+def _scored_in_batches(
+    features: DataFrame,
+    model: Centroids,
+    scale: dict[str, float] | None,
+    spread_columns: list[str],
+) -> DataFrame:
+    by = (
+        np.array([float(scale[c]) or 1.0 for c in VECTOR_COLUMNS]) if scale else None
+    )
+    extra = [f.name for f in _RESULT]
+    again = extra[0] in features.columns
+    names = [c for c in features.columns if c not in extra]
+    schema = StructType([features.schema[c] for c in names] + _RESULT.fields)
+
+    def matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+        picked = [
+            batch.column(c).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in columns
+        ]
+        return np.column_stack(picked)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deviations = model.deviations
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            distance, pos = _nearest_rows(matrix(batch, VECTOR_COLUMNS), model, by)
+            y = matrix(batch, spread_columns)
+            d = (y - y.sum(axis=1, keepdims=True) / _N) - deviations[pos]
+            spread = np.sqrt((d * d).sum(axis=1) / (_N - 1))
+            ids, norms = model.ids[pos], model.norms[pos]
+            if again:  # an earlier pass found a nearer one, or the same with a lower id
+                before = [batch.column(c).to_numpy(zero_copy_only=False) for c in extra]
+                before[2] = before[2].astype(float)
+                keep = (before[0] < distance) | ((before[0] == distance) & (before[1] < ids))
+                distance, ids, norms, spread = (
+                    np.where(keep, old, new)
+                    for old, new in zip(before, (distance, ids, norms, spread))
+                )
+            results = [
+                pa.array(distance, pa.float64()),
+                pa.array(ids.astype(np.int32), pa.int32()),
+                pa.array(norms, pa.float64(), mask=np.isnan(norms)),
+                pa.array(spread, pa.float64()),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c) for c in names] + results, names=names + extra
+            )
 
-    if size > UNROLL_LIMIT:
-        return F.array_min(F.transform(array, candidate))
-    options = []
-    for i in range(size):
-        centroid = F.get(array, F.lit(i))
-        options.append(F.when(centroid.isNotNull(), candidate(centroid, F.lit(i))))
-    return F.least(*options) if len(options) > 1 else options[0]
+    return features.where(not_null()).mapInArrow(run, schema)
 
 
 def nearest_centroid(
     features: DataFrame,
-    centroids: DataFrame,
-    n_centroids: int | None = None,
+    centroids: DataFrame | list[Centroids],
     scale: dict[str, float] | None = None,
+    spread_columns: list[str] = VECTOR_COLUMNS,
 ) -> DataFrame:
-    """Adds `nearest`: struct of distance, centroid_id, normalized_dest and vector.
+    """Adds `nearest`: distance, centroid_id, normalized_dest and the spread to it.
 
-    Ties go to the lowest id; without centroids there are no rows. `n_centroids`
-    is the size of the model; left out, the side table is counted (one small job).
-    `scale` holds a deviation per dimension to compare standardised values.
+    Ties go to the lowest id. A row with a null dimension has no nearest centroid
+    and drops out; without centroids there are no rows. `scale` holds a deviation
+    per dimension to compare standardised values. A centroid table given as
+    DataFrame is read at once; `read_centroids` reads it ahead.
     """
-    if n_centroids is None:
-        n_centroids = centroids.count()
-    blocks = max(1, ceil(n_centroids / BLOCK_SIZE))
-    if blocks == 1:
-        parts = [(centroids, max(n_centroids, 1))]
-    else:
-        # hashed, so a block may go somewhat over its even share
-        block_of = F.pmod(F.xxhash64("centroid_id"), F.lit(blocks))
-        parts = [(centroids.where(block_of == b), 2 * BLOCK_SIZE) for b in range(blocks)]
-
+    blocks = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
+    if not blocks:
+        empty = F.lit(None).cast(_RESULT)
+        return features.where(F.lit(False)).withColumn("nearest", empty)
+    if len(blocks) == 1 and len(blocks[0]) <= UNROLL_LIMIT:
+        return _scored_in_code(features, blocks[0], scale, spread_columns)
     df = features
-    winners = []
-    for b, (part, size) in enumerate(parts):
-        array, best = f"_centroids_{b}", f"_best_{b}"
-        df = df.withColumn(array, centroid_array(part, size))
-        df = df.withColumn(best, _nearest_in(F.col(array), size, scale))
-        chosen = F.get(F.col(array), F.col(f"{best}.pos"))
-        fields = [
-            chosen[c].alias(c)
-            for c in ["centroid_id", "normalized_dest", *VECTOR_COLUMNS]
-        ]
-        winner = F.struct(F.col(f"{best}.distance").alias("distance"), *fields)
-        winners.append(F.when(F.col(best).isNotNull(), winner) if len(parts) > 1 else winner)
-    nearest = F.least(*winners) if len(winners) > 1 else winners[0]
-    # Exploding the one struct keeps filters on it from being pushed below, where
-    # the distances would be written out again for every use.
-    return df.select(
-        *features.columns, F.explode(F.array(nearest)).alias("nearest")
-    ).where(F.col("nearest.distance").isNotNull())
+    for block in blocks:
+        df = _scored_in_batches(df, block, scale, spread_columns)
+    result = F.struct(*[f.name for f in _RESULT]).alias("nearest")
+    return df.select(*features.columns, result)
 
 
 def centroid_distances(
-    features: DataFrame, centroids: DataFrame, n_centroids: int
+    features: DataFrame, centroids: DataFrame | list[Centroids]
 ) -> DataFrame:
     """Adds one column `distance_<i>` per centroid, in the order of their ids."""
-    df = features.withColumn("_centroids", centroid_array(centroids, n_centroids))
-    return df.withColumns(
-        {
-            f"distance_{i + 1}": euclidean(
-                differences(F.get(F.col("_centroids"), F.lit(i)))
-            )
-            for i in range(n_centroids)
-        }
-    ).drop("_centroids")
+    blocks = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
+    exprs = [d for block in blocks for d in _distance_exprs(block, None)]
+    return _staged(features).selectExpr(
+        *[f"`{c}`" for c in features.columns],
+        *[f"{d} AS distance_{i + 1}" for i, d in enumerate(exprs)],
+    )
+
+
+# Compat: what each count column is filled from when the counts are rotated.
+_ROTATED = {
+    "number_of_records": "number_of_unique_ips",
+    "number_of_unique_ips": "number_of_unique_ports",
+    "number_of_unique_ports": "number_of_records",
+}
 
 
 def score_rows(
     features: DataFrame,
-    centroids: DataFrame,
-    n_centroids: int | None = None,
+    centroids: DataFrame | list[Centroids],
     scale: dict[str, float] | None = None,
     rotate_counts: bool = False,
 ) -> DataFrame:
@@ -127,37 +280,30 @@ def score_rows(
     `rotate_counts` (compat) shifts the three counts by one place between the
     nearest-centroid and the spread step.
     """
-    scored = nearest_centroid(features, centroids, n_centroids, scale)
+    spread_columns = VECTOR_COLUMNS
     if rotate_counts:
-        scored = scored.withColumns(
-            {
-                "number_of_records": F.col("number_of_unique_ips"),
-                "number_of_unique_ips": F.col("number_of_unique_ports"),
-                "number_of_unique_ports": F.col("number_of_records"),
-            }
-        )
-    scored = with_spread(scored, F.col("nearest"))
-    return scored.withColumns(
-        {c: F.col(f"nearest.{c}") for c in ("distance", "centroid_id", "normalized_dest")}
-    ).drop("nearest")
-
-
-def is_outlier(threshold: float = THRESHOLD) -> Column:
+        spread_columns = [_ROTATED.get(c, c) for c in VECTOR_COLUMNS]
+    scored = nearest_centroid(features, centroids, scale, spread_columns)
+    if rotate_counts:
+        scored = scored.withColumns({c: F.col(s) for c, s in _ROTATED.items()})
+    return scored.select(*features.columns, "nearest.*")
+
+
+def is_outlier(threshold: float = THRESHOLD) -> str:
     """spread / normalized_dest > threshold, written without the division.
 
     A cluster of one row has no normalized_dest and flags nothing.
     """
-    return F.col("spread") > F.lit(float(threshold)) * F.col("normalized_dest")
+    return f"spread > {float(threshold)!r}D * normalized_dest"
 
 
 def find_outliers(
     features: DataFrame,
-    centroids: DataFrame,
+    centroids: DataFrame | list[Centroids],
     threshold: float = THRESHOLD,
-    n_centroids: int | None = None,
     scale: dict[str, float] | None = None,
     rotate_counts: bool = False,
 ) -> DataFrame:
     """The feature rows that are outliers, with the id of their nearest centroid."""
-    scored = score_rows(features, centroids, n_centroids, scale, rotate_counts)
+    scored = score_rows(features, centroids, scale, rotate_counts)
     return scored.where(is_outlier(threshold)).select(*[f.name for f in OUTLIERS])

@@ -17,7 +17,7 @@ from flowsight.operators.parse import (
     restamp,
     valid_rows,
 )
-from flowsight.operators.scoring import find_outliers
+from flowsight.operators.scoring import Centroids, find_outliers, read_centroids
 from flowsight.options import FlowOptions
 from flowsight.schemas import (
     FEATURE_CLUSTER_COLUMNS,
@@ -94,10 +94,9 @@ def _layout(options: FlowOptions, cluster_by: list[str]) -> dict:
 
 def load_results(
     features: DataFrame,
-    centroids: DataFrame,
+    centroids: DataFrame | list[Centroids],
     options: FlowOptions,
     load_id: int,
-    n_centroids: int | None = None,
 ) -> None:
     """Write one batch of features and its outliers, the features computed once."""
     features = features.persist()
@@ -114,7 +113,6 @@ def load_results(
             features,
             centroids,
             options.outlier_threshold,
-            n_centroids,
             rotate_counts=options.rotate_counts,
         )
         load(
@@ -168,11 +166,11 @@ def start_stream(
     without arguments, reads them anew for each micro-batch.
     """
     frames = flow_frames(lines, options)
-    n_centroids = None if refresh_centroids else centroids.count()
+    at_start = read_centroids(centroids)
 
     def write_features(batch: DataFrame, batch_id: int) -> None:
-        side = refresh_centroids() if refresh_centroids else centroids
-        load_results(batch, side, options, batch_id, n_centroids)
+        side = refresh_centroids() if refresh_centroids else at_start
+        load_results(batch, side, options, batch_id)
 
     every = options.batch_minutes if options.write_method == "file_loads" else None
     queries = [
