@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from flowsight.checks import views as V
 from flowsight.checks.queries import (
+    FEATURE_BYTES,
+    FEATURE_SHARDS,
     REQUEST_BYTES,
     REQUEST_WINDOW,
     SHARDS,
@@ -131,6 +133,18 @@ packed AS (
   FROM packed p JOIN ranked r ON r.window_start = p.window_start AND r.shard = p.shard AND r.rn = p.rn + 1)
 """
 
+_FEATURE_BATCHES = f"""WITH RECURSIVE f AS ({V.features_sql(FLOW)}),
+sized AS (SELECT {KEYS}, {_hash32("subscriber_id || '|' || dst_subnet || '|' || transaction_time", 0)} % {FEATURE_SHARDS} AS shard,
+  strlen(subscriber_id) + strlen(dst_subnet) + strlen(transaction_time) + strlen(CAST(number_of_records AS VARCHAR)) AS size FROM f),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY transaction_time, shard ORDER BY subscriber_id, dst_subnet) AS rn FROM sized),
+packed AS (
+  SELECT *, size AS filled, CAST(0 AS BIGINT) AS batch_id FROM ranked WHERE rn = 1
+  UNION ALL
+  SELECT r.*, CASE WHEN p.filled + r.size > {FEATURE_BYTES} THEN r.size ELSE p.filled + r.size END,
+    p.batch_id + CASE WHEN p.filled + r.size > {FEATURE_BYTES} THEN 1 ELSE 0 END
+  FROM packed p JOIN ranked r ON r.transaction_time = p.transaction_time AND r.shard = p.shard AND r.rn = p.rn + 1)
+SELECT {KEYS}, shard, batch_id FROM packed"""
+
 _LOGISTIC = "1.0 / (1.0 + exp(-((amount - 300000.0) / 10000.0 - CASE WHEN newbalanceOrig = 0 THEN 0.0 ELSE 20.0 END)))"
 _RULE = f"SELECT *, {_LOGISTIC} AS logistic FROM ({TRANSACTIONS})"
 _CALL = "CAST(round_even(logistic, 0) AS INT)"
@@ -239,6 +253,8 @@ ORACLES: dict[str, str] = {
     f"sha256('{TOKEN_KEY.decode()}:' || subscriberId) AS token FROM ({FLOW})",
     "tokenize_aes_roundtrip": f"SELECT {KEYS}, true AS is_token FROM ({_DAY_FEATURES})",
     "tokenize_groups": f"SELECT count(*) AS n, CAST(sum(txBytes) AS BIGINT) AS tx FROM ({FLOW}) GROUP BY subscriberId",
+    "feature_batches": _FEATURE_BATCHES,
+    "tokenize_service": f"SELECT sha256(subscriber_id) AS subscriber_id, dst_subnet, transaction_time FROM ({_DAY_FEATURES})",
     "inspect_sensitive": r"SELECT doc_id, CAST(len(regexp_extract_all(text, '\b[0-9]{14,15}\b')) AS INT) AS text_imsi_count, "
     r"CAST(len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS INT) AS text_email_count, "
     r"CAST(len(regexp_extract_all(text, '\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b')) AS INT) AS text_ipv4_count FROM documents",

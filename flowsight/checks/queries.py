@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 from collections.abc import Callable
@@ -303,6 +304,45 @@ def tokenize_groups(spark, sf):
     ).select("n", "tx")
 
 
+FEATURE_SHARDS, FEATURE_BYTES = 4, 500
+
+
+def _feature_shard():
+    return F.pmod(scalars.hash32(F.concat_ws("|", *KEYS), 0), F.lit(FEATURE_SHARDS))
+
+
+def feature_batches(spark, sf):
+    rows = V.features(spark, sf)
+    packed = batching.pack_rows(
+        rows.withColumn("size", privacy.serialized_bytes(KEYS + VECTOR_COLUMNS[:1])),
+        size=F.col("size"),
+        shard=_feature_shard(),
+        order=KEYS[:2],
+        limit=FEATURE_BYTES,
+        window=F.to_timestamp("transaction_time"),
+    )
+    return packed.select(*KEYS, "shard", "batch_id")
+
+
+def open_hash_service() -> Callable[[list[str]], list[str]]:
+    """A stand-in for a remote service that turns a list of values into tokens."""
+    return lambda values: [hashlib.sha256(v.encode("utf-8")).hexdigest() for v in values]
+
+
+def tokenize_service(spark, sf):
+    rows = V.features(spark, sf).select(*KEYS)
+    return batching.apply_to_batches(
+        rows,
+        "subscriber_id",
+        open_hash_service,
+        size=privacy.serialized_bytes(KEYS),
+        shard=_feature_shard(),
+        order=KEYS,
+        limit=FEATURE_BYTES,
+        window=F.to_timestamp("transaction_time"),
+    )
+
+
 def inspect_sensitive(spark, sf):
     docs = V.table(spark, sf, "documents").select("doc_id", "text")
     return privacy.inspect_columns(docs, ["text"]).drop("text")
@@ -572,6 +612,8 @@ BATCH_QUERIES: dict[str, Query] = {
         tokenize_hash,
         tokenize_aes_roundtrip,
         tokenize_groups,
+        feature_batches,
+        tokenize_service,
         inspect_sensitive,
         model_input,
         request_batches,

@@ -84,3 +84,11 @@ def inspect_columns(
             for kind, pattern in kinds.items()
         }
     )
+
+
+def serialized_bytes(columns: list[str]) -> Column:
+    """Bytes of a row with every value as text, nulls counting nothing."""
+    total = F.lit(0)
+    for c in columns:
+        total = total + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return total

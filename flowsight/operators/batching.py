@@ -8,7 +8,7 @@ at most one open batch, never a group.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -123,6 +123,70 @@ def pack_rows(
     return grouped.mapInArrow(run, schema)
 
 
+def _closed_batches(
+    batches: Iterator[pa.RecordBatch], names: list[str], limit: int
+) -> Iterator[tuple[tuple[int, int, int], int, pa.Table]]:
+    """((window, shard, batch number), bytes, rows) of every batch as it closes."""
+    packer = _Packer(limit)
+    held: list[pa.RecordBatch] = []
+    label, size = (0, 0, 0), 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        numbers, opens = packer.number_batch(batch)
+        sizes = batch.column(_SIZE).to_numpy()
+        rows = batch.select(names)
+        position = 0
+        for cut in [*np.flatnonzero(opens).tolist(), n]:
+            if cut > position:
+                if not held:
+                    label = (
+                        batch.column(_WINDOW)[position].as_py(),
+                        batch.column(_SHARD)[position].as_py(),
+                        int(numbers[position]),
+                    )
+                held.append(rows.slice(position, cut - position))
+                size += int(sizes[position:cut].sum())
+            if cut < n and held:
+                yield label, size, pa.Table.from_batches(held)
+                held, size = [], 0
+            position = cut
+    if held:
+        yield label, size, pa.Table.from_batches(held)
+
+
+def apply_to_batches(
+    df: DataFrame,
+    column: str,
+    open_function: Callable[[], Callable[[list[str]], list[str]]],
+    size: Column,
+    shard: Column,
+    order: list[str],
+    limit: int,
+    window: Column | None = None,
+) -> DataFrame:
+    """Replace a text column batch by batch, through a function on lists of values.
+
+    For services that take many values per call: `open_function` makes one client
+    per partition, which is then called once per size-bounded batch.
+    """
+    grouped = _sorted_groups(df, size, shard, order, window)
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = open_function()
+        for _, _, rows in _closed_batches(batches, names, limit):
+            answers = function(rows.column(column).to_pylist())
+            if len(answers) != rows.num_rows:
+                raise ValueError(f"{len(answers)} answers for {rows.num_rows} values")
+            position = names.index(column)
+            replaced = rows.set_column(position, column, pa.array(answers, pa.string()))
+            yield from replaced.combine_chunks().to_batches()
+
+    return grouped.mapInArrow(run, df.schema)
+
+
 _REQUEST_SCHEMA = StructType(
     [
         StructField("window_start", LongType()),
@@ -134,6 +198,9 @@ _REQUEST_SCHEMA = StructType(
     ]
 )
 
+# Requests handed back to Spark at a time.
+_REQUESTS_PER_SLICE = 64
+
 
 def pack_requests(
     df: DataFrame,
@@ -148,59 +215,27 @@ def pack_requests(
     The documents are put together in the packing pass itself; `window_start` is
     in epoch microseconds (0 without a window).
     """
-    texts = df.select(
-        payload,
-        *[c for c in order if c != payload],
-        F.octet_length(payload).alias("_bytes"),
-        shard.alias("_shard_in"),
-        *([window.alias("_window_in")] if window is not None else []),
-    )
-    grouped = _sorted_groups(
-        texts,
-        F.col("_bytes"),
-        F.col("_shard_in"),
-        order,
-        F.col("_window_in") if window is not None else None,
-    ).select(_WINDOW, _SHARD, _SIZE, payload)
+    grouped = _sorted_groups(df, F.octet_length(payload), shard, order, window)
+    grouped = grouped.select(_WINDOW, _SHARD, _SIZE, payload)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(limit)
-        pending: list[str] = []
-        size, label = 0, (0, 0, 0)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            numbers, opens = packer.number_batch(batch)
-            windows = batch.column(_WINDOW).to_pylist()
-            shards = batch.column(_SHARD).to_pylist()
-            sizes = batch.column(_SIZE).to_numpy()
-            texts = batch.column(payload).to_pylist()
-            cuts = np.flatnonzero(opens).tolist()
-            done = []
-            position = 0
-            for cut in cuts + [len(texts)]:
-                if cut > position:
-                    if not pending:
-                        label = (windows[position], shards[position], int(numbers[position]))
-                    pending += texts[position:cut]
-                    size += int(sizes[position:cut].sum())
-                if cut < len(texts) and pending:
-                    done.append((*label, len(pending), size, pending))
-                    pending, size = [], 0
-                position = cut
-            if done:
-                yield _request_batch(done)
-        if pending:
-            yield _request_batch([(*label, len(pending), size, pending)])
+        done: list[tuple] = []
+        for label, size, rows in _closed_batches(batches, [payload], limit):
+            text = request_text(rows.column(0).to_pylist())
+            done.append((*label, rows.num_rows, size, text))
+            if len(done) == _REQUESTS_PER_SLICE:
+                yield _request_slice(done)
+                done = []
+        if done:
+            yield _request_slice(done)
 
     return grouped.mapInArrow(run, _REQUEST_SCHEMA)
 
 
-def _request_batch(done: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*done))
-    documents = [request_text(texts) for texts in columns[5]]
-    arrays = [pa.array(c, pa.int64()) for c in columns[:5]] + [pa.array(documents, pa.string())]
-    return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in _REQUEST_SCHEMA])
+def _request_slice(done: list[tuple]) -> pa.RecordBatch:
+    *numbers, texts = zip(*done)
+    arrays = [pa.array(n, pa.int64()) for n in numbers] + [pa.array(texts, pa.string())]
+    return pa.RecordBatch.from_arrays(arrays, names=_REQUEST_SCHEMA.names)
 
 
 def request_text(instances: list[str]) -> str:

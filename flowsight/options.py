@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 
@@ -36,9 +37,12 @@ class FlowOptions:
     token_prefix: str = "IMSI_TOKEN"
     # None: no inspection of the named columns
     inspect_columns: tuple[str, ...] | None = None
-    # serialised bytes per tokenisation batch, and the rows/s it was sized for
+    # a service in place of the key: makes a function from values to tokens, which
+    # is called once per batch of this many serialised bytes
+    open_tokenizer: Callable[[], Callable[[list[str]], list[str]]] | None = None
     batch_bytes: int = 500
-    ingestion_rate: int = 250_000
+    # shards of a window in which batches are filled in parallel
+    key_range: int = 100
     restamp: bool = False
     arrival_time: bool = False
     rotate_counts: bool = False

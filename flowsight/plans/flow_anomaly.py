@@ -8,7 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flowsight.functions.privacy import inspect_columns, tokenize_columns
+from flowsight.functions.privacy import (
+    inspect_columns,
+    serialized_bytes,
+    tokenize_columns,
+)
+from flowsight.functions.scalars import shard_of
+from flowsight.operators.batching import apply_to_batches
 from flowsight.operators.features import window_features
 from flowsight.operators.geo import geo_enrich
 from flowsight.operators.parse import (
@@ -19,6 +25,7 @@ from flowsight.operators.parse import (
 )
 from flowsight.operators.scoring import Centroids, find_outliers, read_centroids
 from flowsight.options import FlowOptions
+from flowsight.plans.inputs import load_interval
 from flowsight.schemas import (
     FEATURE_CLUSTER_COLUMNS,
     FEATURES,
@@ -92,6 +99,23 @@ def _layout(options: FlowOptions, cluster_by: list[str]) -> dict:
     return {}
 
 
+def tokenized_by_service(features: DataFrame, options: FlowOptions) -> DataFrame:
+    """Tokenise through a service, in size-bounded batches per window and shard."""
+    order = ["subscriber_id", "dst_subnet", "transaction_time"]
+    for column in options.token_columns:
+        features = apply_to_batches(
+            features,
+            column,
+            options.open_tokenizer,
+            size=serialized_bytes(features.columns),
+            shard=shard_of(F.concat_ws("|", *order), options.key_range),
+            order=order,
+            limit=options.batch_bytes,
+            window=F.to_timestamp("transaction_time"),
+        )
+    return features
+
+
 def load_results(
     features: DataFrame,
     centroids: DataFrame | list[Centroids],
@@ -99,6 +123,8 @@ def load_results(
     load_id: int,
 ) -> None:
     """Write one batch of features and its outliers, the features computed once."""
+    if options.open_tokenizer:
+        features = tokenized_by_service(features, options)
     features = features.persist()
     try:
         load_checked(
@@ -172,7 +198,7 @@ def start_stream(
         side = refresh_centroids() if refresh_centroids else at_start
         load_results(batch, side, options, batch_id)
 
-    every = options.batch_minutes if options.write_method == "file_loads" else None
+    every = load_interval(options)
     queries = [
         stream_load(
             counted(frames.features, "features"),

@@ -26,6 +26,7 @@ from flowsight.options import FraudOptions
 from flowsight.schemas import FRAUD_PREDICTION, TRANSACTION, conform
 from flowsight.sinks.tables import LOAD_COLUMN, create_table, load, stream_load
 from flowsight.sources.files import with_arrival_time
+from flowsight.plans.inputs import load_interval
 from flowsight.streaming.batcher import stream_requests
 from flowsight.streaming.metrics import counted
 from flowsight.streaming.windows import with_watermark
@@ -119,7 +120,7 @@ def start_stream(
     def write_transactions(batch: DataFrame, batch_id: int) -> None:
         load(conform(batch, TRANSACTION), options.transactions_table, batch_id, _shards(options))
 
-    every = options.batch_minutes if options.write_method == "file_loads" else None
+    every = load_interval(options)
     queries = [
         stream_load(
             transactions, write_transactions, f"{checkpoint}/transactions", every, available_now

@@ -145,18 +145,18 @@ def stream_load(
     df: DataFrame,
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
-    every_minutes: float | None = None,
+    every_seconds: int | None = None,
     available_now: bool = False,
 ) -> DataStreamWriter:
     """Writer that hands each micro-batch to `write(batch, batch_id)`.
 
-    `every_minutes` is the load frequency; `available_now` works off what is there.
+    `every_seconds` is the load frequency; `available_now` works off what is there.
     """
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True)
-    if every_minutes:
-        return writer.trigger(processingTime=f"{int(every_minutes * 60)} seconds")
+    if every_seconds:
+        return writer.trigger(processingTime=f"{every_seconds} seconds")
     return writer
 
 
