@@ -103,7 +103,7 @@ def flow_job_outliers(spark, sf):
 
 def flow_job_raw(spark, sf):
     options = _run_flow_job(spark, sf)
-    return spark.table(options.raw_table).drop("dt", "load_id")
+    return spark.table(options.raw_table).drop("dt", "load_id", "event_ts")
 
 
 def fraud_job_alerts(spark, sf):

@@ -19,6 +19,9 @@ from flowsight.sources.tables import partition_range
 # Fixed value: most rows a training table takes.
 TRAIN_LIMIT = 99_999
 
+# Rows of a centroid table that are broadcast, about 1 MB.
+BROADCAST_CENTROIDS = 10_000
+
 _KEY_COLUMNS = ["subscriber_id", "dst_subnet", "transaction_time"]
 
 
@@ -119,6 +122,18 @@ def pivot_centroids(long: DataFrame, columns: list[str] = VECTOR_COLUMNS) -> Dat
     )
 
 
+def small_side(centroids: DataFrame) -> DataFrame:
+    """The centroid table as a broadcast side if it is as small as it should be.
+
+    Reads it once. Joined by shuffle, the rows of a whole cluster would meet in one
+    task; a table beyond the limit is left to that, with the skew handling of AQE.
+    """
+    rows = centroids.limit(BROADCAST_CENTROIDS + 1).collect()
+    if len(rows) > BROADCAST_CENTROIDS:
+        return centroids
+    return F.broadcast(centroids.sparkSession.createDataFrame(rows, centroids.schema))
+
+
 def _summed_difference(compat: bool) -> str:
     terms = []
     for name in VECTOR_COLUMNS:
@@ -138,8 +153,7 @@ def centroid_spread(
     `compat` subtracts the minima of the centroid from the two byte averages and
     puts out min_tx_bytes as min_rx_bytes.
     """
-    # k rows: planned as a broadcast by their size, without a hint
-    joined = assigned.alias("p").join(centroids.alias("c"), "centroid_id")
+    joined = assigned.alias("p").join(small_side(centroids).alias("c"), "centroid_id")
     out = {c: c for c in VECTOR_COLUMNS}
     if compat:
         out["min_rx_bytes"] = "min_tx_bytes"
@@ -194,7 +208,7 @@ def model_training_info(model: PipelineModel, assigned: DataFrame, centroids: Da
     """Training-info row of the last iteration of a fitted model, radii in the
     standardised space the model was trained in."""
     deviations = feature_deviations(model)
-    joined = assigned.alias("p").join(centroids.alias("c"), "centroid_id")
+    joined = assigned.alias("p").join(small_side(centroids).alias("c"), "centroid_id")
     diffs = differences(
         [as_double(f"p.{c}") for c in VECTOR_COLUMNS],
         [as_double(f"c.{c}") for c in VECTOR_COLUMNS],

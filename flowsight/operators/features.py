@@ -49,7 +49,6 @@ def window_features(
     distinct: str = "exact",
     lg_k: int = DEFAULT_LG_K,
     sketch_salts: int = 1,
-    keep_window: bool = False,
 ) -> DataFrame:
     """One feature row per tumbling window, subscriber and destination subnet.
 
@@ -59,8 +58,16 @@ def window_features(
     what a stream can hold; `sketch_salts` > 1 builds the sketches of a hot group
     in that many tasks before they are merged (batch only).
     """
+    window = F.window(event_time, f"{window_seconds} seconds")
+    if flows.isStreaming:
+        # the watermark hangs on the window column as a whole
+        key, end = window.alias("window"), F.col("window.end")
+    else:
+        # the start alone is a quarter of the bytes to shuffle
+        key = window["start"].alias("window")
+        end = F.col("window") + F.expr(f"INTERVAL '{window_seconds}' SECOND")
     rows = with_flow_columns(flows, subnet_form, mask_bits).select(
-        F.window(event_time, f"{window_seconds} seconds").alias("window"),
+        key,
         F.col("subscriberId").alias("subscriber_id"),
         F.col("dstSubnet").alias("dst_subnet"),
         "srcIP",
@@ -97,10 +104,9 @@ def window_features(
         return F.col(name).cast("int").alias(name) if not name.startswith("avg") else F.col(name)
 
     return grouped.select(
-        *(["window"] if keep_window else []),
         "subscriber_id",
         "dst_subnet",
-        utc_text(F.col("window.end")).alias("transaction_time"),
+        utc_text(end).alias("transaction_time"),
         *[column(c) for c in OUTPUT_COLUMNS],
     )
 

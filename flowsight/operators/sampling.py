@@ -2,7 +2,8 @@
 
 The order is that of a 32-bit hash of (seed, key), ties by key. Cutting that order
 at position n takes a histogram of the hash and a sort of the one bucket the cut
-falls into: no task sees more than about a 65,536th of the rows.
+falls into, both over the key column alone: no task sees more than about a 65,536th
+of the rows, and the rows themselves are read once, unmoved.
 """
 
 from __future__ import annotations
@@ -57,24 +58,29 @@ def with_cut(
         ).cast("bigint")
     )
     # the slot that holds the last wanted row, and how many of its rows are wanted
-    boundary = (
-        running.withColumn("wanted", wanted)
-        .where(F.col("upto") >= F.col("wanted"))
-        .agg(
-            F.min_by(
-                F.struct("_slot", (F.col("wanted") - F.col("upto") + F.col("n")).alias("take")),
-                "_slot",
-            ).alias("cut")
-        )
+    reached = running.withColumn("wanted", wanted).where(F.col("upto") >= F.col("wanted"))
+    taken = F.col("wanted") - F.col("upto") + F.col("n")
+    cut = reached.agg(F.min_by(F.struct("_slot", taken.alias("take")), "_slot").alias("cut"))
+    # the last wanted row itself: none if the cut falls on the edge of the slot
+    position = F.row_number().over(Window.partitionBy("_slot").orderBy("_hash", key))
+    last = (
+        hashed.select("_slot", "_hash", key)
+        .withColumn("_cut", cut.scalar())
+        .where(F.col("_slot") == F.col("_cut._slot"))
+        .withColumn("_position", position)
+        .where(F.col("_position") == F.col("_cut.take"))
+        .agg(F.min(F.struct("_hash", key)).alias("last"))
     )
-    marked = hashed.withColumn("_cut", boundary.scalar())
-    slot = F.coalesce(F.col("_cut._slot"), F.lit(1 << (32 - _BUCKET_SHIFT)).cast("bigint"))
-    clear = marked.where(F.col("_slot") != slot).withColumn(name, F.col("_slot") < slot)
-    rank = F.row_number().over(Window.partitionBy("_slot").orderBy("_hash", key))
-    mixed = marked.where(F.col("_slot") == slot).withColumn(
-        name, rank <= F.col("_cut.take")
+    inside = (
+        F.when(F.col("_cut").isNull(), F.lit(True))
+        .when(F.col("_last").isNull(), F.col("_slot") < F.col("_cut._slot"))
+        .otherwise(F.struct("_hash", key) <= F.col("_last"))
+    )
+    return (
+        hashed.withColumns({"_cut": cut.scalar(), "_last": last.scalar()})
+        .withColumn(name, inside)
+        .drop("_hash", "_slot", "_cut", "_last")
     )
-    return clear.unionByName(mixed).drop("_hash", "_slot", "_cut")
 
 
 def take_seeded(

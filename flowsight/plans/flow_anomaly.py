@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from flowsight.functions.privacy import (
     inspect_columns,
@@ -48,6 +49,10 @@ from flowsight.streaming.metrics import counted
 from flowsight.streaming.windows import with_watermark
 
 
+# The raw table keeps the event time, so that features can be computed from it.
+RAW = StructType(FLOW_LOG_GEO.fields + [StructField("event_ts", TimestampType())])
+
+
 @dataclass(frozen=True)
 class FlowFrames:
     flows: DataFrame
@@ -65,20 +70,24 @@ def flow_frames(lines: DataFrame, options: FlowOptions = FlowOptions()) -> FlowF
     flows = valid_rows(parsed)
     if options.restamp:
         flows = restamp(flows)
+    return FlowFrames(flows, rejected_rows(parsed), feature_rows(flows, options))
+
+
+def feature_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
+    """Features of typed flows, inspected and tokenised as the options say."""
     features = window_features(
         flows,
         window_seconds=options.window_seconds,
         subnet_form=options.subnet_form,
         mask_bits=options.mask_bits,
-        distinct="sketch" if lines.isStreaming else options.distinct,
+        distinct="sketch" if flows.isStreaming else options.distinct,
         lg_k=options.sketch_lg_k,
     )
     if options.inspect_columns:
         features = inspect_columns(features, options.inspect_columns)
-    features = tokenize_columns(
+    return tokenize_columns(
         features, options.token_columns, options.token_key, options.token_prefix
     )
-    return FlowFrames(flows, rejected_rows(parsed), features)
 
 
 def create_tables(
@@ -87,7 +96,7 @@ def create_tables(
     """Define the job's tables: day partitions, one load number per micro-batch."""
     specs = [(options.features_table, FEATURES), (options.outliers_table, OUTLIERS)]
     if options.raw_table:
-        specs.append((options.raw_table, FLOW_LOG_GEO))
+        specs.append((options.raw_table, RAW))
     for table, schema in specs:
         path = f"{location}/{table.split('.')[-1]}" if location else None
         create_table(spark, table, schema, [LOAD_COLUMN, DATE_COLUMN], path)
@@ -165,9 +174,13 @@ def run_batch(
     ranges: DataFrame | None = None,
     load_id: int = 0,
 ) -> None:
-    """The job over a bounded input. Runs the queries and writes the tables."""
+    """The job over a bounded input. Runs the queries and writes the tables.
+
+    With a raw table the lines are parsed once: the features are computed from the
+    few columns they need of the raw rows just written.
+    """
     frames = flow_frames(lines, options)
-    load_results(frames.features, centroids, options, load_id)
+    features = frames.features
     if options.raw_table:
         load(
             _raw_rows(frames.flows, ranges),
@@ -175,6 +188,9 @@ def run_batch(
             load_id,
             **_layout(options, RAW_CLUSTER_COLUMNS),
         )
+        written = lines.sparkSession.table(options.raw_table)
+        features = feature_rows(written.where(F.col(LOAD_COLUMN) == load_id), options)
+    load_results(features, centroids, options, load_id)
 
 
 def start_stream(
