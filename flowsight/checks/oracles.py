@@ -196,6 +196,7 @@ ORACLES: dict[str, str] = {
     f"ELSE 'Not a valid IP address ' END || line AS error FROM ({STATUS}) WHERE status <> 'ok'",
     "json_valid_rows": f"SELECT event_id, {_typed_fields()} FROM ({STATUS}) WHERE status = 'ok'",
     "transaction_json_rows": f"SELECT {', '.join(TRANSACTION.fieldNames())} FROM ({TRANSACTIONS})",
+    "flow_restamped": f"SELECT event_id, {FLOW_NAMES.replace('startTime, endTime, ', '')}, true AS restamped FROM ({FLOW})",
     "ipv4_predicate": f"SELECT event_id, {_ok(_FIELD('srcIP').replace('line', 'good'))} AS src_ok, "
     f"{_ok(_FIELD('dstIP').replace('line', 'good'))} AS dst_ok FROM ({_SAFE})",
     "ip_to_int": f"SELECT event_id, {_ip_number('srcIP')} AS ip FROM ({FLOW})",
