@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: one decimal octet without leading zeros.
-_OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4_PATTERN = rf"\A{_OCTET}\.{_OCTET}\.{_OCTET}\.{_OCTET}\z"
 
 # Fixed value: prefix length of mask 255.255.252.0.

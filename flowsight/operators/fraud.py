@@ -187,7 +187,12 @@ def fit_fraud_model(
         maxDepth=max_depth,
         seed=seed,
     )
-    return Pipeline(stages=[indexer, encoder, assembler, trees]).fit(train)
+    # read once per tree level: keep the columns that are used
+    rows = train.select(LABEL_COLUMN, CATEGORICAL_COLUMN, *NUMERIC_COLUMNS).persist()
+    try:
+        return Pipeline(stages=[indexer, encoder, assembler, trees]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

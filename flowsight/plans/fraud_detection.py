@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from flowsight.functions.scalars import shard_of
 from flowsight.operators.fraud import (
@@ -31,6 +32,9 @@ from flowsight.streaming.batcher import stream_requests
 from flowsight.streaming.metrics import counted
 from flowsight.streaming.windows import with_watermark
 
+# The transaction table keeps the event time, so that it can be scored from.
+TIMED = StructType(TRANSACTION.fields + [StructField("event_ts", TimestampType())])
+
 Scorer = Callable[[], Callable[[str], str]]
 
 
@@ -45,7 +49,7 @@ def create_tables(
     spark: SparkSession, options: FraudOptions, location: str | None = None
 ) -> None:
     specs = [
-        (options.transactions_table, TRANSACTION),
+        (options.transactions_table, TIMED),
         (options.predictions_table, FRAUD_PREDICTION),
     ]
     for table, schema in specs:
@@ -90,14 +94,18 @@ def run_batch(
     open_scorer: Scorer | None = None,
     load_id: int = 0,
 ) -> None:
-    """The job over a bounded input. Runs the queries and writes both tables."""
-    transactions = transactions_of(lines)
+    """The job over a bounded input. Runs the queries and writes both tables.
+
+    The lines are parsed once: scoring reads the transactions just written.
+    """
     load(
-        conform(transactions, TRANSACTION),
+        conform(transactions_of(lines), TIMED),
         options.transactions_table,
         load_id,
         _shards(options),
     )
+    written = lines.sparkSession.table(options.transactions_table)
+    transactions = written.where(F.col(LOAD_COLUMN) == load_id)
     load(
         counted(score(transactions, options, model, open_scorer), "alerts"),
         options.predictions_table,
@@ -118,7 +126,7 @@ def start_stream(
     transactions = transactions_of(lines)
 
     def write_transactions(batch: DataFrame, batch_id: int) -> None:
-        load(conform(batch, TRANSACTION), options.transactions_table, batch_id, _shards(options))
+        load(conform(batch, TIMED), options.transactions_table, batch_id, _shards(options))
 
     every = load_interval(options)
     queries = [

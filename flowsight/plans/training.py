@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowsight.operators import clustering, fraud, sampling
 from flowsight.schemas import NORMALIZED_CENTROIDS, conform
+from flowsight.session import scratch_root
 
 
 @dataclass(frozen=True)
@@ -29,12 +30,14 @@ def train_clusters(
     limit: int | None = clustering.TRAIN_LIMIT,
     compat: bool = False,
 ) -> ClusterResult:
-    """Fit k-means on the features of a date range and derive the side table."""
-    rows = clustering.train_rows(features, date_from, date_to, limit).persist()
-    try:
-        model = clustering.fit_kmeans(rows, k, seed)
-    finally:
-        rows.unpersist()
+    """Fit k-means on the features of a date range and derive the side table.
+
+    The training rows are checkpointed: they are read by every iteration and by the
+    tables derived from the model. Runs the training jobs.
+    """
+    scratch_root(spark)
+    rows = clustering.train_rows(features, date_from, date_to, limit).checkpoint()
+    model = clustering.fit_kmeans(rows, k, seed)
     centroids = clustering.pivot_centroids(clustering.centroids_long(spark, model))
     assigned = clustering.assign(model, rows)
     normalized = conform(
@@ -62,8 +65,12 @@ def train_fraud(
     step_size: float = 0.1,
     seed: int = 2,
 ) -> FraudResult:
-    """Down-sample, split, fit boosted trees, score the test rows."""
-    labelled = fraud.training_set(transactions, sample_fraction, seed)
+    """Down-sample, split, fit boosted trees, score the test rows.
+
+    The sample is checkpointed, so that the large table is sampled once.
+    """
+    scratch_root(transactions.sparkSession)
+    labelled = fraud.training_set(transactions, sample_fraction, seed).checkpoint()
     train, test = sampling.split_seeded(labelled, fraud.KEY_COLUMN, train_fraction, seed)
     model = fraud.fit_fraud_model(train, iterations, step_size, seed=seed)
     return FraudResult(model, fraud.predict(model, test))

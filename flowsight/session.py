@@ -40,6 +40,8 @@ def scratch_root(spark: SparkSession) -> str:
     """The folder `spark.checkpoint.dir` names; a local one only where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(named)
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
