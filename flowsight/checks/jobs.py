@@ -121,17 +121,22 @@ def _alert_rows(spark, options):
     )
 
 
-def _drained(spark, folder: str, sentinel_line: str, start) -> None:
-    """Work off the input, then let the end-of-input record close the windows."""
+def _drained(spark, folder: str, sentinel_line: str, start, more_input=None) -> None:
+    """Work off the input, and what `more_input` adds to it in a second run, then let
+    the end-of-input record close the windows."""
     ends = f"{folder}/ends"
     empty_source(spark, _LINE, ends)
 
     def run() -> list:
         return start(spark.readStream.schema(_LINE).parquet(ends))
 
-    run_to_end(run)
+    partitions = spark.sparkContext.defaultParallelism
+    run_to_end(run, partitions)
+    if more_input:
+        more_input()
+        run_to_end(run, partitions)
     write_sentinel(spark, _LINE, ends, line=sentinel_line)
-    run_to_end(run)
+    run_to_end(run, partitions)
 
 
 def stream_features(spark, sf):
@@ -149,6 +154,29 @@ def stream_features(spark, sf):
     return spark.read.parquet(f"{folder}/out")
 
 
+def stream_late_rows(spark, sf):
+    """The whole feed arrives twice. The second time its windows are closed, all but
+    the last: those rows are late and dropped."""
+    folder, options = scratch_path(spark, "stream"), _flow_options()
+    replay = f"{folder}/replay"
+    empty_source(spark, _LINE, replay)
+
+    def start(ends: DataFrame) -> list:
+        first = _flow_text(_stream(spark, sf, "events"), injected=False)
+        again = spark.readStream.schema(_LINE).parquet(replay)
+        features = flow_anomaly.flow_frames(merge(first, again, ends), options).features
+        return [
+            stream_append(features, f"{folder}/out", f"{folder}/checkpoint", True).start()
+        ]
+
+    def play_again() -> None:
+        lines = _flow_text(V.table(spark, sf, "events"), injected=False)
+        lines.write.mode("append").parquet(replay)
+
+    _drained(spark, folder, _FLOW_SENTINEL, start, play_again)
+    return spark.read.parquet(f"{folder}/out")
+
+
 def stream_outliers(spark, sf):
     folder, options = scratch_path(spark, "stream"), _flow_options()
     flow_anomaly.create_tables(spark, options, folder)
@@ -206,6 +234,7 @@ JOB_QUERIES = {
         flow_job_raw,
         fraud_job_alerts,
         stream_features,
+        stream_late_rows,
         stream_outliers,
         stream_request_instances,
         stream_alerts,

@@ -207,7 +207,7 @@ ORACLES: dict[str, str] = {
     f"SELECT event_id, {FLOW_NAMES} FROM ({INJECTED})",
     "geo_enrich_broadcast": _GEO,
     "geo_enrich_bucketed": _GEO,
-    "feature_vector_columns": f"SELECT {KEYS}, "
+    "feature_vector": f"SELECT {KEYS}, "
     + ", ".join(f"CAST({c} AS DOUBLE) AS v{i}" for i, c in enumerate(VECTOR_COLUMNS))
     + f" FROM ({_DAY_FEATURES})",
     "nearest_centroid": _scored(
@@ -308,6 +308,10 @@ ORACLES: dict[str, str] = {
     f"ON {_ip_number('f.srcIP')} BETWEEN g.start_ip AND g.end_ip",
     "fraud_job_alerts": _ALERTS,
     "stream_features": V.features_sql(_valid_flows(FLOW)),
+    "stream_late_rows": V.features_sql(
+        f"WITH v AS ({_valid_flows(FLOW)}) SELECT * FROM v UNION ALL SELECT * FROM v "
+        f"WHERE {V.window_end_sql(V.DAY)} > (SELECT max(ts) FROM events)"
+    ),
     "stream_outliers": _JOB_OUTLIERS,
     "stream_request_instances": f"SELECT transactionId, type, amount FROM ({TRANSACTIONS})",
     "stream_alerts": _ALERTS,

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsight.checks import views as V
-from flowsight.functions import netaddr, privacy, scalars
-from flowsight.functions.vectors import feature_vector
+from flowsight.functions import netaddr, privacy, scalars, vectors
 from flowsight.operators import (
     batching,
     clustering,
@@ -165,8 +164,8 @@ def geo_enrich_bucketed(spark, sf):
 # ---- scoring ----
 
 
-def feature_vector_columns(spark, sf):
-    rows = V.features(spark, sf).withColumn("v", feature_vector())
+def feature_vector(spark, sf):
+    rows = V.features(spark, sf).withColumn("v", vectors.feature_vector())
     return rows.select(
         *KEYS, *[F.col("v")[i].alias(f"v{i}") for i in range(len(VECTOR_COLUMNS))]
     )
@@ -600,7 +599,7 @@ BATCH_QUERIES: dict[str, Query] = {
         union_file_and_bus,
         geo_enrich_broadcast,
         geo_enrich_bucketed,
-        feature_vector_columns,
+        feature_vector,
         nearest_centroid,
         centroid_distance,
         row_spread,

@@ -24,10 +24,19 @@ def with_watermark(
     return df.withWatermark(event_time, f"{lateness_seconds} seconds")
 
 
-def run_to_end(start: Callable[[], list[StreamingQuery]]) -> None:
-    """Start availableNow queries and wait for them, with their state on disk."""
+def run_to_end(
+    start: Callable[[], list[StreamingQuery]], state_partitions: int | None = None
+) -> None:
+    """Start availableNow queries and wait for them, with their state on disk.
+
+    `state_partitions` is fixed with the first run of a checkpoint; left out, it is
+    the session's number of shuffle partitions.
+    """
     spark = SparkSession.active()
-    with state_on_disk(spark):
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with session_settings(spark, settings):
         queries = start()
     for query in queries:
         query.awaitTermination()
@@ -64,15 +73,16 @@ def empty_source(spark: SparkSession, schema: StructType, directory: str) -> Non
 
 
 @contextmanager
-def state_on_disk(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, not on the heap."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, ROCKSDB_PROVIDER)
+def session_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Settings for the queries started inside; a query keeps those it began with."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
