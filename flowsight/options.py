@@ -15,9 +15,15 @@ class FlowOptions:
     poll_seconds: int = 30
     features_table: str = "cluster_model_data"
     outliers_table: str = "outlier_data"
-    rejects_table: str | None = None
     # None: no raw sink
     raw_table: str | None = None
+    # lines that are no valid record; None: not kept
+    rejects_table: str | None = None
+    # features with a null in a required column; None: they fail the load
+    feature_rejects_table: str | None = None
+    # file with the SQL text that reads the centroids, and table of address ranges
+    cluster_query: str | None = None
+    geo_table: str | None = None
     # "default", "file_loads" or "streaming_inserts"
     write_method: str = "default"
     batch_minutes: int = 1
@@ -57,6 +63,7 @@ class FraudOptions:
     poll_seconds: int = 10
     transactions_table: str = "transactions"
     predictions_table: str = "fraud_prediction"
+    rejects_table: str | None = None
     write_method: str = "streaming_inserts"
     batch_minutes: int = 2
     file_shards: int = 1000

@@ -33,6 +33,7 @@ from flowsight.schemas import (
     FLOW_LOG_GEO,
     OUTLIERS,
     RAW_CLUSTER_COLUMNS,
+    REJECTS,
     REQUIRED_COLUMNS,
 )
 from flowsight.sinks.tables import (
@@ -97,6 +98,10 @@ def create_tables(
     specs = [(options.features_table, FEATURES), (options.outliers_table, OUTLIERS)]
     if options.raw_table:
         specs.append((options.raw_table, RAW))
+    if options.rejects_table:
+        specs.append((options.rejects_table, REJECTS))
+    if options.feature_rejects_table:
+        specs.append((options.feature_rejects_table, FEATURES))
     for table, schema in specs:
         path = f"{location}/{table.split('.')[-1]}" if location else None
         create_table(spark, table, schema, [LOAD_COLUMN, DATE_COLUMN], path)
@@ -141,7 +146,7 @@ def load_results(
             options.features_table,
             load_id,
             REQUIRED_COLUMNS,
-            options.rejects_table,
+            options.feature_rejects_table,
             **_layout(options, FEATURE_CLUSTER_COLUMNS),
         )
         outliers = find_outliers(
@@ -190,6 +195,8 @@ def run_batch(
         )
         written = lines.sparkSession.table(options.raw_table)
         features = feature_rows(written.where(F.col(LOAD_COLUMN) == load_id), options)
+    if options.rejects_table:
+        load(with_date(frames.rejects, "event_ts"), options.rejects_table, load_id)
     load_results(features, centroids, options, load_id)
 
 
@@ -202,7 +209,8 @@ def start_stream(
     available_now: bool = False,
     refresh_centroids=None,
 ) -> list[StreamingQuery]:
-    """Start the job: one query for features and outliers, one for the raw table.
+    """Start the job: one query for features and outliers, one for the raw table and
+    one for the rejects where the options name these.
 
     The centroids are read as they are at the start; `refresh_centroids`, a function
     without arguments, reads them anew for each micro-batch.
@@ -239,4 +247,14 @@ def start_stream(
                 frames.flows, write_raw, f"{checkpoint}/raw", every, available_now
             ).start()
         )
+    if options.rejects_table:
+
+        def write_rejects(batch: DataFrame, batch_id: int) -> None:
+            load(with_date(batch, "event_ts"), options.rejects_table, batch_id)
+
+        queries.append(
+            stream_load(
+                frames.rejects, write_rejects, f"{checkpoint}/rejects", every, available_now
+            ).start()
+        )
     return queries

@@ -22,9 +22,9 @@ from flowsight.operators.fraud import (
     requests,
     score_requests,
 )
-from flowsight.operators.parse import parse_transaction_lines, valid_rows
+from flowsight.operators.parse import parse_transaction_lines, rejected_rows, valid_rows
 from flowsight.options import FraudOptions
-from flowsight.schemas import FRAUD_PREDICTION, TRANSACTION, conform
+from flowsight.schemas import FRAUD_PREDICTION, REJECTS, TRANSACTION, conform
 from flowsight.sinks.tables import LOAD_COLUMN, create_table, load, stream_load
 from flowsight.sources.files import with_arrival_time
 from flowsight.plans.inputs import load_interval
@@ -38,11 +38,18 @@ TIMED = StructType(TRANSACTION.fields + [StructField("event_ts", TimestampType()
 Scorer = Callable[[], Callable[[str], str]]
 
 
+def _timed(lines: DataFrame) -> DataFrame:
+    return lines if "event_ts" in lines.columns else with_arrival_time(lines)
+
+
 def transactions_of(lines: DataFrame) -> DataFrame:
     """Typed transactions of `line[, event_ts]` records; malformed lines drop out."""
-    if "event_ts" not in lines.columns:
-        lines = with_arrival_time(lines)
-    return counted(valid_rows(parse_transaction_lines(lines)), "transactions")
+    return counted(valid_rows(parse_transaction_lines(_timed(lines))), "transactions")
+
+
+def rejects_of(lines: DataFrame) -> DataFrame:
+    """The malformed lines."""
+    return rejected_rows(parse_transaction_lines(_timed(lines)))
 
 
 def create_tables(
@@ -52,6 +59,8 @@ def create_tables(
         (options.transactions_table, TIMED),
         (options.predictions_table, FRAUD_PREDICTION),
     ]
+    if options.rejects_table:
+        specs.append((options.rejects_table, REJECTS))
     for table, schema in specs:
         path = f"{location}/{table.split('.')[-1]}" if location else None
         create_table(spark, table, schema, [LOAD_COLUMN], path)
@@ -104,6 +113,8 @@ def run_batch(
         load_id,
         _shards(options),
     )
+    if options.rejects_table:
+        load(rejects_of(lines), options.rejects_table, load_id)
     written = lines.sparkSession.table(options.transactions_table)
     transactions = written.where(F.col(LOAD_COLUMN) == load_id)
     load(
@@ -135,6 +146,17 @@ def start_stream(
         ).start()
     ]
 
+    if options.rejects_table:
+
+        def write_rejects(batch: DataFrame, batch_id: int) -> None:
+            load(batch, options.rejects_table, batch_id)
+
+        queries.append(
+            stream_load(
+                rejects_of(lines), write_rejects, f"{checkpoint}/rejects", every, available_now
+            ).start()
+        )
+
     if model is not None:
         scored_input = transactions
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from flowsight.options import FlowOptions, FraudOptions
 from flowsight.sources.files import merge, read_lines, stream_lines, with_arrival_time
+from flowsight.sources.tables import read_centroids
 
 
 def batch_lines(spark: SparkSession, options: FlowOptions | FraudOptions) -> DataFrame:
@@ -33,6 +34,16 @@ def live_lines(
     return merge(*parts)
 
 
+def side_tables(
+    spark: SparkSession, options: FlowOptions
+) -> tuple[DataFrame, DataFrame | None]:
+    """(centroids, address ranges) as the options name them."""
+    if not options.cluster_query:
+        raise ValueError("give a cluster query")
+    ranges = spark.table(options.geo_table) if options.geo_table else None
+    return read_centroids(spark, options.cluster_query), ranges
+
+
 def load_interval(options: FlowOptions | FraudOptions) -> int | None:
     """Seconds between loads: the batch frequency for file loads, else the file
     poll interval, else none (a bus alone is followed without pause)."""

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 
@@ -144,6 +145,11 @@ FRAUD_PREDICTION = _struct(
     [("transactionId", _S), ("logistic", _D), ("json_response", _S)]
 )
 
+REJECTS = StructType(
+    _struct([("line", _S), ("status", _S), ("error", _S)]).fields
+    + [StructField("event_ts", TimestampType(), True)]
+)
+
 # Columns the feature and outlier tables refuse to hold null in.
 REQUIRED_COLUMNS = ["transaction_time", "subscriber_id", "dst_subnet"]
 

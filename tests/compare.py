@@ -21,7 +21,7 @@ def compare(spark, con, query, sql: str, sf_dir: str) -> dict:
     got = query(spark, sf_dir).toArrow()
     spark_seconds = time.time() - start
     start = time.time()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     duck_seconds = time.time() - start
     problems = []
     if sorted(got.column_names) != sorted(want.column_names):

@@ -199,6 +199,33 @@ def test_flow_job_rereads_centroids(spark, folder):
     assert spark.table(options.raw_table).count() == 3
 
 
+def test_flow_job_keeps_rejects(spark, folder):
+    tag = uuid.uuid4().hex
+    options = tables(spark, folder, rejects_table=f"rejects_{tag}", cluster_query=f"{folder}/q")
+    bad = spark.createDataFrame([("{", None), ("[]", None)], LINE)
+    flow_anomaly.run_batch(batch_lines(spark, RECORDS).unionByName(bad), centroid_table(spark), options)
+    assert spark.table(options.rejects_table).count() == 2
+    assert spark.table(options.features_table).count() == 5
+
+    centroid_table(spark).createOrReplaceTempView(f"centroids_{tag}")
+    spark.createDataFrame([(f"SELECT * FROM centroids_{tag}",)], "v string").coalesce(1).write.text(f"{folder}/q")
+    put(f"{folder}/in", 0, [1, 2])
+    with open(f"{folder}/in/0001.json", "w") as out:
+        out.write(json.dumps({"line": "{oops", "event_ts": "2023-11-14 00:00:00"}) + "\n")
+    live = tables(spark, folder, rejects_table=f"live_rejects_{tag}", cluster_query=f"{folder}/q")
+    centroids, ranges = inputs.side_tables(spark, live)
+    assert ranges is None
+
+    def start():
+        return flow_anomaly.start_stream(
+            lines_of(spark, f"{folder}/in"), centroids, live, f"{folder}/check", available_now=True
+        )
+
+    run_to_end(start)
+    assert [r["line"] for r in spark.table(live.rejects_table).collect()] == ["{oops"]
+    assert spark.table(live.raw_table).count() == 2
+
+
 def fraud_tables(spark, folder, **options):
     tag = uuid.uuid4().hex
     made = FraudOptions(
@@ -221,7 +248,8 @@ def test_fraud_job_with_model(spark, folder):
     assert hits > 0.95 * found.count() > 0
 
     lines.write.text(f"{folder}/in")
-    live = fraud_tables(spark, folder)
+    spark.createDataFrame([("{oops",)], "line string").write.mode("append").text(f"{folder}/in")
+    live = fraud_tables(spark, folder, rejects_table=f"bad_{uuid.uuid4().hex}")
 
     def start():
         return fraud_detection.start_stream(
@@ -231,6 +259,7 @@ def test_fraud_job_with_model(spark, folder):
     run_to_end(start)
     assert spark.table(live.transactions_table).count() == 3000
     assert spark.table(live.predictions_table).count() == found.count()
+    assert spark.table(live.rejects_table).count() == 1
 
 
 def test_score_needs_a_scorer(spark):
