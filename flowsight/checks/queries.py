@@ -188,7 +188,9 @@ def centroid_distance(spark, sf):
         V.features(spark, sf), V.normalized_centroids(spark, sf)
     )
     names = [f"distance_{i + 1}" for i in range(V.N_CLUSTERS)]
-    return _rounded(rows.select(*KEYS, *names), 6, *names)
+    # a scale factor may leave a cluster of the fixed model empty
+    missing = {n: F.lit(None).cast("double") for n in names if n not in rows.columns}
+    return _rounded(rows.withColumns(missing).select(*KEYS, *names), 6, *names)
 
 
 def row_spread(spark, sf):

@@ -252,13 +252,14 @@ def nearest_centroid(
 def centroid_distances(
     features: DataFrame, centroids: DataFrame | list[Centroids]
 ) -> DataFrame:
-    """Adds one column `distance_<i>` per centroid, in the order of their ids."""
+    """Adds one column `distance_<centroid_id>` per centroid."""
     blocks = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
-    exprs = [d for block in blocks for d in _distance_exprs(block, None)]
-    return _staged(features).selectExpr(
-        *[f"`{c}`" for c in features.columns],
-        *[f"{d} AS distance_{i + 1}" for i, d in enumerate(exprs)],
-    )
+    exprs = [
+        f"{distance} AS distance_{i}"
+        for block in blocks
+        for i, distance in zip(block.ids, _distance_exprs(block, None))
+    ]
+    return _staged(features).selectExpr(*[f"`{c}`" for c in features.columns], *exprs)
 
 
 # Compat: what each count column is filled from when the counts are rotated.
