@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,7 @@ from flowsight.sinks.tables import (
     create_table,
     load,
     load_checked,
+    loaded,
     stream_load,
     with_date,
 )
@@ -136,30 +138,27 @@ def load_results(
     options: FlowOptions,
     load_id: int,
 ) -> None:
-    """Write one batch of features and its outliers, the features computed once."""
+    """Write one batch of features, then its outliers, scored from the rows written:
+    the aggregation runs once and nothing has to be cached."""
+    spark = features.sparkSession
     if options.open_tokenizer:
         features = tokenized_by_service(features, options)
-    features = features.persist()
-    try:
-        load_checked(
-            with_date(features),
-            options.features_table,
-            load_id,
-            REQUIRED_COLUMNS,
-            options.feature_rejects_table,
-            **_layout(options, FEATURE_CLUSTER_COLUMNS),
-        )
-        outliers = find_outliers(
-            features,
-            centroids,
-            options.outlier_threshold,
-            rotate_counts=options.rotate_counts,
-        )
-        load(
-            with_date(counted(outliers, "outliers")), options.outliers_table, load_id
-        )
-    finally:
-        features.unpersist()
+    load_checked(
+        with_date(features),
+        options.features_table,
+        load_id,
+        REQUIRED_COLUMNS,
+        options.feature_rejects_table,
+        **_layout(options, FEATURE_CLUSTER_COLUMNS),
+    )
+    written = loaded(spark, options.features_table, load_id)
+    outliers = find_outliers(
+        written.select(*FEATURES.names),
+        centroids,
+        options.outlier_threshold,
+        rotate_counts=options.rotate_counts,
+    )
+    load(with_date(outliers), options.outliers_table, load_id)
 
 
 def _raw_rows(flows: DataFrame, ranges: DataFrame | None) -> DataFrame:
@@ -181,7 +180,7 @@ def run_batch(
 ) -> None:
     """The job over a bounded input. Runs the queries and writes the tables.
 
-    With a raw table the lines are parsed once: the features are computed from the
+    `load_id` numbers the input: the same number again replaces its rows. With a raw table the lines are parsed once: the features are computed from the
     few columns they need of the raw rows just written.
     """
     frames = flow_frames(lines, options)
@@ -193,8 +192,8 @@ def run_batch(
             load_id,
             **_layout(options, RAW_CLUSTER_COLUMNS),
         )
-        written = lines.sparkSession.table(options.raw_table)
-        features = feature_rows(written.where(F.col(LOAD_COLUMN) == load_id), options)
+        written = loaded(lines.sparkSession, options.raw_table, load_id)
+        features = feature_rows(written, options)
     if options.rejects_table:
         load(with_date(frames.rejects, "event_ts"), options.rejects_table, load_id)
     load_results(features, centroids, options, load_id)
@@ -207,13 +206,15 @@ def start_stream(
     checkpoint: str,
     ranges: DataFrame | None = None,
     available_now: bool = False,
-    refresh_centroids=None,
+    refresh_centroids: Callable[[], DataFrame] | None = None,
+    on_load: Callable[[int, dict[str, int]], None] | None = None,
 ) -> list[StreamingQuery]:
     """Start the job: one query for features and outliers, one for the raw table and
     one for the rejects where the options name these.
 
     The centroids are read as they are at the start; `refresh_centroids`, a function
-    without arguments, reads them anew for each micro-batch.
+    without arguments, reads them anew for each micro-batch. `on_load` is told the
+    number of features and outliers of every load.
     """
     frames = flow_frames(lines, options)
     at_start = read_centroids(centroids)
@@ -221,6 +222,10 @@ def start_stream(
     def write_features(batch: DataFrame, batch_id: int) -> None:
         side = refresh_centroids() if refresh_centroids else at_start
         load_results(batch, side, options, batch_id)
+        if on_load:
+            names = {"features": options.features_table, "outliers": options.outliers_table}
+            spark = batch.sparkSession
+            on_load(batch_id, {n: loaded(spark, t, batch_id).count() for n, t in names.items()})
 
     every = load_interval(options)
     queries = [

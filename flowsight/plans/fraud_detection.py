@@ -25,7 +25,7 @@ from flowsight.operators.fraud import (
 from flowsight.operators.parse import parse_transaction_lines, rejected_rows, valid_rows
 from flowsight.options import FraudOptions
 from flowsight.schemas import FRAUD_PREDICTION, REJECTS, TRANSACTION, conform
-from flowsight.sinks.tables import LOAD_COLUMN, create_table, load, stream_load
+from flowsight.sinks.tables import LOAD_COLUMN, create_table, load, loaded, stream_load
 from flowsight.sources.files import with_arrival_time
 from flowsight.plans.inputs import load_interval
 from flowsight.streaming.batcher import stream_requests
@@ -105,7 +105,7 @@ def run_batch(
 ) -> None:
     """The job over a bounded input. Runs the queries and writes both tables.
 
-    The lines are parsed once: scoring reads the transactions just written.
+    `load_id` numbers the input: the same number again replaces its rows. The lines are parsed once: scoring reads the transactions just written.
     """
     load(
         conform(transactions_of(lines), TIMED),
@@ -115,10 +115,9 @@ def run_batch(
     )
     if options.rejects_table:
         load(rejects_of(lines), options.rejects_table, load_id)
-    written = lines.sparkSession.table(options.transactions_table)
-    transactions = written.where(F.col(LOAD_COLUMN) == load_id)
+    transactions = loaded(lines.sparkSession, options.transactions_table, load_id)
     load(
-        counted(score(transactions, options, model, open_scorer), "alerts"),
+        score(transactions, options, model, open_scorer),
         options.predictions_table,
         load_id,
         _shards(options),
@@ -132,8 +131,10 @@ def start_stream(
     model: PipelineModel | None = None,
     open_scorer: Scorer | None = None,
     available_now: bool = False,
+    on_load: Callable[[int, dict[str, int]], None] | None = None,
 ) -> list[StreamingQuery]:
-    """Start the transaction sink and the scoring query."""
+    """Start the transaction sink and the scoring query. `on_load` is told the number
+    of alerts of every load."""
     transactions = transactions_of(lines)
 
     def write_transactions(batch: DataFrame, batch_id: int) -> None:
@@ -179,11 +180,14 @@ def start_stream(
 
     def write_alerts(batch: DataFrame, batch_id: int) -> None:
         load(
-            counted(score_batch(batch), "alerts"),
+            score_batch(batch),
             options.predictions_table,
             batch_id,
             _shards(options),
         )
+        if on_load:
+            found = loaded(batch.sparkSession, options.predictions_table, batch_id)
+            on_load(batch_id, {"alerts": found.count()})
 
     queries.append(
         stream_load(

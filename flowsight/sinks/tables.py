@@ -119,6 +119,11 @@ def load(
     )
 
 
+def loaded(spark: SparkSession, table: str, load_id: int) -> DataFrame:
+    """The rows of one load, as they were written."""
+    return spark.table(table).where(F.col(LOAD_COLUMN) == load_id)
+
+
 def load_checked(
     df: DataFrame,
     table: str,

@@ -180,7 +180,7 @@ def test_flow_job_with_key_and_with_service(spark, folder):
 def test_flow_job_rereads_centroids(spark, folder):
     put(f"{folder}/in", 0, [1, 2], txBytes=5000)
     put(f"{folder}/in", 1, [3000])
-    options, calls = tables(spark, folder), []
+    options, calls, loads = tables(spark, folder), [], []
 
     def refresh():
         calls.append(1)
@@ -189,11 +189,12 @@ def test_flow_job_rereads_centroids(spark, folder):
     def start():
         return flow_anomaly.start_stream(
             lines_of(spark, f"{folder}/in"), centroid_table(spark), options, f"{folder}/check",
-            available_now=True, refresh_centroids=refresh,
+            available_now=True, refresh_centroids=refresh, on_load=lambda i, n: loads.append(n),
         )
 
     run_to_end(start)
     assert calls
+    assert sum(n["features"] for n in loads) == sum(n["outliers"] for n in loads) == 1
     assert spark.table(options.features_table).count() == 1
     assert spark.table(options.outliers_table).count() == 1
     assert spark.table(options.raw_table).count() == 3
@@ -249,17 +250,19 @@ def test_fraud_job_with_model(spark, folder):
 
     lines.write.text(f"{folder}/in")
     spark.createDataFrame([("{oops",)], "line string").write.mode("append").text(f"{folder}/in")
-    live = fraud_tables(spark, folder, rejects_table=f"bad_{uuid.uuid4().hex}")
+    live, loads = fraud_tables(spark, folder, rejects_table=f"bad_{uuid.uuid4().hex}"), []
 
     def start():
         return fraud_detection.start_stream(
-            stream_lines(spark, f"{folder}/in", "*.txt"), live, f"{folder}/check", model=model, available_now=True
+            stream_lines(spark, f"{folder}/in", "*.txt"), live, f"{folder}/check", model=model, available_now=True,
+            on_load=lambda i, n: loads.append(n),
         )
 
     run_to_end(start)
     assert spark.table(live.transactions_table).count() == 3000
     assert spark.table(live.predictions_table).count() == found.count()
     assert spark.table(live.rejects_table).count() == 1
+    assert sum(n["alerts"] for n in loads) == found.count()
 
 
 def test_score_needs_a_scorer(spark):
