@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -39,17 +36,13 @@ def build_session(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder `spark.checkpoint.dir` names; a local one only where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[app] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(_LOCAL_SCRATCH[app])
-    return _LOCAL_SCRATCH[app]
+    """The shared folder `spark.checkpoint.dir` names, else one below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    )
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
