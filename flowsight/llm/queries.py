@@ -8,15 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .line_dedup import line_dedup_report
-from .sql import LINE_DEDUP, SIMHASH  # noqa: F401
+from .simhash import simhash_report
+from .sql import LINE_DEDUP
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
+    "op3_simhash": op3_simhash,
 }
 
 ORACLES: dict[str, str] = {
