@@ -71,3 +71,42 @@ def per_process(key: str, make: Callable):
     if key not in store:
         store[key] = make()
     return store[key]
+
+
+GROUP_CHARS = 1 << 20
+
+
+def text_groups(texts: list[str], limit: int = GROUP_CHARS) -> Iterator[list[str]]:
+    """The texts in order, in groups of about `limit` characters; a longer text stands alone."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > limit:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
+def text_blocks(text: str, limit: int = GROUP_CHARS, keep: Iterable[str] = ()) -> Iterator[str]:
+    """A long text in blocks that begin at a blank between two letters, digits or marks.
+
+    Nothing that splits words at white space can reach over such a place. Strings of `keep`
+    that hold white space would be cut, so a text that has one stays whole.
+    """
+    if any(k in text for k in keep if len(k.split()) != 1):
+        yield text
+        return
+    start = 0
+    while len(text) - start > limit:
+        at = start + limit
+        while (at := text.find(" ", at)) > 0:
+            if not text[at - 1].isspace() and at + 1 < len(text) and not text[at + 1].isspace():
+                break
+            at += 1
+        if at <= 0:
+            break
+        yield text[start:at]
+        start = at
+    yield text[start:]
