@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import round_trip_report
 from .common import table
 from .line_dedup import line_dedup_report
+from .packing import pack_documents
 from .simhash import simhash_report
 from .sql import LINE_DEDUP
 
@@ -26,10 +27,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op3_simhash": op3_simhash,
     "op10_bpe": op10_bpe,
+    "op6_packing": op6_packing,
 }
 
 ORACLES: dict[str, str] = {
