@@ -110,3 +110,28 @@ def text_blocks(text: str, limit: int = GROUP_CHARS, keep: Iterable[str] = ()) -
         yield text[start:at]
         start = at
     yield text[start:]
+
+
+def arrow_fold(df: DataFrame, start: Callable, add: Callable, finish: Callable, schema: str) -> DataFrame:
+    """One state a partition: `start()`, `add(state, batch)` for each batch, `finish(state)` as columns."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    arrow = to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = start()
+        for batch in batches:
+            add(state, batch)
+        for columns in finish(state):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[f.name], f.type) for f in arrow], schema=arrow
+            )
+
+    return df.mapInArrow(run, schema)
+
+
+def held_out(docs: DataFrame, folds: int, fold: int) -> Column:
+    """Whether crc32 of the doc_id's text falls into the fold kept from learning; so do null ids."""
+    fallen = F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(folds)) == fold
+    return F.coalesce(fallen, F.lit(True))

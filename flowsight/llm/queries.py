@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import round_trip_report
 from .common import table
+from .langid import language_report
 from .line_dedup import line_dedup_report
 from .packing import pack_documents
 from .simhash import simhash_report
@@ -31,11 +32,16 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op3_simhash": op3_simhash,
     "op10_bpe": op10_bpe,
     "op6_packing": op6_packing,
+    "op9_language": op9_language,
 }
 
 ORACLES: dict[str, str] = {
