@@ -12,6 +12,7 @@ from .common import table
 from .langid import language_report
 from .line_dedup import line_dedup_report
 from .packing import pack_documents
+from .quality import quality_report
 from .simhash import simhash_report
 from .sql import LINE_DEDUP
 
@@ -36,12 +37,17 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_report(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op3_simhash": op3_simhash,
     "op10_bpe": op10_bpe,
     "op6_packing": op6_packing,
     "op9_language": op9_language,
+    "op4_quality": op4_quality,
 }
 
 ORACLES: dict[str, str] = {
