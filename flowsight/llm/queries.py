@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import round_trip_report
 from .common import table
+from .digest import digest_report
 from .langid import language_report
 from .line_dedup import line_dedup_report
 from .packing import pack_documents
@@ -41,6 +42,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op3_simhash": op3_simhash,
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op9_language": op9_language,
     "op4_quality": op4_quality,
+    "op2_digest": op2_digest,
 }
 
 ORACLES: dict[str, str] = {
