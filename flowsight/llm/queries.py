@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import round_trip_report
 from .common import table
 from .digest import digest_report
+from .html_extract import extract
 from .langid import language_report
 from .line_dedup import line_dedup_report
 from .packing import pack_documents
@@ -46,6 +47,10 @@ def op2_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_report(table(spark, sf_dir, "documents"))
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op3_simhash": op3_simhash,
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_language": op9_language,
     "op4_quality": op4_quality,
     "op2_digest": op2_digest,
+    "op8_html": op8_html,
 }
 
 ORACLES: dict[str, str] = {
