@@ -18,6 +18,7 @@ from .packing import pack_documents
 from .quality import quality_report
 from .simhash import simhash_report
 from .sql import LINE_DEDUP
+from .substring_dedup import passage_report
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,6 +57,10 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_report(table(spark, sf_dir, "embeddings"))
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op3_simhash": op3_simhash,
@@ -66,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_digest": op2_digest,
     "op8_html": op8_html,
     "op1_nearest": op1_nearest,
+    "op5_substring": op5_substring,
 }
 
 ORACLES: dict[str, str] = {
