@@ -136,7 +136,8 @@ def _gathered(docs: DataFrame, labels: DataFrame, train_rows: int) -> DataFrame:
         docs["doc_id"].cast("long").alias("doc_id"), whole_text(docs).alias("text")
     )
     picked = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < limit
-    rows = rows.join(label, F.col("doc_id") == F.col("id")).select("doc_id", "y", picked.alias("picked"), "text")
+    # always by shuffle: the plan of the labels must not change with their number
+    rows = rows.join(label.hint("shuffle_hash"), F.col("doc_id") == F.col("id")).select("doc_id", "y", picked.alias("picked"), "text")
 
     def start() -> dict:
         return {"counts": np.zeros((2, BUCKETS), np.int64), "rows": np.zeros(2, np.int64), "sample": []}
