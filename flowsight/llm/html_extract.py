@@ -245,11 +245,12 @@ def winning_paths(parsed: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars."""
-    parsed = written(parsed_pages(pages), "page-blocks")
+    """page_id, url, text, n_chars. Parses twice rather than keep the blocks of all pages on disk."""
+    parsed = parsed_pages(pages)
+    hosts = written(winning_paths(parsed), "host-paths")
     n = shuffle_partitions(pages.sparkSession)
     salts = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    winners = winning_paths(parsed).select(F.col("host").alias("of_host"), "winner", salts.alias("of_salt"))
+    winners = hosts.select(F.col("host").alias("of_host"), "winner", salts.alias("of_salt"))
     salted = parsed.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(n)).cast("int"))
     joined = salted.join(
         winners, (F.col("host") == F.col("of_host")) & (F.col("salt") == F.col("of_salt")), "left"
