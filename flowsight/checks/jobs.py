@@ -40,6 +40,7 @@ def _flow_options() -> FlowOptions:
         features_table=f"features_{tag}",
         outliers_table=f"outliers_{tag}",
         raw_table=f"raw_{tag}",
+        feature_rejects_table=f"feature_rejects_{tag}",
         write_method="file_loads",
         file_shards=4,
     )
@@ -50,6 +51,7 @@ def _fraud_options() -> FraudOptions:
     return FraudOptions(
         transactions_table=f"transactions_{tag}",
         predictions_table=f"predictions_{tag}",
+        transaction_rejects_table=f"transaction_rejects_{tag}",
         window_seconds=REQUEST_WINDOW,
         batch_bytes=REQUEST_BYTES,
         key_range=SHARDS,
@@ -106,6 +108,18 @@ def flow_job_raw(spark, sf):
     return spark.table(options.raw_table).drop("dt", "load_id", "event_ts")
 
 
+def two_loads_append(spark, sf):
+    """Two runs over the halves of the events: the second leaves the first as it is."""
+    folder, options = scratch_path(spark, "flow"), _flow_options()
+    flow_anomaly.create_tables(spark, options, folder)
+    centroids = _written_centroids(spark, sf, folder)
+    events, half = V.table(spark, sf, "events"), F.col("event_id") % 2
+    for part in (0, 1):
+        lines = _flow_text(events.where(half == part))
+        flow_anomaly.run_batch(lines, centroids, options, V.geo_ranges(spark, sf))
+    return spark.table(options.raw_table).drop("dt", "load_id", "event_ts")
+
+
 def fraud_job_alerts(spark, sf):
     folder, options = scratch_path(spark, "fraud"), _fraud_options()
     fraud_detection.create_tables(spark, options, folder)
@@ -232,6 +246,7 @@ JOB_QUERIES = {
         flow_job_features,
         flow_job_outliers,
         flow_job_raw,
+        two_loads_append,
         fraud_job_alerts,
         stream_features,
         stream_late_rows,

@@ -49,7 +49,11 @@ _FIELD = "json_extract_string(line, '$.{}')".format
 
 
 def _safe(lines: str) -> str:
-    return f"SELECT *, CASE WHEN json_valid(line) THEN line END AS good FROM ({lines})"
+    whole = (
+        "CASE WHEN json_type(line) = 'OBJECT' AND NOT (json_extract_string(line, '$.srcPort') IS NOT NULL "
+        "AND TRY_CAST(json_extract_string(line, '$.srcPort') AS INT) IS NULL) THEN line END"
+    )
+    return f"SELECT *, CASE WHEN json_valid(line) THEN {whole} END AS good FROM ({lines})"
 
 
 _SAFE = _safe(LINES)
@@ -195,6 +199,12 @@ ORACLES: dict[str, str] = {
     "json_rejects": "SELECT line, status, CASE WHEN status = 'bad_json' THEN 'Not a valid JSON record ' "
     f"ELSE 'Not a valid IP address ' END || line AS error FROM ({STATUS}) WHERE status <> 'ok'",
     "json_valid_rows": f"SELECT event_id, {_typed_fields()} FROM ({STATUS}) WHERE status = 'ok'",
+    "transaction_status": "SELECT o_orderkey, CASE WHEN NOT json_valid(line) THEN 'bad_json' "
+    "WHEN json_type(line) <> 'OBJECT' OR json_extract_string(line, '$.step') = 'x' THEN 'bad_json' ELSE 'ok' END AS status "
+    f"FROM (WITH t AS ({TRANSACTIONS}) {V.duck(V.PAYMENT_LINES, 't')})",
+    "two_loads_append": "SELECT f.* EXCLUDE (event_id, event_ts), g.geoCountry, g.geoCity, g.latitude, g.longitude "
+    f"FROM ({_valid_flows(INJECTED)}) f LEFT JOIN ({V.duck(V.GEO, 'nation JOIN region ON n_regionkey = r_regionkey')}) g "
+    f"ON {_ip_number('f.srcIP')} BETWEEN g.start_ip AND g.end_ip",
     "transaction_json_rows": f"SELECT {', '.join(TRANSACTION.fieldNames())} FROM ({TRANSACTIONS})",
     "flow_restamped": f"SELECT event_id, {FLOW_NAMES.replace('startTime, endTime, ', '')}, true AS restamped FROM ({FLOW})",
     "ipv4_predicate": f"SELECT event_id, {_ok(_FIELD('srcIP').replace('line', 'good'))} AS src_ok, "
@@ -213,6 +223,15 @@ ORACLES: dict[str, str] = {
     "nearest_centroid": _scored(
         f"SELECT {KEYS}, centroid_id, round(distance, 6) AS distance FROM scored"
     ),
+    "nearest_centroid_in_code": _scored(
+        f"SELECT {KEYS}, centroid_id, round(distance, 6) AS distance FROM scored"
+    ),
+    "nearest_of_many": f"WITH {V.normalized_sql()}, many AS (SELECT {V.CLUSTER_OF_MANY} AS centroid_id, "
+    + ", ".join(f"avg({c}) AS {c}" for c in VECTOR_COLUMNS)
+    + " FROM clean GROUP BY 1), near AS (SELECT f.*, c.centroid_id, sqrt("
+    + " + ".join(f"power(f.{c} - c.{c}, 2)" for c in VECTOR_COLUMNS)
+    + f") AS distance FROM clean f CROSS JOIN many c QUALIFY row_number() OVER (PARTITION BY {', '.join('f.' + k for k in KEYS.split(', '))} "
+    f"ORDER BY distance, c.centroid_id) = 1) SELECT {KEYS}, centroid_id, round(distance, 5) AS distance FROM near",
     "centroid_distance": f"WITH {V.normalized_sql()}, d AS (SELECT {KEYS.replace('s', 's', 1)}, c.centroid_id, sqrt("
     + " + ".join(f"power(f.{c} - c.{c}, 2)" for c in VECTOR_COLUMNS)
     + f") AS x FROM clean f CROSS JOIN normalized c) SELECT {KEYS}, "

@@ -98,6 +98,11 @@ def transaction_json_rows(spark, sf):
     return parse.valid_rows(parse.parse_transaction_lines(rows)).drop("o_orderkey")
 
 
+def transaction_status(spark, sf):
+    lines = V.project(V.transactions(spark, sf), V.PAYMENT_LINES)
+    return parse.parse_transaction_lines(lines).select("o_orderkey", "status")
+
+
 def flow_restamped(spark, sf):
     """Restamped times are new and 0..59 ms apart; all else is as it was."""
     rows = parse.restamp(V.flow_logs(spark, sf), seed=1)
@@ -109,11 +114,11 @@ def flow_restamped(spark, sf):
 
 
 def ipv4_predicate(spark, sf):
-    lines = V.flow_lines(spark, sf)
-    return lines.select(
+    known = F.col("status") != parse.BAD_JSON
+    return _parsed(spark, sf).select(
         "event_id",
-        netaddr.is_ipv4(F.get_json_object("line", "$.srcIP")).alias("src_ok"),
-        netaddr.is_ipv4(F.get_json_object("line", "$.dstIP")).alias("dst_ok"),
+        netaddr.is_ipv4(F.when(known, F.col("srcIP"))).alias("src_ok"),
+        netaddr.is_ipv4(F.when(known, F.col("dstIP"))).alias("dst_ok"),
     )
 
 
@@ -183,6 +188,29 @@ def nearest_centroid(spark, sf):
     )
 
 
+def nearest_centroid_in_code(spark, sf):
+    """The other method, over rows that carry columns of the result's names."""
+    rows = V.features(spark, sf, injected=True)
+    rows = rows.withColumns({"centroid_id": F.lit(-1), "distance": F.lit(-1.0)})
+    side = scoring.read_centroids(V.normalized_centroids(spark, sf))
+    rows = scoring.nearest_centroid(rows, side, method="code")
+    return rows.select(
+        *KEYS,
+        F.col("nearest.centroid_id").alias("centroid_id"),
+        F.round("nearest.distance", 6).alias("distance"),
+    )
+
+
+def nearest_of_many(spark, sf):
+    """Twelve centroids, over rows that carry columns of the result's names."""
+    rows = V.features(spark, sf)
+    side = rows.withColumn("centroid_id", F.expr(V.CLUSTER_OF_MANY)).groupBy("centroid_id")
+    side = side.agg(*[F.avg(c).alias(c) for c in VECTOR_COLUMNS])
+    rows = rows.withColumns({"centroid_id": F.lit(-1), "distance": F.lit(-1.0)})
+    scored = scoring.score_rows(rows, side)
+    return scored.select(*KEYS, "centroid_id", F.round("distance", 5).alias("distance"))
+
+
 def centroid_distance(spark, sf):
     rows = scoring.centroid_distances(
         V.features(spark, sf), V.normalized_centroids(spark, sf)
@@ -508,7 +536,7 @@ def model_evaluation(spark, sf):
 
 def _gbt(spark, sf):
     rows = fraud.training_set(V.transactions(spark, sf), fraction=0.5)
-    return fraud.fit_fraud_model(rows, iterations=10, step_size=0.3, max_depth=4)
+    return fraud.fit_fraud_model(rows, iterations=40, step_size=0.3)
 
 
 def gbt_scores(spark, sf):
@@ -517,7 +545,7 @@ def gbt_scores(spark, sf):
 
 
 def fraud_alerts(spark, sf):
-    return fraud.alerts(fraud.prediction_rows(gbt_scores(spark, sf)), 0.9)
+    return fraud.alerts(fraud.prediction_rows(gbt_scores(spark, sf)))
 
 
 # ---- generators and messages ----
@@ -593,6 +621,7 @@ BATCH_QUERIES: dict[str, Query] = {
         json_rejects,
         json_valid_rows,
         transaction_json_rows,
+        transaction_status,
         flow_restamped,
         ipv4_predicate,
         ip_to_int,
@@ -603,6 +632,8 @@ BATCH_QUERIES: dict[str, Query] = {
         geo_enrich_bucketed,
         feature_vector,
         nearest_centroid,
+        nearest_centroid_in_code,
+        nearest_of_many,
         centroid_distance,
         row_spread,
         outliers,

@@ -72,13 +72,31 @@ def _json_object() -> str:
     return f"concat({', '.join(parts)}, '}}}}')"
 
 
+# lines that are no JSON object of the schema, and two that are one despite white space
+_OTHER_LINES = {
+    9: "concat({object}, '{{{{}}}}')",
+    19: "concat({object}, ' junk}}}}')",
+    29: "concat({object}, chr(9))",
+    39: "concat({object}, chr(13))",
+    49: "concat('[', {object}, ']')",
+    59: "''",
+    69: "concat('{{{{\"subscriberId\":\"1\",\"srcPort\":\"x\",\"srcIP\":\"', srcIP, '\",\"dstIP\":\"', dstIP, '\"}}}}')",
+}
+
+
+def _other_lines(number: str, text: str) -> str:
+    return " ".join(
+        f"WHEN {number} % 154 = {k} THEN {line.format(object=text)}" for k, line in _OTHER_LINES.items()
+    )
+
+
 # raw text over FLOW: some lines are cut off, some hold an address that is none
 LINES = {
     "event_id": "event_id",
     "line": "CASE WHEN event_id % 77 = 5 THEN '{{\"subscriberId\":' "
     "WHEN event_id % 50 = 3 THEN concat('{{\"subscriberId\":\"', subscriberId, "
     "'\",\"srcIP\":\"12.0.9.400\",\"dstIP\":\"', dstIP, '\"}}') "
-    f"ELSE {_json_object()} END",
+    f"{_other_lines('event_id', _json_object())} ELSE {_json_object()} END",
     "event_ts": "event_ts",
 }
 
@@ -100,6 +118,15 @@ TRANSACTIONS = {
     "o_orderkey": "o_orderkey",
 }
 
+# raw payment text over TRANSACTIONS, with the same kinds of bad lines
+_PAYMENT = "concat('{{\"transactionId\":\"', transactionId, '\"}}')"
+PAYMENT_LINES = {
+    "o_orderkey": "o_orderkey",
+    "line": f"CASE {' '.join(f'WHEN o_orderkey % 80 = {k} THEN {line.format(object=_PAYMENT)}' for k, line in _OTHER_LINES.items() if k != 69)} "
+    "WHEN o_orderkey % 80 = 69 THEN '{{\"step\":\"x\"}}' WHEN o_orderkey % 80 = 70 THEN '{{\"step\":' "
+    f"ELSE {_PAYMENT} END",
+}
+
 GEO = {
     "start_ip": "CAST(201326592 + n_nationkey * 128 AS BIGINT)",
     "end_ip": "CAST(201326592 + n_nationkey * 128 + 99 AS BIGINT)",
@@ -115,6 +142,7 @@ CLUSTER_OF = (
     "WHEN max_tx_bytes < 20000 THEN 3 ELSE 4 END"
 )
 N_CLUSTERS = 4
+CLUSTER_OF_MANY = f"CAST(({CLUSTER_OF}) * 3 + number_of_records % 3 AS INT)"
 
 
 _SCHEMAS: dict[str, StructType] = {}

@@ -10,18 +10,11 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsight.functions.vectors import as_double, differences, euclidean
 from flowsight.operators.sampling import take_seeded
 from flowsight.operators.scoring import nearest_centroid
 from flowsight.schemas import CENTROIDS_LONG, TRAINING_INFO, VECTOR_COLUMNS
 from flowsight.sources.tables import partition_range
 
-# Fixed value: most rows a training table takes.
-TRAIN_LIMIT = 99_999
-
-# Rows of a centroid table that are broadcast, about 1 MB.
-BROADCAST_CENTROIDS = 10_000
-
 _KEY_COLUMNS = ["subscriber_id", "dst_subnet", "transaction_time"]
 
 
@@ -37,10 +30,10 @@ def train_rows(
     features: DataFrame,
     date_from: str | dt.date,
     date_to: str | dt.date,
-    limit: int | None = TRAIN_LIMIT,
+    limit: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """Usable rows of the day partitions in range, at most `limit` of them.
+    """Usable rows of the day partitions in range, all or, if asked, `limit` of them.
 
     Which rows a bare LIMIT takes is arbitrary and funnels them through one task;
     here the choice is seeded and stays distributed.
@@ -122,45 +115,23 @@ def pivot_centroids(long: DataFrame, columns: list[str] = VECTOR_COLUMNS) -> Dat
     )
 
 
-def small_side(centroids: DataFrame) -> DataFrame:
-    """The centroid table as a broadcast side if it is as small as it should be.
-
-    Reads it once. Joined by shuffle, the rows of a whole cluster would meet in one
-    task; a table beyond the limit is left to that, with the skew handling of AQE.
-    """
-    rows = centroids.limit(BROADCAST_CENTROIDS + 1).collect()
-    if len(rows) > BROADCAST_CENTROIDS:
-        return centroids
-    return F.broadcast(centroids.sparkSession.createDataFrame(rows, centroids.schema))
-
-
-def _summed_difference(compat: bool) -> str:
-    terms = []
-    for name in VECTOR_COLUMNS:
-        other = name
-        if compat and name in ("avg_tx_bytes", "avg_rx_bytes"):
-            other = name.replace("avg", "min")
-        terms.append(f"(p.{name} - c.{other})")
-    return " + ".join(terms)
-
-
 def centroid_spread(
     assigned: DataFrame, centroids: DataFrame, compat: bool = False
 ) -> DataFrame:
     """The normalised centroid table: per cluster, the standard deviation of the
     summed differences between its rows and its centroid.
 
-    `compat` subtracts the minima of the centroid from the two byte averages and
-    puts out min_tx_bytes as min_rx_bytes.
+    The centroid is a constant of its cluster and moves no deviation, so the rows are
+    aggregated alone and k rows meet k rows. `compat`, which would subtract other
+    columns of the centroid, for that reason only puts out min_tx_bytes as min_rx_bytes.
     """
-    joined = assigned.alias("p").join(small_side(centroids).alias("c"), "centroid_id")
+    summed = F.expr(" + ".join(VECTOR_COLUMNS))
+    spread = assigned.groupBy("centroid_id").agg(F.stddev_samp(summed).alias("normalized_dest"))
     out = {c: c for c in VECTOR_COLUMNS}
     if compat:
         out["min_rx_bytes"] = "min_tx_bytes"
-    return joined.groupBy("centroid_id").agg(
-        F.stddev_samp(F.expr(_summed_difference(compat))).alias("normalized_dest"),
-        *[F.any_value(f"c.{source}").alias(name) for name, source in out.items()],
-    )
+    columns = [F.col(source).alias(name) for name, source in out.items()]
+    return spread.join(centroids.select("centroid_id", *columns), "centroid_id")
 
 
 def cluster_report(
@@ -195,6 +166,10 @@ def iteration_info(scored: DataFrame, iteration: int) -> DataFrame:
         F.sqrt(F.avg(F.col("distance") * F.col("distance"))).alias("cluster_radius"),
         F.count(F.lit(1)).alias("cluster_size"),
     )
+    return _info_row(clusters, iteration)
+
+
+def _info_row(clusters: DataFrame, iteration: int) -> DataFrame:
     entry = F.struct("centroid_id", "cluster_radius", "cluster_size")
     return clusters.agg(
         F.array_sort(F.collect_list(entry)).alias("cluster_info")
@@ -208,14 +183,21 @@ def model_training_info(model: PipelineModel, assigned: DataFrame, centroids: Da
     """Training-info row of the last iteration of a fitted model, radii in the
     standardised space the model was trained in."""
     deviations = feature_deviations(model)
-    joined = assigned.alias("p").join(small_side(centroids).alias("c"), "centroid_id")
-    diffs = differences(
-        [as_double(f"p.{c}") for c in VECTOR_COLUMNS],
-        [as_double(f"c.{c}") for c in VECTOR_COLUMNS],
-        [deviations[c] for c in VECTOR_COLUMNS],
+    moments = assigned.groupBy("centroid_id").agg(
+        F.count(F.lit(1)).alias("cluster_size"),
+        *[F.avg(c).alias(f"mean_{c}") for c in VECTOR_COLUMNS],
+        *[F.var_pop(c).alias(f"var_{c}") for c in VECTOR_COLUMNS],
+    )
+    # mean square distance to the centroid: variance plus square of the mean's distance
+    terms = [
+        (F.col(f"var_{c}") + F.pow(F.col(f"mean_{c}") - F.col(c), F.lit(2.0)))
+        / F.lit((float(deviations[c]) or 1.0) ** 2)
+        for c in VECTOR_COLUMNS
+    ]
+    clusters = moments.join(centroids, "centroid_id").select(
+        "centroid_id", F.sqrt(sum(terms[1:], terms[0])).alias("cluster_radius"), "cluster_size"
     )
-    scored = joined.select("centroid_id", F.expr(euclidean(diffs)).alias("distance"))
-    return iteration_info(scored, model.stages[2].summary.numIter)
+    return _info_row(clusters, model.stages[2].summary.numIter)
 
 
 def kmeans_step(

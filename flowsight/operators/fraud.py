@@ -36,9 +36,6 @@ UNUSED_COLUMNS = ["nameOrig", "nameDest", "isFlaggedFraud"]
 # Fixed value: an alert needs at least this probability.
 PROBABILITY = 0.99
 
-# A categorical column with more values than this is not one-hot encoded.
-VOCABULARY_LIMIT = 10_000
-
 
 def model_input(transactions: DataFrame) -> DataFrame:
     """The eight columns the model is served with."""
@@ -141,13 +138,8 @@ def training_set(
 
 def vocabulary(df: DataFrame, column: str = CATEGORICAL_COLUMN) -> Column:
     """The distinct values of a categorical column, sorted, as a scalar subquery."""
-    values = df.select(column).distinct().limit(VOCABULARY_LIMIT + 1)
-    checked = F.when(
-        F.count(F.lit(1)) <= VOCABULARY_LIMIT, F.array_sort(F.collect_list(column))
-    ).otherwise(
-        F.raise_error(F.lit(f"{column} has more than {VOCABULARY_LIMIT} values"))
-    )
-    return values.agg(checked.alias("vocabulary")).scalar()
+    values = df.select(column).distinct()
+    return values.agg(F.array_sort(F.collect_list(column)).alias("vocabulary")).scalar()
 
 
 def one_hot(df: DataFrame, train: DataFrame, column: str = CATEGORICAL_COLUMN) -> DataFrame:

@@ -25,13 +25,18 @@ def _parse(lines: DataFrame, schema: StructType) -> DataFrame:
     record = F.from_json(
         "line",
         with_corrupt,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT},
+        {
+            "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": _CORRUPT,
+            "allowSingleQuotes": "false",
+        },
     )
     # Exploding the one record keeps filters on it from being pushed below, where
     # the line would be parsed again for every field they use.
     parsed = lines.select("*", F.explode(F.array(record)).alias("record"))
-    # the parser stops behind the first object, so text after it needs its own check
-    whole = F.rtrim(F.col("line")).endswith("}")
+    # the parser stops behind the first object: the whole line has to be one element
+    listed = F.concat(F.lit("["), F.col("line"), F.lit(",0]"))
+    whole = F.json_array_length(listed) == 2
     return parsed.withColumn(
         "_bad",
         F.col("record").isNull()
@@ -40,11 +45,16 @@ def _parse(lines: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
+# How the text of a rejected line begins.
+BAD_JSON_TEXT = "Not a valid JSON record "
+BAD_IP_TEXT = "Not a valid IP address "
+
+
 def _error_text(status: Column) -> Column:
     return F.when(
-        status == BAD_JSON, F.concat(F.lit("Not a valid JSON record "), F.col("line"))
+        status == BAD_JSON, F.concat(F.lit(BAD_JSON_TEXT), F.col("line"))
     ).when(
-        status != OK, F.concat(F.lit("Not a valid IP address "), F.col("line"))
+        status != OK, F.concat(F.lit(BAD_IP_TEXT), F.col("line"))
     )
 
 

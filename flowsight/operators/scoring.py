@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +28,10 @@ from flowsight.schemas import OUTLIERS, VECTOR_COLUMNS
 # Fixed value: a row is an outlier strictly above this score.
 THRESHOLD = 2.0
 
-# Up to this many centroids the distances are written out in generated code; the
-# code of more would be too large to be compiled, and Arrow batches are faster.
-UNROLL_LIMIT = 6
-# Centroids per pass over the rows, and per distance matrix inside a pass.
-PASS_SIZE, MATRIX_SIZE = 100_000, 256
+# Centroids per distance matrix of a batch.
+MATRIX_SIZE = 256
+# Columns that carry the result through the batches.
+_CARRIER = "_nearest_"
 
 _N = len(VECTOR_COLUMNS)
 _RESULT = StructType(
@@ -63,10 +61,10 @@ class Centroids:
         return self.vectors - self.vectors.sum(axis=1, keepdims=True) / _N
 
 
-def read_centroids(centroids: DataFrame) -> list[Centroids]:
-    """The side table as constants, in blocks of at most about PASS_SIZE rows.
+def read_centroids(centroids: DataFrame) -> Centroids:
+    """The side table as constants: model parameters, 12 numbers for each centroid.
 
-    Runs the query behind it. A row with a null dimension is no centroid.
+    Runs the query behind it, once. A row with a null dimension is no centroid.
     """
     norm = "normalized_dest" if "normalized_dest" in centroids.columns else "NULL"
     rows = centroids.where(not_null(["centroid_id", *VECTOR_COLUMNS])).selectExpr(
@@ -74,20 +72,11 @@ def read_centroids(centroids: DataFrame) -> list[Centroids]:
         f"CAST({norm} AS DOUBLE) AS norm",
         *[f"CAST({c} AS DOUBLE) AS {c}" for c in VECTOR_COLUMNS],
     )
-    first = rows.limit(PASS_SIZE + 1).collect()
-    if len(first) <= PASS_SIZE:
-        return [_block(first)] if first else []
-    parts = ceil(2 * rows.count() / PASS_SIZE)
-    slot = F.pmod(F.xxhash64("id"), F.lit(parts))
-    return [_block(rows.where(slot == p).collect()) for p in range(parts)]
-
-
-def _block(rows: list) -> Centroids:
-    rows = sorted(rows, key=lambda r: r["id"])
+    found = sorted(rows.collect(), key=lambda r: r["id"])
     return Centroids(
-        np.array([r["id"] for r in rows], dtype=np.int32),
-        np.array([np.nan if r["norm"] is None else r["norm"] for r in rows]),
-        np.array([[r[c] for c in VECTOR_COLUMNS] for r in rows]).reshape(-1, _N),
+        np.array([r["id"] for r in found], dtype=np.int32),
+        np.array([np.nan if r["norm"] is None else r["norm"] for r in found], dtype=float),
+        np.array([[r[c] for c in VECTOR_COLUMNS] for r in found], dtype=float).reshape(-1, _N),
     )
 
 
@@ -181,10 +170,9 @@ def _scored_in_batches(
     by = (
         np.array([float(scale[c]) or 1.0 for c in VECTOR_COLUMNS]) if scale else None
     )
-    extra = [f.name for f in _RESULT]
-    again = extra[0] in features.columns
-    names = [c for c in features.columns if c not in extra]
-    schema = StructType([features.schema[c] for c in names] + _RESULT.fields)
+    names = features.columns
+    carried = [StructField(_CARRIER + f.name, f.dataType) for f in _RESULT]
+    schema = StructType(features.schema.fields + carried)
 
     def matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
         picked = [
@@ -202,14 +190,6 @@ def _scored_in_batches(
             d = (y - y.sum(axis=1, keepdims=True) / _N) - deviations[pos]
             spread = np.sqrt((d * d).sum(axis=1) / (_N - 1))
             ids, norms = model.ids[pos], model.norms[pos]
-            if again:  # an earlier pass found a nearer one, or the same with a lower id
-                before = [batch.column(c).to_numpy(zero_copy_only=False) for c in extra]
-                before[2] = before[2].astype(float)
-                keep = (before[0] < distance) | ((before[0] == distance) & (before[1] < ids))
-                distance, ids, norms, spread = (
-                    np.where(keep, old, new)
-                    for old, new in zip(before, (distance, ids, norms, spread))
-                )
             results = [
                 pa.array(distance, pa.float64()),
                 pa.array(ids.astype(np.int32), pa.int32()),
@@ -217,17 +197,20 @@ def _scored_in_batches(
                 pa.array(spread, pa.float64()),
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in names] + results, names=names + extra
+                batch.columns + results, names=names + [f.name for f in carried]
             )
 
-    return features.where(not_null()).mapInArrow(run, schema)
+    scored = features.where(not_null()).mapInArrow(run, schema)
+    result = F.struct(*[F.col(_CARRIER + f.name).alias(f.name) for f in _RESULT])
+    return scored.select(*names, result.alias("nearest"))
 
 
 def nearest_centroid(
     features: DataFrame,
-    centroids: DataFrame | list[Centroids],
+    centroids: DataFrame | Centroids,
     scale: dict[str, float] | None = None,
     spread_columns: list[str] = VECTOR_COLUMNS,
+    method: str = "arrow",
 ) -> DataFrame:
     """Adds `nearest`: distance, centroid_id, normalized_dest and the spread to it.
 
@@ -235,29 +218,29 @@ def nearest_centroid(
     and drops out; without centroids there are no rows. `scale` holds a deviation
     per dimension to compare standardised values. A centroid table given as
     DataFrame is read at once; `read_centroids` reads it ahead.
+
+    Both methods give the same rows: "arrow" compares batches in numpy, for any number of
+    centroids; "code" writes the distances out in generated code, for a handful.
     """
-    blocks = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
-    if not blocks:
+    model = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
+    features = features.drop("nearest")
+    if not len(model):
         empty = F.lit(None).cast(_RESULT)
         return features.where(F.lit(False)).withColumn("nearest", empty)
-    if len(blocks) == 1 and len(blocks[0]) <= UNROLL_LIMIT:
-        return _scored_in_code(features, blocks[0], scale, spread_columns)
-    df = features
-    for block in blocks:
-        df = _scored_in_batches(df, block, scale, spread_columns)
-    result = F.struct(*[f.name for f in _RESULT]).alias("nearest")
-    return df.select(*features.columns, result)
+    if method not in ("arrow", "code"):
+        raise ValueError(f"no method {method}")
+    scored = _scored_in_code if method == "code" else _scored_in_batches
+    return scored(features, model, scale, spread_columns)
 
 
 def centroid_distances(
-    features: DataFrame, centroids: DataFrame | list[Centroids]
+    features: DataFrame, centroids: DataFrame | Centroids
 ) -> DataFrame:
-    """Adds one column `distance_<centroid_id>` per centroid."""
-    blocks = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
+    """Adds one column `distance_<centroid_id>` per centroid: a report for small models."""
+    model = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
     exprs = [
         f"{distance} AS distance_{i}"
-        for block in blocks
-        for i, distance in zip(block.ids, _distance_exprs(block, None))
+        for i, distance in zip(model.ids, _distance_exprs(model, None))
     ]
     return _staged(features).selectExpr(*[f"`{c}`" for c in features.columns], *exprs)
 
@@ -272,11 +255,11 @@ _ROTATED = {
 
 def score_rows(
     features: DataFrame,
-    centroids: DataFrame | list[Centroids],
+    centroids: DataFrame | Centroids,
     scale: dict[str, float] | None = None,
     rotate_counts: bool = False,
 ) -> DataFrame:
-    """Adds distance, centroid_id, normalized_dest and spread.
+    """Adds distance, centroid_id, normalized_dest and spread, over columns of these names.
 
     `rotate_counts` (compat) shifts the three counts by one place between the
     nearest-centroid and the spread step.
@@ -287,7 +270,8 @@ def score_rows(
     scored = nearest_centroid(features, centroids, scale, spread_columns)
     if rotate_counts:
         scored = scored.withColumns({c: F.col(s) for c, s in _ROTATED.items()})
-    return scored.select(*features.columns, "nearest.*")
+    kept = [c for c in features.columns if c not in _RESULT.names and c != "nearest"]
+    return scored.select(*kept, "nearest.*")
 
 
 def is_outlier(threshold: float = THRESHOLD) -> str:
@@ -300,7 +284,7 @@ def is_outlier(threshold: float = THRESHOLD) -> str:
 
 def find_outliers(
     features: DataFrame,
-    centroids: DataFrame | list[Centroids],
+    centroids: DataFrame | Centroids,
     threshold: float = THRESHOLD,
     scale: dict[str, float] | None = None,
     rotate_counts: bool = False,

@@ -20,7 +20,10 @@ class FlowOptions:
     # lines that are no valid record; None: not kept
     rejects_table: str | None = None
     # features with a null in a required column; None: they fail the load
-    feature_rejects_table: str | None = None
+    feature_rejects_table: str | None = "cluster_model_rejects"
+    # field of the record with the event time, epoch milliseconds; where it is null, and
+    # with arrival_time for all, the time of reading counts
+    event_time_field: str | None = "startTime"
     # file with the SQL text that reads the centroids, and table of address ranges
     cluster_query: str | None = None
     geo_table: str | None = None
@@ -62,6 +65,8 @@ class FraudOptions:
     input_glob: str = "*.json"
     poll_seconds: int = 10
     transactions_table: str = "transactions"
+    # transactions without an id; None: they fail the load
+    transaction_rejects_table: str | None = "transaction_rejects"
     predictions_table: str = "fraud_prediction"
     rejects_table: str | None = None
     write_method: str = "streaming_inserts"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -65,11 +66,16 @@ class FlowFrames:
 
 def flow_frames(lines: DataFrame, options: FlowOptions = FlowOptions()) -> FlowFrames:
     """Valid flows, rejects and features of `line, event_ts` records."""
-    if options.arrival_time or "event_ts" not in lines.columns:
-        lines = with_arrival_time(lines)
-    if lines.isStreaming:
-        lines = with_watermark(lines, "event_ts", options.allowed_lateness_seconds)
+    field = options.event_time_field
+    stamped = "event_ts" in lines.columns and not options.arrival_time
+    if not stamped and (options.arrival_time or not field):
+        lines, stamped = with_arrival_time(lines), True
     parsed = parse_flow_lines(lines)
+    if not stamped:
+        own = F.timestamp_millis(F.col(field))
+        parsed = parsed.withColumn("event_ts", F.coalesce(own, F.current_timestamp()))
+    if parsed.isStreaming:
+        parsed = with_watermark(parsed, "event_ts", options.allowed_lateness_seconds)
     flows = valid_rows(parsed)
     if options.restamp:
         flows = restamp(flows)
@@ -93,17 +99,25 @@ def feature_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
     )
 
 
+def stored_features(spark: SparkSession, options: FlowOptions) -> StructType:
+    """The feature columns and, with inspection, the counts of what was found."""
+    if not options.inspect_columns:
+        return FEATURES
+    return inspect_columns(spark.createDataFrame([], FEATURES), options.inspect_columns).schema
+
+
 def create_tables(
     spark: SparkSession, options: FlowOptions, location: str | None = None
 ) -> None:
     """Define the job's tables: day partitions, one load number per micro-batch."""
-    specs = [(options.features_table, FEATURES), (options.outliers_table, OUTLIERS)]
+    features = stored_features(spark, options)
+    specs = [(options.features_table, features), (options.outliers_table, OUTLIERS)]
     if options.raw_table:
         specs.append((options.raw_table, RAW))
     if options.rejects_table:
         specs.append((options.rejects_table, REJECTS))
     if options.feature_rejects_table:
-        specs.append((options.feature_rejects_table, FEATURES))
+        specs.append((options.feature_rejects_table, features))
     for table, schema in specs:
         path = f"{location}/{table.split('.')[-1]}" if location else None
         create_table(spark, table, schema, [LOAD_COLUMN, DATE_COLUMN], path)
@@ -134,9 +148,9 @@ def tokenized_by_service(features: DataFrame, options: FlowOptions) -> DataFrame
 
 def load_results(
     features: DataFrame,
-    centroids: DataFrame | list[Centroids],
+    centroids: DataFrame | Centroids,
     options: FlowOptions,
-    load_id: int,
+    load_id: str,
 ) -> None:
     """Write one batch of features, then its outliers, scored from the rows written:
     the aggregation runs once and nothing has to be cached."""
@@ -176,13 +190,16 @@ def run_batch(
     centroids: DataFrame,
     options: FlowOptions = FlowOptions(),
     ranges: DataFrame | None = None,
-    load_id: int = 0,
+    load_id: str | None = None,
 ) -> None:
     """The job over a bounded input. Runs the queries and writes the tables.
 
-    `load_id` numbers the input: the same number again replaces its rows. With a raw table the lines are parsed once: the features are computed from the
-    few columns they need of the raw rows just written.
+    Every run adds its rows under a name of its own. `load_id` names the input: the same
+    name again replaces its rows, for a run that is tried once more. With a raw table the
+    lines are parsed once: the features are computed from the few columns they
+    need of the raw rows just written.
     """
+    load_id = load_id or uuid.uuid4().hex
     frames = flow_frames(lines, options)
     features = frames.features
     if options.raw_table:
@@ -207,25 +224,25 @@ def start_stream(
     ranges: DataFrame | None = None,
     available_now: bool = False,
     refresh_centroids: Callable[[], DataFrame] | None = None,
-    on_load: Callable[[int, dict[str, int]], None] | None = None,
+    on_load: Callable[[str, dict[str, int]], None] | None = None,
 ) -> list[StreamingQuery]:
     """Start the job: one query for features and outliers, one for the raw table and
     one for the rejects where the options name these.
 
     The centroids are read as they are at the start; `refresh_centroids`, a function
     without arguments, reads them anew for each micro-batch. `on_load` is told the
-    number of features and outliers of every load.
+    name of every load and its number of features and outliers.
     """
     frames = flow_frames(lines, options)
     at_start = read_centroids(centroids)
 
-    def write_features(batch: DataFrame, batch_id: int) -> None:
+    def write_features(batch: DataFrame, load_id: str) -> None:
         side = refresh_centroids() if refresh_centroids else at_start
-        load_results(batch, side, options, batch_id)
+        load_results(batch, side, options, load_id)
         if on_load:
             names = {"features": options.features_table, "outliers": options.outliers_table}
             spark = batch.sparkSession
-            on_load(batch_id, {n: loaded(spark, t, batch_id).count() for n, t in names.items()})
+            on_load(load_id, {n: loaded(spark, t, load_id).count() for n, t in names.items()})
 
     every = load_interval(options)
     queries = [
@@ -239,11 +256,11 @@ def start_stream(
     ]
     if options.raw_table:
 
-        def write_raw(batch: DataFrame, batch_id: int) -> None:
+        def write_raw(batch: DataFrame, load_id: str) -> None:
             load(
                 _raw_rows(batch, ranges),
                 options.raw_table,
-                batch_id,
+                load_id,
                 **_layout(options, RAW_CLUSTER_COLUMNS),
             )
 
@@ -254,8 +271,8 @@ def start_stream(
         )
     if options.rejects_table:
 
-        def write_rejects(batch: DataFrame, batch_id: int) -> None:
-            load(with_date(batch, "event_ts"), options.rejects_table, batch_id)
+        def write_rejects(batch: DataFrame, load_id: str) -> None:
+            load(with_date(batch, "event_ts"), options.rejects_table, load_id)
 
         queries.append(
             stream_load(

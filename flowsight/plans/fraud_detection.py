@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -25,7 +26,7 @@ from flowsight.operators.fraud import (
 from flowsight.operators.parse import parse_transaction_lines, rejected_rows, valid_rows
 from flowsight.options import FraudOptions
 from flowsight.schemas import FRAUD_PREDICTION, REJECTS, TRANSACTION, conform
-from flowsight.sinks.tables import LOAD_COLUMN, create_table, load, loaded, stream_load
+from flowsight.sinks.tables import LOAD_COLUMN, create_table, load, load_checked, loaded, stream_load
 from flowsight.sources.files import with_arrival_time
 from flowsight.plans.inputs import load_interval
 from flowsight.streaming.batcher import stream_requests
@@ -59,6 +60,8 @@ def create_tables(
         (options.transactions_table, TIMED),
         (options.predictions_table, FRAUD_PREDICTION),
     ]
+    if options.transaction_rejects_table:
+        specs.append((options.transaction_rejects_table, TIMED))
     if options.rejects_table:
         specs.append((options.rejects_table, REJECTS))
     for table, schema in specs:
@@ -96,23 +99,32 @@ def _shards(options: FraudOptions) -> int | None:
     return options.file_shards if options.write_method == "file_loads" else None
 
 
+def _load_transactions(rows: DataFrame, options: FraudOptions, load_id: str) -> None:
+    load_checked(
+        conform(rows, TIMED),
+        options.transactions_table,
+        load_id,
+        [KEY_COLUMN],
+        options.transaction_rejects_table,
+        shards=_shards(options),
+    )
+
+
 def run_batch(
     lines: DataFrame,
     options: FraudOptions = FraudOptions(),
     model: PipelineModel | None = None,
     open_scorer: Scorer | None = None,
-    load_id: int = 0,
+    load_id: str | None = None,
 ) -> None:
     """The job over a bounded input. Runs the queries and writes both tables.
 
-    `load_id` numbers the input: the same number again replaces its rows. The lines are parsed once: scoring reads the transactions just written.
+    Every run adds its rows under a name of its own. `load_id` names the input: the same
+    name again replaces its rows. The lines are parsed once: scoring reads the
+    transactions just written.
     """
-    load(
-        conform(transactions_of(lines), TIMED),
-        options.transactions_table,
-        load_id,
-        _shards(options),
-    )
+    load_id = load_id or uuid.uuid4().hex
+    _load_transactions(transactions_of(lines), options, load_id)
     if options.rejects_table:
         load(rejects_of(lines), options.rejects_table, load_id)
     transactions = loaded(lines.sparkSession, options.transactions_table, load_id)
@@ -131,14 +143,14 @@ def start_stream(
     model: PipelineModel | None = None,
     open_scorer: Scorer | None = None,
     available_now: bool = False,
-    on_load: Callable[[int, dict[str, int]], None] | None = None,
+    on_load: Callable[[str, dict[str, int]], None] | None = None,
 ) -> list[StreamingQuery]:
     """Start the transaction sink and the scoring query. `on_load` is told the number
     of alerts of every load."""
     transactions = transactions_of(lines)
 
-    def write_transactions(batch: DataFrame, batch_id: int) -> None:
-        load(conform(batch, TIMED), options.transactions_table, batch_id, _shards(options))
+    def write_transactions(batch: DataFrame, load_id: str) -> None:
+        _load_transactions(batch, options, load_id)
 
     every = load_interval(options)
     queries = [
@@ -149,8 +161,8 @@ def start_stream(
 
     if options.rejects_table:
 
-        def write_rejects(batch: DataFrame, batch_id: int) -> None:
-            load(batch, options.rejects_table, batch_id)
+        def write_rejects(batch: DataFrame, load_id: str) -> None:
+            load(batch, options.rejects_table, load_id)
 
         queries.append(
             stream_load(
@@ -178,16 +190,16 @@ def start_stream(
             answers = score_requests(batch, open_scorer)
             return alerts(parse_predictions(answers), options.probability)
 
-    def write_alerts(batch: DataFrame, batch_id: int) -> None:
+    def write_alerts(batch: DataFrame, load_id: str) -> None:
         load(
             score_batch(batch),
             options.predictions_table,
-            batch_id,
+            load_id,
             _shards(options),
         )
         if on_load:
-            found = loaded(batch.sparkSession, options.predictions_table, batch_id)
-            on_load(batch_id, {"alerts": found.count()})
+            found = loaded(batch.sparkSession, options.predictions_table, load_id)
+            on_load(load_id, {"alerts": found.count()})
 
     queries.append(
         stream_load(

@@ -10,8 +10,15 @@ from flowsight.sources.tables import read_centroids
 
 
 def batch_lines(spark: SparkSession, options: FlowOptions | FraudOptions) -> DataFrame:
-    """`line, event_ts` of the files that are there now."""
-    return with_arrival_time(read_lines(spark, f"{options.input_path}/{options.input_glob}"))
+    """The lines of the files that are there now, with `event_ts` where no field holds it."""
+    lines = read_lines(spark, f"{options.input_path}/{options.input_glob}")
+    return lines if _own_time(options) else with_arrival_time(lines)
+
+
+def _own_time(options: FlowOptions | FraudOptions) -> bool:
+    """Whether the event time is read from the records."""
+    field = getattr(options, "event_time_field", None)
+    return bool(field) and not options.arrival_time
 
 
 def live_lines(
@@ -19,16 +26,16 @@ def live_lines(
     options: FlowOptions | FraudOptions,
     bus: DataFrame | None = None,
 ) -> DataFrame:
-    """`line, event_ts` of new files and of the bus, stamped on arrival.
+    """The lines of new files and of the bus; `event_ts` of arrival where no field holds it.
 
     `bus` is a stream with the same two columns, such as `sources.bus` makes.
     """
-    parts = []
+    parts, columns = [], ["line"] if _own_time(options) else ["line", "event_ts"]
     if options.input_path:
         files = stream_lines(spark, options.input_path, options.input_glob)
-        parts.append(with_arrival_time(files).select("line", "event_ts"))
+        parts.append(with_arrival_time(files).select(*columns))
     if bus is not None:
-        parts.append(bus.select("line", "event_ts"))
+        parts.append(bus.select(*columns))
     if not parts:
         raise ValueError("give an input path or a bus")
     return merge(*parts)

@@ -27,7 +27,7 @@ def train_clusters(
     date_to: str | dt.date,
     k: int = 4,
     seed: int = 1,
-    limit: int | None = clustering.TRAIN_LIMIT,
+    limit: int | None = None,
     compat: bool = False,
 ) -> ClusterResult:
     """Fit k-means on the features of a date range and derive the side table.

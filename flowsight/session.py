@@ -26,8 +26,6 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-        # sketches of this many groups are hashed in a task before it sorts
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
     }
     settings.update(conf or {})
     for key, value in settings.items():

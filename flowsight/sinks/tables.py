@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from flowsight.schemas import split_required
 
-# Load columns behind the data columns: day partition and number of the load.
+# Load columns behind the data columns: day partition and name of the load.
 DATE_COLUMN = "dt"
 LOAD_COLUMN = "load_id"
 
@@ -30,9 +32,9 @@ def create_table(
     """CREATE TABLE IF NOT EXISTS ... USING parquet, partitioned as named.
 
     Partition columns that `schema` lacks are added behind it: `dt` as date,
-    `load_id` as bigint.
+    `load_id` as text.
     """
-    extra = {DATE_COLUMN: DateType(), LOAD_COLUMN: LongType()}
+    extra = {DATE_COLUMN: DateType(), LOAD_COLUMN: StringType()}
     fields = list(schema.fields)
     for name in partition_by or []:
         if name not in schema.fieldNames():
@@ -65,14 +67,14 @@ def require_table(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
 def _laid_out(
     df: DataFrame, shards: int | None, cluster_by: list[str] | None
 ) -> DataFrame:
-    """File layout: `shards` even tasks per load, sorted for min/max pruning.
+    """File layout: even files, sorted for min/max pruning.
 
-    Without `shards` the rows are written where they are, without a shuffle.
+    `shards` is where the rebalancing starts: it joins small partitions and splits large
+    ones by the advisory size, so the number of files follows the load. Without
+    `shards` the rows are written where they are, without a shuffle.
     """
     if shards:
-        # the row hash alone would send all copies of one row to one shard
-        spread = F.xxhash64(F.spark_partition_id(), *df.columns)
-        df = df.withColumn("_spread", spread).repartition(shards, "_spread").drop("_spread")
+        df = df.hint("rebalance", shards)
     if cluster_by:
         # led by the partition column, so that the writer has nothing left to sort
         lead = [DATE_COLUMN] if DATE_COLUMN in df.columns else []
@@ -99,18 +101,21 @@ def append(
 def load(
     df: DataFrame,
     table: str,
-    load_id: int,
+    load_id: str | int,
     shards: int | None = None,
     cluster_by: list[str] | None = None,
 ) -> None:
     """Load `load_id` into a table partitioned by it first, replacing an earlier try.
 
-    A micro-batch that is run again after a failure writes its own partition over,
-    so rows are neither lost nor doubled. Runs the query.
+    The name has to hold the run as well as the batch: a micro-batch that is run again
+    after a failure writes its own partition over, so rows are neither lost nor
+    doubled, and the loads of other runs stay. Runs the query.
     """
+    if not re.fullmatch(r"[\w.-]+", str(load_id)):
+        raise ValueError(f"{load_id!r} is no name for a load")
     columns = require_table(df.sparkSession, table, df)
     data = [c for c in columns if c != LOAD_COLUMN]
-    spec = f"{LOAD_COLUMN} = {int(load_id)}"
+    spec = f"{LOAD_COLUMN} = '{load_id}'"
     if DATE_COLUMN in columns:
         spec += f", {DATE_COLUMN}"
     df.sparkSession.sql(
@@ -119,15 +124,20 @@ def load(
     )
 
 
-def loaded(spark: SparkSession, table: str, load_id: int) -> DataFrame:
+def loaded(spark: SparkSession, table: str, load_id: str | int) -> DataFrame:
     """The rows of one load, as they were written."""
-    return spark.table(table).where(F.col(LOAD_COLUMN) == load_id)
+    return spark.table(table).where(F.col(LOAD_COLUMN) == F.lit(str(load_id)))
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a started streaming query, kept with its checkpoint over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def load_checked(
     df: DataFrame,
     table: str,
-    load_id: int,
+    load_id: str | int,
     required: list[str],
     rejects_table: str | None = None,
     **layout: object,
@@ -148,16 +158,24 @@ def load_checked(
 
 def stream_load(
     df: DataFrame,
-    write: Callable[[DataFrame, int], None],
+    write: Callable[[DataFrame, str], None],
     checkpoint: str,
     every_seconds: int | None = None,
     available_now: bool = False,
 ) -> DataStreamWriter:
-    """Writer that hands each micro-batch to `write(batch, batch_id)`.
+    """Writer that hands each micro-batch to `write(batch, load_id)`.
 
-    `every_seconds` is the load frequency; `available_now` works off what is there.
+    The load is named by the query of the checkpoint and the batch: another checkpoint
+    makes other loads.     `every_seconds` is the load frequency; `available_now` works off what is there.
     """
-    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    run: list[str] = []
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        if not run:
+            run.append(run_id(batch.sparkSession, checkpoint))
+        write(batch, f"{run[0]}-{batch_id}")
+
+    writer = df.writeStream.foreachBatch(named).option("checkpointLocation", checkpoint)
     if available_now:
         return writer.trigger(availableNow=True)
     if every_seconds:

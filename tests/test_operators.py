@@ -1,5 +1,6 @@
 """Geography, sampling, privacy, generators, sources, sinks and the fraud model."""
 
+import dataclasses
 import json
 import re
 import uuid
@@ -208,8 +209,10 @@ def test_file_sources(spark, folder):
     spark.createDataFrame([("a",), ("b",)], "v string").coalesce(1).write.text(f"{folder}/in")
     assert sorted(r["line"] for r in files.read_lines(spark, f"{folder}/in/*.txt").collect()) == ["a", "b"]
     options = FlowOptions(input_path=f"{folder}/in", input_glob="*.txt")
-    assert inputs.batch_lines(spark, options).columns == ["line", "event_ts"]
-    live = inputs.live_lines(spark, options)
+    assert inputs.batch_lines(spark, options).columns == ["line"]
+    on_arrival = dataclasses.replace(options, arrival_time=True)
+    assert inputs.batch_lines(spark, on_arrival).columns == ["line", "event_ts"]
+    live = inputs.live_lines(spark, on_arrival)
     assert live.isStreaming and live.columns == ["line", "event_ts"]
     assert inputs.load_interval(options) == 30
     assert inputs.load_interval(FlowOptions(write_method="file_loads")) == 60

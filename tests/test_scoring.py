@@ -67,14 +67,29 @@ def test_scores_equal_numpy(spark, k):
     assert found == {key for key, v in want.items() if v[3]}
 
 
-def test_passes_over_a_large_model(spark, monkeypatch):
+def test_large_model_and_methods_agree(spark):
     features, centroids = feature_rows(spark, 100), centroid_rows(spark, 500)
-    monkeypatch.setattr(scoring, "PASS_SIZE", 100)
-    blocks = scoring.read_centroids(centroids)
-    assert len(blocks) > 1 and sum(map(len, blocks)) == 500
-    got = scoring.score_rows(features, blocks).collect()
+    model = scoring.read_centroids(centroids)
+    assert len(model) == 500
+    got = scoring.score_rows(features, model).collect()
     want = expected(features, centroids)
     assert {r["subscriber_id"]: r["centroid_id"] for r in got} == {k: v[0] for k, v in want.items()}
+    few = centroid_rows(spark, 7)
+    near = [
+        scoring.nearest_centroid(features, few, method=m).select("subscriber_id", "nearest.centroid_id")
+        for m in ("arrow", "code")
+    ]
+    assert sorted(map(tuple, near[0].collect())) == sorted(map(tuple, near[1].collect()))
+
+
+@pytest.mark.parametrize("k", [3, 7])
+@pytest.mark.parametrize("name", ["centroid_id", "distance", "spread", "nearest"])
+def test_columns_of_the_result_names(spark, k, name):
+    plain, centroids = feature_rows(spark, 50), centroid_rows(spark, k)
+    carried = plain.withColumn(name, scoring.F.lit(99))
+    want = scoring.score_rows(plain, centroids).select("subscriber_id", "centroid_id", "distance")
+    got = scoring.score_rows(carried, centroids).select("subscriber_id", "centroid_id", "distance")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
 @pytest.mark.parametrize("k", [4, 10])

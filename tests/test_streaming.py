@@ -152,12 +152,14 @@ RECORDS = [flow(subscriberId=str(i % 5), txBytes=100 * i, srcPort=1000 + i) for
 
 def test_flow_job_in_batch(spark, folder):
     options = tables(spark, folder)
-    flow_anomaly.run_batch(batch_lines(spark, RECORDS), centroid_table(spark), options)
+    flow_anomaly.run_batch(batch_lines(spark, RECORDS), centroid_table(spark), options, load_id="one")
     features, found = spark.table(options.features_table), spark.table(options.outliers_table)
     assert features.count() == 5 and spark.table(options.raw_table).count() == 50
     assert 0 < found.count() <= 5
-    flow_anomaly.run_batch(batch_lines(spark, RECORDS), centroid_table(spark), options)
+    flow_anomaly.run_batch(batch_lines(spark, RECORDS), centroid_table(spark), options, load_id="one")
     assert spark.table(options.features_table).count() == 5  # the same load again
+    flow_anomaly.run_batch(batch_lines(spark, RECORDS), centroid_table(spark), options)
+    assert spark.table(options.features_table).count() == 10  # another run adds its own
 
 
 def test_flow_job_with_key_and_with_service(spark, folder):
