@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from flowsight.functions.scalars import shard_of
 from flowsight.operators.fraud import instance_json
 from flowsight.options import FlowOptions, FraudOptions
 from flowsight.plans import flow_anomaly, fraud_detection
+from flowsight.plans.inputs import batch_lines
 from flowsight.schemas import TRANSACTION, NORMALIZED_CENTROIDS, conform
 from flowsight.session import scratch_path
 from flowsight.sinks.tables import stream_append
@@ -81,7 +83,33 @@ def _written_centroids(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     return spark.read.schema(NORMALIZED_CENTROIDS).parquet(path)
 
 
-def _run_flow_job(spark, sf) -> FlowOptions:
+def _released(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The rows a job has written, from their files; the table leaves the catalog."""
+    rows = spark.read.schema(spark.table(table).schema).parquet(f"{folder}/{table}")
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
+def _release(spark: SparkSession, folder: str, options: FlowOptions | FraudOptions, *names: str):
+    """The rows of the named tables; all tables of the job leave the catalog."""
+    tables = [v for k, v in vars(options).items() if k.endswith("_table") and v]
+    rows = {t: _released(spark, folder, t) for t in tables if spark.catalog.tableExists(t)}
+    return [rows[getattr(options, f"{name}_table")] for name in names]
+
+
+# written results of the flow job by application and input
+_FLOW_JOBS: dict[tuple[str, str], list[DataFrame]] = {}
+
+
+def _flow_job(spark, sf) -> list[DataFrame]:
+    """Features, outliers and raw rows: the job runs once for its three checks."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _FLOW_JOBS:
+        _FLOW_JOBS[key] = _run_flow_job(spark, sf)
+    return _FLOW_JOBS[key]
+
+
+def _run_flow_job(spark, sf) -> list[DataFrame]:
     folder, options = scratch_path(spark, "flow"), _flow_options()
     flow_anomaly.create_tables(spark, options, folder)
     flow_anomaly.run_batch(
@@ -90,22 +118,63 @@ def _run_flow_job(spark, sf) -> FlowOptions:
         options,
         V.geo_ranges(spark, sf),
     )
-    return options
+    return _release(spark, folder, options, "features", "outliers", "raw")
 
 
 def flow_job_features(spark, sf):
-    options = _run_flow_job(spark, sf)
-    return spark.table(options.features_table).drop("dt", "load_id")
+    return _flow_job(spark, sf)[0].drop("dt", "load_id")
 
 
 def flow_job_outliers(spark, sf):
-    options = _run_flow_job(spark, sf)
-    return spark.table(options.outliers_table).drop("dt", "load_id")
+    return _flow_job(spark, sf)[1].drop("dt", "load_id")
 
 
 def flow_job_raw(spark, sf):
-    options = _run_flow_job(spark, sf)
-    return spark.table(options.raw_table).drop("dt", "load_id", "event_ts")
+    return _flow_job(spark, sf)[2].drop("dt", "load_id", "event_ts")
+
+
+def flow_job_inspected(spark, sf):
+    """The counts of sensitive values that the job stores beside its features."""
+    folder = scratch_path(spark, "flow")
+    options = replace(_flow_options(), inspect_columns=("dst_subnet",))
+    flow_anomaly.create_tables(spark, options, folder)
+    flow_anomaly.run_batch(
+        _flow_text(V.table(spark, sf, "events")), _written_centroids(spark, sf, folder), options
+    )
+    (features,) = _release(spark, folder, options, "features")
+    return features.select(
+        "subscriber_id", "dst_subnet", "transaction_time",
+        "dst_subnet_imsi_count", "dst_subnet_email_count", "dst_subnet_ipv4_count",
+    )
+
+
+def flow_job_text_files(spark, sf):
+    """Text files in, event time out of the records: the features of the job."""
+    folder = scratch_path(spark, "flow")
+    options = replace(_flow_options(), input_path=f"{folder}/in", input_glob="*.txt")
+    flow_anomaly.create_tables(spark, options, folder)
+    _flow_text(V.table(spark, sf, "events")).select("line").write.text(f"{folder}/in")
+    flow_anomaly.run_batch(
+        batch_lines(spark, options), _written_centroids(spark, sf, folder), options
+    )
+    (features,) = _release(spark, folder, options, "features")
+    return features.drop("dt", "load_id")
+
+
+def fraud_job_rejects(spark, sf):
+    """Payments without an id are kept apart, those with one are loaded."""
+    folder, options = scratch_path(spark, "fraud"), _fraud_options()
+    fraud_detection.create_tables(spark, options, folder)
+    rows = V.transactions(spark, sf)
+    named = F.when(F.col("o_orderkey") % 10 != 3, F.col("transactionId"))
+    rows = rows.withColumn("transactionId", named)
+    text = F.to_json(F.struct(*TRANSACTION.fieldNames()))
+    fraud_detection.run_batch(
+        rows.select(text.alias("line"), "event_ts"), options, open_scorer=open_rule_scorer
+    )
+    kept, rejected = _release(spark, folder, options, "transactions", "transaction_rejects")
+    kept = kept.select("transactionId", "amount", F.lit(False).alias("rejected"))
+    return kept.union(rejected.select("transactionId", "amount", F.lit(True)))
 
 
 def two_loads_append(spark, sf):
@@ -117,7 +186,7 @@ def two_loads_append(spark, sf):
     for part in (0, 1):
         lines = _flow_text(events.where(half == part))
         flow_anomaly.run_batch(lines, centroids, options, V.geo_ranges(spark, sf))
-    return spark.table(options.raw_table).drop("dt", "load_id", "event_ts")
+    return _release(spark, folder, options, "raw")[0].drop("dt", "load_id", "event_ts")
 
 
 def fraud_job_alerts(spark, sf):
@@ -126,11 +195,11 @@ def fraud_job_alerts(spark, sf):
     fraud_detection.run_batch(
         _payment_text(V.table(spark, sf, "orders")), options, open_scorer=open_rule_scorer
     )
-    return _alert_rows(spark, options)
+    return _alert_rows(spark, folder, options)
 
 
-def _alert_rows(spark, options):
-    return spark.table(options.predictions_table).select(
+def _alert_rows(spark, folder, options):
+    return _release(spark, folder, options, "predictions")[0].select(
         "transactionId", F.round("logistic", 9).alias("logistic")
     )
 
@@ -203,7 +272,7 @@ def stream_outliers(spark, sf):
         )
 
     _drained(spark, folder, _FLOW_SENTINEL, start)
-    return spark.table(options.outliers_table).drop("dt", "load_id")
+    return _release(spark, folder, options, "outliers")[0].drop("dt", "load_id")
 
 
 def stream_request_instances(spark, sf):
@@ -237,7 +306,7 @@ def stream_alerts(spark, sf):
         )
 
     _drained(spark, folder, _PAYMENT_SENTINEL, start)
-    return _alert_rows(spark, options)
+    return _alert_rows(spark, folder, options)
 
 
 JOB_QUERIES = {
@@ -247,6 +316,9 @@ JOB_QUERIES = {
         flow_job_outliers,
         flow_job_raw,
         two_loads_append,
+        flow_job_inspected,
+        flow_job_text_files,
+        fraud_job_rejects,
         fraud_job_alerts,
         stream_features,
         stream_late_rows,

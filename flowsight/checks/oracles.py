@@ -325,6 +325,13 @@ ORACLES: dict[str, str] = {
     "flow_job_raw": "SELECT f.* EXCLUDE (event_id, event_ts), g.geoCountry, g.geoCity, g.latitude, g.longitude "
     f"FROM ({_valid_flows(INJECTED)}) f LEFT JOIN ({V.duck(V.GEO, 'nation JOIN region ON n_regionkey = r_regionkey')}) g "
     f"ON {_ip_number('f.srcIP')} BETWEEN g.start_ip AND g.end_ip",
+    "flow_job_inspected": f"SELECT {KEYS}, CAST(0 AS INT) AS dst_subnet_imsi_count, CAST(0 AS INT) AS dst_subnet_email_count, "
+    f"CAST(1 AS INT) AS dst_subnet_ipv4_count FROM ({_JOB_FEATURES})",
+    "flow_job_text_files": V.features_sql(
+        f"SELECT * EXCLUDE (event_ts), make_timestamp(startTime * 1000) AS event_ts FROM ({_valid_flows(INJECTED)})"
+    ),
+    "fraud_job_rejects": "SELECT CASE WHEN o_orderkey % 10 <> 3 THEN transactionId END AS transactionId, amount, "
+    f"o_orderkey % 10 = 3 AS rejected FROM ({TRANSACTIONS})",
     "fraud_job_alerts": _ALERTS,
     "stream_features": V.features_sql(_valid_flows(FLOW)),
     "stream_late_rows": V.features_sql(

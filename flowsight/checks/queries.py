@@ -590,9 +590,16 @@ def load_features_table(spark, sf):
     rows = sinks.with_date(V.features(spark, sf))
     for _ in range(2):  # the second try of a load replaces the first
         sinks.load(rows, table, 0, shards=4, cluster_by=["dst_subnet", "subscriber_id"])
-    return tables.read_partitions(spark, table, "2024-01-05", "2024-01-20").drop(
-        "dt", "load_id"
-    )
+    found = tables.read_partitions(spark, table, "2024-01-05", "2024-01-20")
+    found = written(found.drop("dt", "load_id"), "scan")
+    spark.sql(f"DROP TABLE {table}")
+    return found
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def csv_labelled_scan(spark, sf):

@@ -23,7 +23,7 @@ REQUEST_TAIL = "\n]}"
 _WINDOW, _SHARD, _SIZE = "_window", "_shard", "_size"
 
 
-class _Packer:
+class Packer:
     """Batch numbers for successive slices of sorted rows."""
 
     def __init__(self, limit: int) -> None:
@@ -109,7 +109,7 @@ def pack_rows(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer(limit)
+        packer = Packer(limit)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -127,7 +127,7 @@ def _closed_batches(
     batches: Iterator[pa.RecordBatch], names: list[str], limit: int
 ) -> Iterator[tuple[tuple[int, int, int], int, pa.Table]]:
     """((window, shard, batch number), bytes, rows) of every batch as it closes."""
-    packer = _Packer(limit)
+    packer = Packer(limit)
     held: list[pa.RecordBatch] = []
     label, size = (0, 0, 0), 0
     for batch in batches:

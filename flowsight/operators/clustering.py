@@ -41,7 +41,7 @@ def train_rows(
     rows = usable_rows(partition_range(features, date_from, date_to))
     if limit is None:
         return rows
-    keyed = rows.withColumn("_key", F.concat_ws("|", *_KEY_COLUMNS))
+    keyed = rows.withColumn("_key", F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("\0")) for c in _KEY_COLUMNS]))
     return take_seeded(keyed, "_key", seed, rows=limit).drop("_key")
 
 

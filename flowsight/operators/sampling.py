@@ -2,7 +2,7 @@
 
 The order is that of a 32-bit hash of (seed, key), ties by key. Cutting that order
 at position n takes a histogram of the hash and a sort of the one bucket the cut
-falls into, both over the key column alone: no task sees more than about a 65,536th
+falls into, both over the key and a hash of the row: no task sees more than about a 65,536th
 of the rows, and the rows themselves are read once, unmoved.
 """
 
@@ -35,11 +35,13 @@ def with_cut(
 
     The number is `rows`, or fraction * count, rounded down or (`nearest`) to the
     nearest whole number, halves to even. Exact, and the same on
-    every run; `key` has to be unique for that.
+    every run. Rows that repeat a key are ordered by a hash of the row; of rows that are
+    equal throughout all are in the cut or none.
     """
     if (rows is None) == (fraction is None):
         raise ValueError("give either rows or fraction")
-    hashed = df.withColumn("_hash", hash32(F.col(key), seed))
+    hashed = df.withColumn("_row", F.xxhash64(*df.columns))
+    hashed = hashed.withColumn("_hash", hash32(F.col(key), seed))
     hashed = hashed.withColumn("_slot", F.shiftright("_hash", _BUCKET_SHIFT))
 
     # at most 65,536 rows from here on
@@ -62,24 +64,24 @@ def with_cut(
     taken = F.col("wanted") - F.col("upto") + F.col("n")
     cut = reached.agg(F.min_by(F.struct("_slot", taken.alias("take")), "_slot").alias("cut"))
     # the last wanted row itself: none if the cut falls on the edge of the slot
-    position = F.row_number().over(Window.partitionBy("_slot").orderBy("_hash", key))
+    position = F.row_number().over(Window.partitionBy("_slot").orderBy("_hash", key, "_row"))
     last = (
-        hashed.select("_slot", "_hash", key)
+        hashed.select("_slot", "_hash", key, "_row")
         .withColumn("_cut", cut.scalar())
         .where(F.col("_slot") == F.col("_cut._slot"))
         .withColumn("_position", position)
         .where(F.col("_position") == F.col("_cut.take"))
-        .agg(F.min(F.struct("_hash", key)).alias("last"))
+        .agg(F.min(F.struct("_hash", key, "_row")).alias("last"))
     )
     inside = (
         F.when(F.col("_cut").isNull(), F.lit(True))
         .when(F.col("_last").isNull(), F.col("_slot") < F.col("_cut._slot"))
-        .otherwise(F.struct("_hash", key) <= F.col("_last"))
+        .otherwise(F.struct("_hash", key, "_row") <= F.col("_last"))
     )
     return (
         hashed.withColumns({"_cut": cut.scalar(), "_last": last.scalar()})
         .withColumn(name, inside)
-        .drop("_hash", "_slot", "_cut", "_last")
+        .drop("_hash", "_row", "_slot", "_cut", "_last")
     )
 
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from flowsight.operators.batching import request_text
+from flowsight.operators.batching import Packer, request_text
 
 _OUTPUT = (
     "window_start bigint, shard bigint, batch_id bigint, n_rows bigint, "
@@ -17,46 +18,59 @@ _OUTPUT = (
 )
 
 
+# Documents handed back to Spark at a time.
+_SLICE = 64
+
+
 class WindowBatcher(StatefulProcessor):
     """Keeps the payloads of a (window, shard) until the watermark passes the window
-    end, then packs them in arrival order."""
+    end, then packs them in arrival order. One state value holds a chunk of rows."""
 
     def __init__(self, limit: int) -> None:
         self.limit = limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "payload string")
+        self.chunks = handle.getListState("chunks", "payloads array<string>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            self.rows.appendList([(text,) for text in frame["payload"]])
+        self.chunks.appendList([(frame["payload"].tolist(),) for frame in rows if len(frame)])
         self.handle.registerTimer(int(key[1]) // 1000)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        # the state is read as an iterator: one open batch is all that is held
-        batch, pending, filled = 0, [], 0
-        for (text,) in self.rows.get():
-            size = len(text.encode("utf-8"))
-            if filled > 0 and filled + size > self.limit:
-                yield self._document(key, batch, pending, filled)
-                batch, pending, filled = batch + 1, [], 0
-            pending.append(text)
-            filled += size
+        # the state is read as an iterator: a chunk, an open batch and a slice are held
+        packer, pending, done = Packer(self.limit), [], []
+        for (payloads,) in self.chunks.get():
+            texts = list(payloads)
+            sizes = np.fromiter((len(t.encode("utf-8")) for t in texts), np.int64, len(texts))
+            group = np.zeros(len(texts), np.int64)
+            _, opens = packer.number(group, group, sizes)
+            cuts = np.flatnonzero(opens).tolist()
+            for start, end in zip([0, *cuts], [*cuts, len(texts)]):
+                if pending and start < len(texts) and opens[start]:
+                    done.append(pending)
+                    pending = []
+                pending = pending + texts[start:end]
+            while len(done) >= _SLICE:
+                yield self._documents(key, packer.batch - len(done), done[:_SLICE])
+                done = done[_SLICE:]
         if pending:
-            yield self._document(key, batch, pending, filled)
-        self.rows.clear()
+            done.append(pending)
+        if done:
+            yield self._documents(key, packer.batch + 1 - len(done), done)
+        self.chunks.clear()
 
-    def _document(self, key, batch: int, texts: list[str], size: int) -> pd.DataFrame:
+    def _documents(self, key, first: int, batches: list[list[str]]) -> pd.DataFrame:
+        n = len(batches)
         return pd.DataFrame(
             {
-                "window_start": [int(key[0])],
-                "shard": [int(key[2])],
-                "batch_id": [batch],
-                "n_rows": [len(texts)],
-                "n_bytes": [size],
-                "request": [request_text(texts)],
+                "window_start": [int(key[0])] * n,
+                "shard": [int(key[2])] * n,
+                "batch_id": range(first, first + n),
+                "n_rows": [len(texts) for texts in batches],
+                "n_bytes": [sum(len(t.encode("utf-8")) for t in texts) for texts in batches],
+                "request": [request_text(texts) for texts in batches],
             }
         )
 

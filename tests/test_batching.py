@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flowsight.operators import batching, fraud
-from flowsight.operators.batching import _closed_batches, _Packer
+from flowsight.operators.batching import _closed_batches, Packer
 
 
 def plain(rows, limit):
@@ -33,7 +33,7 @@ ROWS = st.lists(
 @settings(max_examples=300, deadline=None)
 @given(ROWS, st.integers(1, 40), st.integers(1, 7))
 def test_numbers_equal_plain_loop(rows, limit, slice_size):
-    packer, got = _Packer(limit), []
+    packer, got = Packer(limit), []
     for i in range(0, len(rows), slice_size):
         columns = [np.array(c, dtype=np.int64) for c in zip(*rows[i : i + slice_size])]
         got += packer.number(*columns)[0].tolist()
@@ -63,12 +63,12 @@ def test_closed_batches(rows, limit, slice_size):
 
 
 def test_exactly_the_limit_fits():
-    numbers, _ = _Packer(10).number(np.zeros(4, int), np.zeros(4, int), np.array([4, 6, 1, 10]))
+    numbers, _ = Packer(10).number(np.zeros(4, int), np.zeros(4, int), np.array([4, 6, 1, 10]))
     assert numbers.tolist() == [0, 0, 1, 2]
 
 
 def test_oversized_row_is_a_batch_of_one():
-    numbers, _ = _Packer(10).number(np.zeros(3, int), np.zeros(3, int), np.array([50, 5, 60]))
+    numbers, _ = Packer(10).number(np.zeros(3, int), np.zeros(3, int), np.array([50, 5, 60]))
     assert numbers.tolist() == [0, 1, 2]
 
 
