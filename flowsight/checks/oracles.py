@@ -342,5 +342,12 @@ ORACLES: dict[str, str] = {
     "stream_request_instances": f"SELECT transactionId, type, amount FROM ({TRANSACTIONS})",
     "stream_alerts": _ALERTS,
     "csv_labelled_scan": f"SELECT step, isFraud, type, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest, transactionId FROM ({TRANSACTIONS}) WHERE isFraud = 1",
+    "kmeans_facts": f"SELECT CAST(4 AS BIGINT) AS clusters, count(*) AS n, true AS nearest, true AS not_above_start FROM ({_DAY_FEATURES})",
+    "tokens_without_key": f"SELECT {KEYS} FROM ({_DAY_FEATURES})",
+    "gbt_facts": "SELECT count(*) AS n, true AS probabilities, true AS accurate, true AS recalled, "
+    f"true AS same_when_reloaded FROM ({TRANSACTIONS})",
+    "append_twice": _DAY_FEATURES,
+    "create_or_replace": f"WITH {V.normalized_sql()} SELECT centroid_id, {VECTOR} FROM centroids",
+    "stored_query_centroids": f"WITH {V.normalized_sql()} SELECT centroid_id, round(normalized_dest, 5) AS normalized_dest, {VECTOR} FROM normalized",
     "centroids_json_load": f"WITH {V.normalized_sql()} SELECT centroid_id, round(normalized_dest, 5) AS normalized_dest, {VECTOR} FROM normalized",
 }

@@ -310,9 +310,40 @@ def kmeans_report(spark, sf):
     return clustering.cluster_report(centres, info)
 
 
+def _inertia(rows: DataFrame, centres: DataFrame, scale: dict[str, float]) -> DataFrame:
+    """Rows with the id of their nearest standardised centre and the squared distance."""
+    near = scoring.nearest_centroid(rows, centres, scale=scale)
+    return near.withColumns(
+        {"near_id": F.col("nearest.centroid_id"), "square": F.pow("nearest.distance", F.lit(2.0))}
+    )
+
+
+def kmeans_facts(spark, sf):
+    """What any k-means result has to fulfil, as one row."""
+    rows, model = _kmeans(spark, sf)
+    long = clustering.centroids_long(spark, model)
+    exact = long.groupBy("centroid_id").pivot("feature", VECTOR_COLUMNS).agg(F.first("numerical_value"))
+    scale = clustering.feature_deviations(model)
+    assigned = _inertia(clustering.assign(model, rows), exact, scale)
+    start = _inertia(rows, V.centroids(spark, sf), scale).agg(F.sum("square")).scalar()
+    facts = assigned.agg(
+        F.count_distinct("centroid_id").alias("clusters"),
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(F.col("centroid_id") == F.col("near_id")).alias("nearest"),
+        F.sum("square").alias("inertia"),
+    )
+    return facts.select("clusters", "n", "nearest", (F.col("inertia") <= start).alias("not_above_start"))
+
+
 # ---- privacy ----
 
 
+def tokens_without_key(spark, sf):
+    """Without a key the identifiers pass through."""
+    rows = V.features(spark, sf).select(*KEYS)
+    return privacy.tokenize_columns(rows, ["subscriber_id"], None)
+
+
 def tokenize_hash(spark, sf):
     token = privacy.tokenize_one_way(F.col("subscriberId"), TOKEN_KEY.decode())
     return V.flow_logs(spark, sf).select("event_id", token.alias("token"))
@@ -544,6 +575,26 @@ def gbt_scores(spark, sf):
     return fraud.predict(model, fraud.model_input(V.transactions(spark, sf)))
 
 
+def gbt_facts(spark, sf):
+    """What a fitted and a reloaded model have to fulfil, as one row."""
+    model = _gbt(spark, sf)
+    path = scratch_path(spark, "gbt")
+    fraud.save_model(model, path)
+    rows = V.transactions(spark, sf)
+    kept = fraud.predict(model, rows).select("transactionId", "isFraud", "logistic")
+    again = fraud.predict(fraud.load_model(path), rows).select(
+        F.col("transactionId").alias("id"), F.col("logistic").alias("reloaded")
+    )
+    actual, called = F.col("isFraud") == 1, F.col("logistic") >= 0.5
+    return kept.join(again, F.col("transactionId") == F.col("id")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(F.col("logistic").between(0, 1)).alias("probabilities"),
+        (F.count_if(actual == called) >= 0.98 * F.count(F.lit(1))).alias("accurate"),
+        (F.count_if(actual & called) >= 0.9 * F.count_if(actual)).alias("recalled"),
+        F.bool_and(F.col("logistic") == F.col("reloaded")).alias("same_when_reloaded"),
+    )
+
+
 def fraud_alerts(spark, sf):
     return fraud.alerts(fraud.prediction_rows(gbt_scores(spark, sf)))
 
@@ -602,6 +653,44 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _external(spark, columns, partition_by=None) -> tuple[str, str]:
+    path = scratch_path(spark, "t")
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    sinks.create_table(spark, table, columns, partition_by, path)
+    return table, path
+
+
+def append_twice(spark, sf):
+    """The default method: rows of every append stay."""
+    rows = V.features(spark, sf)
+    table, path = _external(spark, FEATURES)
+    first = F.pmod(F.xxhash64("transaction_time"), F.lit(2)) == 0
+    sinks.append(rows.where(first), table)
+    sinks.append(rows.where(~first), table)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(FEATURES).parquet(path)
+
+
+def create_or_replace(spark, sf):
+    """A table made anew holds the last rows only."""
+    path = scratch_path(spark, "t")
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    for rows in (V.features(spark, sf).select("subscriber_id"), V.centroids(spark, sf)):
+        clustering.write_or_replace(rows, table, path=path)
+    found = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return spark.read.schema(found.schema).parquet(path)
+
+
+def stored_query_centroids(spark, sf):
+    """The side table from SQL text in a file."""
+    folder = scratch_path(spark, "q")
+    V.normalized_centroids(spark, sf).write.parquet(f"{folder}/centroids")
+    text = f"SELECT * FROM parquet.`{folder}/centroids`;"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/sql")
+    return _rounded(tables.read_centroids(spark, f"{folder}/sql"), 5, "normalized_dest")
+
+
 def csv_labelled_scan(spark, sf):
     path = scratch_path(spark, "csv")
     V.transactions(spark, sf).select(*TRANSACTION.fieldNames()).write.csv(path, header=True)
@@ -654,6 +743,8 @@ BATCH_QUERIES: dict[str, Query] = {
         train_rows_limited,
         kmeans_train,
         kmeans_report,
+        kmeans_facts,
+        tokens_without_key,
         tokenize_hash,
         tokenize_aes_roundtrip,
         tokenize_groups,
@@ -676,11 +767,15 @@ BATCH_QUERIES: dict[str, Query] = {
         confusion_counts,
         model_evaluation,
         gbt_scores,
+        gbt_facts,
         fraud_alerts,
         generate_flow_logs,
         generate_transactions,
         publish_messages,
         load_features_table,
+        append_twice,
+        create_or_replace,
+        stored_query_centroids,
         csv_labelled_scan,
         centroids_json_load,
     )
