@@ -188,6 +188,8 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
         return rows
 
     schema = "dim int, shard int, vec_id long, embedding array<double>, node int, entry int, links array<int>"
+    # a number of partitions that is asked for stays: shards are heavy however few their bytes
+    dealt = dealt.repartition(shards, "dim", "shard")
     return written(dealt.groupBy("dim", "shard").applyInPandas(build, schema), "ann-index")
 
 
@@ -230,6 +232,9 @@ def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
                     out["score"] += score[best].tolist()
         return pd.DataFrame(out)
 
+    n = blocks * places.count()
+    held = held.repartition(max(1, n), "dim", "shard", "block")
+    asked = asked.repartition(max(1, n), "in_dim", "in_shard", "in_block")
     pairs = held.groupBy("dim", "shard", "block").cogroup(asked.groupBy("in_dim", "in_shard", "in_block"))
     found = pairs.applyInPandas(work, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
