@@ -38,6 +38,11 @@ def fits_broadcast(bucketed: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return bucketed.select("_bucket").limit(limit + 1).count() <= limit
 
 
+def geo_strategy(ranges: DataFrame, bucket_bits: int = BUCKET_BITS) -> str:
+    """What "auto" chooses for these ranges. Runs the counting job."""
+    return "broadcast" if fits_broadcast(bucket_ranges(ranges, bucket_bits)) else "shuffle"
+
+
 def geo_enrich(
     flows: DataFrame,
     ranges: DataFrame,
@@ -57,7 +62,7 @@ def geo_enrich(
     """
     bucketed = bucket_ranges(ranges, bucket_bits)
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(bucketed) else "shuffle"
+        strategy = geo_strategy(ranges, bucket_bits)
     probe = flows.withColumn("_ip", ip_to_long(F.col(ip_column)))
     probe = probe.withColumn("_probe", F.shiftright("_ip", bucket_bits))
     match = (F.col("_probe") == F.col("_bucket")) & F.col("_ip").between(

@@ -19,7 +19,7 @@ from flowsight.functions.privacy import (
 from flowsight.functions.scalars import shard_of
 from flowsight.operators.batching import apply_to_batches
 from flowsight.operators.features import window_features
-from flowsight.operators.geo import geo_enrich
+from flowsight.operators.geo import geo_enrich, geo_strategy
 from flowsight.operators.parse import (
     parse_flow_lines,
     rejected_rows,
@@ -175,13 +175,15 @@ def load_results(
     load(with_date(outliers), options.outliers_table, load_id)
 
 
-def _raw_rows(flows: DataFrame, ranges: DataFrame | None) -> DataFrame:
+def _raw_rows(
+    flows: DataFrame, ranges: DataFrame | None, strategy: str = "auto"
+) -> DataFrame:
     if ranges is None:
         rows = flows.withColumns(
             {f.name: F.lit(None).cast(f.dataType) for f in FLOW_LOG_GEO.fields[-4:]}
         )
     else:
-        rows = geo_enrich(flows, ranges)
+        rows = geo_enrich(flows, ranges, strategy=strategy)
     return with_date(rows, "event_ts")
 
 
@@ -255,10 +257,12 @@ def start_stream(
         ).outputMode("append").start()
     ]
     if options.raw_table:
+        # decided once, not by a count in every micro-batch
+        strategy = geo_strategy(ranges) if ranges is not None else "auto"
 
         def write_raw(batch: DataFrame, load_id: str) -> None:
             load(
-                _raw_rows(batch, ranges),
+                _raw_rows(batch, ranges, strategy),
                 options.raw_table,
                 load_id,
                 **_layout(options, RAW_CLUSTER_COLUMNS),
