@@ -159,13 +159,13 @@ def viterbi(scores: np.ndarray, ids: list[np.ndarray], penalty: float) -> list[n
     order = np.argsort(-lengths, kind="stable")
     lengths = lengths[order]
     order, lengths = order[lengths > 0], lengths[lengths > 0]
-    out = [np.zeros(0, np.int8) for _ in ids]
+    out = [np.zeros(0, np.int16) for _ in ids]
     if not len(order):
         return out
     flat = np.concatenate([ids[i] for i in order])
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
-    best_before = np.zeros(len(flat), np.int8)
+    best_before = np.zeros(len(flat), np.int16)
     switched = np.zeros((len(flat), scores.shape[1]), bool)
     state = scores[flat[starts]]
     for t in range(1, lengths[0]):
@@ -176,7 +176,7 @@ def viterbi(scores: np.ndarray, ids: list[np.ndarray], penalty: float) -> list[n
         jump = s < top[:, None]
         switched[at] = jump
         state[:n] = np.where(jump, top[:, None], s) + scores[flat[at]]
-    labels = np.zeros(len(flat), np.int8)
+    labels = np.zeros(len(flat), np.int16)
     labels[starts + lengths - 1] = state.argmax(axis=1)
     for t in range(lengths[0] - 1, 0, -1):
         at = starts[: active[t]] + t
