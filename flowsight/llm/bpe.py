@@ -235,8 +235,12 @@ class ByteBpe:
         return b",".join([self.decimal[i] for i in ids])
 
 
+def _key(path: str) -> str:
+    return f"bpe {path}"
+
+
 def vocabulary(path: str) -> ByteBpe:
-    return per_process(f"bpe {path}", lambda: ByteBpe(path))
+    return per_process(_key(path), lambda: ByteBpe(path))
 
 
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
@@ -247,7 +251,7 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
         bpe = vocabulary(path)
         yield {"doc_id": batch.column(0), "ids": list(bpe.encode(batch.column(1).to_pylist()))}
 
-    return arrow_map(rows, work, "doc_id long, ids array<int>")
+    return arrow_map(rows, work, "doc_id long, ids array<int>", keeps=_key(path))
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
@@ -261,7 +265,7 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
             "text": [bpe.decode(ids) for ids in batch.column(1).to_pylist()],
         }
 
-    return arrow_map(rows, work, "doc_id long, text string")
+    return arrow_map(rows, work, "doc_id long, text string", keeps=_key(path))
 
 
 def round_trip_report(docs: DataFrame, path: str) -> DataFrame:
@@ -282,6 +286,5 @@ def round_trip_report(docs: DataFrame, path: str) -> DataFrame:
             "decoded_sha256": text_sha,
         }
 
-    return arrow_map(
-        rows, work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return arrow_map(rows, work, schema, keeps=_key(path))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
@@ -40,14 +42,19 @@ def arrow_map(
     df: DataFrame,
     work: Callable[[pa.RecordBatch], Iterable[dict]] | Callable,
     schema: str,
+    keeps: str = "",
 ) -> DataFrame:
-    """Runs `work` on each Arrow batch; it gives the columns of a batch or several of them."""
+    """Runs `work` on each Arrow batch; it gives the columns of a batch or several of them.
+
+    `keeps` is the key of what the tasks keep in their process.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     arrow = to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_process(keeps)
         for batch in batches:
             for columns in work(batch):
                 yield pa.RecordBatch.from_arrays(
@@ -63,16 +70,32 @@ def arrow_map(
     return df.mapInArrow(run, schema)
 
 
+def _process_store() -> dict:
+    name = "flowsight_process_store"
+    module = sys.modules.setdefault(name, types.ModuleType(name))
+    return module.__dict__.setdefault("values", {})
+
+
 def per_process(key: str, make: Callable):
     """The value of `make()`, made once in each Python worker and kept between its tasks."""
-    store = sys.modules.setdefault(
-        "flowsight_process_store", types.ModuleType("flowsight_process_store")
-    ).__dict__
+    store = _process_store()
     if key not in store:
         store[key] = make()
     return store[key]
 
 
+def release_process(keep: str = "") -> None:
+    """Frees what earlier tasks of other kinds have kept in this Python worker."""
+    store = _process_store()
+    gone = [key for key in store if key != keep]
+    for key in gone:
+        del store[key]
+    if gone:
+        gc.collect()
+        if hasattr(trim := ctypes.CDLL(None), "malloc_trim"):
+            trim.malloc_trim(0)
+
+
 GROUP_CHARS = 1 << 20
 
 
@@ -120,6 +143,7 @@ def arrow_fold(df: DataFrame, start: Callable, add: Callable, finish: Callable,
     arrow = to_arrow_schema(StructType.fromDDL(schema), prefers_large_types=False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_process()
         state = start()
         for batch in batches:
             add(state, batch)

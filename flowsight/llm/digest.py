@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, whole_text
+from .common import release_process, shuffle_partitions, whole_text
 
 BUCKETS = 256
 RANGES_PER_PARTITION = 4
@@ -133,6 +133,7 @@ def digest_report(docs: DataFrame) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_process()
         last = None  # (range, doc_id, text, fingerprint) that waits for its successor
         for batch in batches:
             out: list[tuple] = []

@@ -23,11 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_fold, arrow_map, held_out, text_blocks
+from .common import arrow_fold, arrow_map, held_out, text_blocks, text_groups
 
 BUCKETS = 1 << 17
 PENALTY = 8.0
 SMOOTHING = 50.0
+GROUP_CHARS = 1 << 22  # texts that are scored side by side
 LETTERS = re.compile(r"[^\W\d_]+")
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
@@ -194,9 +195,14 @@ def learn(docs: DataFrame, smoothing: float = SMOOTHING) -> Model:
     size = BUCKETS + len(SCRIPT_NAMES)
 
     def add(state: dict[str, np.ndarray], batch: pa.RecordBatch) -> None:
+        langs, done = batch.column(0).to_pylist(), 0
+        for group in text_groups(batch.column(1).to_pylist(), GROUP_CHARS):
+            add_group(state, langs[done : done + len(group)], group)
+            done += len(group)
+
+    def add_group(state: dict[str, np.ndarray], langs: list[str], texts: list[str]) -> None:
         index: dict[str, int] = {}
-        langs = batch.column(0).to_pylist()
-        ids = word_ids(batch.column(1).to_pylist(), index)
+        ids = word_ids(texts, index)
         if not index:
             return
         owner, bucket, scripts = word_features(list(index))
@@ -236,9 +242,9 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
         F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
     )
 
-    def work(batch: pa.RecordBatch):
+    def predicted(texts: list[str]) -> tuple[list[str], list[float]]:
         index: dict[str, int] = {}
-        ids = word_ids(batch.column(2).to_pylist(), index)
+        ids = word_ids(texts, index)
         names, scores = [UNDETERMINED] * len(ids), [0.0] * len(ids)
         if index and model.languages:
             words = list(index)
@@ -249,6 +255,14 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
                     mass = np.bincount(labels, letters[ids[i]], len(model.languages))
                     names[i] = model.languages[int(mass.argmax())]
                     scores[i] = float(mass.max() / mass.sum())
+        return names, scores
+
+    def work(batch: pa.RecordBatch):
+        names: list[str] = []
+        scores: list[float] = []
+        for group in text_groups(batch.column(2).to_pylist(), GROUP_CHARS):
+            for all_, part in zip((names, scores), predicted(group)):
+                all_ += part
         yield {
             "doc_id": batch.column(0),
             "held_out": batch.column(1),

@@ -77,8 +77,10 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
     """(doc_id, piece, start, length, ids_crc32): every document's ids, an end id, cut at `capacity`."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), whole_text(docs).alias("text"))
 
+    key = f"words {path}"
+
     def work(batch: pa.RecordBatch):
-        encoder = per_process(f"words {path}", lambda: WordIds(path))
+        encoder = per_process(key, lambda: WordIds(path))
         end = array("I", [END_ID]).tobytes()
         doc, piece, start, length, crc = [], [], [], [], []
         for i, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
@@ -92,7 +94,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
                 crc.append(zlib.crc32(part))
         yield {"doc_id": doc, "piece": piece, "start": start, "length": length, "ids_crc32": crc}
 
-    return arrow_map(rows, work, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    return arrow_map(rows, work, schema, keeps=key)
 
 
 def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
