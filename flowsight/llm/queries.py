@@ -18,7 +18,7 @@ from .packing import pack_documents
 from .quality import quality_report
 from .simhash import simhash_report
 from .sql import LINE_DEDUP
-from .substring_dedup import passage_report
+from .substring_dedup import document_report
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passage_report(table(spark, sf_dir, "documents"))
+    return document_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
