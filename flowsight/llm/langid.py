@@ -235,7 +235,10 @@ def learn(docs: DataFrame, smoothing: float = SMOOTHING) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score): the language of most letters and its share of them."""
+    """(doc_id, held_out, lang_pred, score): the language of most letters and its share of all letters.
+
+    Words in a script of no learned language count for none; of a text of such words alone the score is 0.
+    """
     rows = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"),
         held_out(docs, 4, 2).alias("held_out"),
@@ -249,12 +252,13 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
         if index and model.languages:
             words = list(index)
             letters = np.fromiter(map(len, words), np.float64, len(words))
-            by_word, _ = model.word_scores(words)
+            by_word, known = model.word_scores(words)
+            own = np.where(known, letters, 0.0)
             for i, labels in enumerate(viterbi(by_word, ids, penalty)):
                 if len(labels):
-                    mass = np.bincount(labels, letters[ids[i]], len(model.languages))
+                    mass = np.bincount(labels, own[ids[i]], len(model.languages))
                     names[i] = model.languages[int(mass.argmax())]
-                    scores[i] = float(mass.max() / mass.sum())
+                    scores[i] = float(mass.max() / letters[ids[i]].sum())
         return names, scores
 
     def work(batch: pa.RecordBatch):

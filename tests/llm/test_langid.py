@@ -79,6 +79,18 @@ def test_scripts_nulls_and_ties(spark):
     assert not {900, 901} & set(ids) and ids.count(None) == 1 and ids.count(904) == 2
 
 
+def test_unlearned_scripts_are_rejected(spark):
+    docs = mixed(spark).filter("lang IS NULL OR lang != 'ru'").drop("lang_pred", "score")
+    texts = {950: "это слово и мир", 951: "語言 模型", 952: "the and of " + "語言 " * 20, 953: "the and of thing 語言 " * 9}
+    docs = docs.union(documents(spark, list(texts.items())))
+    model = learn(docs)
+    assert model.languages == ["en", "fr"]
+    got = {r.doc_id: r.score for r in predict(docs, model).filter("doc_id >= 950").collect()}
+    assert got == {950: 0.0, 951: 0.0, 952: 8 / 48, 953: 13 / 15}
+    kept = {r.doc_id for r in keep_known_language(docs).collect()}
+    assert kept & {903, *texts} == {953} and kept >= set(range(60))
+
+
 def test_spans_of_mixed_text(spark):
     docs = mixed(spark)
     text = "the thing with the and of. " * 3 + "это слово и мир! 語言 " + "où une été dans le une où"
