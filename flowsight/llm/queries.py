@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .ann import nearest_report
 from .bpe import round_trip_report
+from .collocations import collocations
 from .common import table
 from .digest import digest_report
+from .hard_negatives import hard_negative_report
 from .html_extract import extract
 from .langid import language_report
 from .line_dedup import line_dedup_report
 from .packing import pack_documents
 from .quality import quality_report
+from .sharding import sharding_report
 from .simhash import simhash_report
-from .sql import LINE_DEDUP
+from .sql import COLLOCATIONS, HARD_NEGATIVES, LINE_DEDUP
 from .substring_dedup import document_report
 
 
@@ -61,6 +64,18 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_report(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negative_report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op3_simhash": op3_simhash,
@@ -72,8 +87,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html": op8_html,
     "op1_nearest": op1_nearest,
     "op5_substring": op5_substring,
+    "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_sharding": op13_sharding,
 }
 
 ORACLES: dict[str, str] = {
     "op7_line_dedup": LINE_DEDUP,
+    "op11_collocations": COLLOCATIONS,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }
