@@ -91,7 +91,7 @@ def chunk_ends(hashes: np.ndarray, window: int, divisor: int, longest: int) -> l
     starts = np.flatnonzero((seen >> np.uint64(20)) % np.uint64(divisor) == 0)
     out, first = [], 0
     for at in [*starts[starts > 0].tolist(), n]:
-        while at - first > longest + window:
+        while at - first > longest + window * (at == n):
             out.append((first, first + longest + window))
             first += longest
         if at < n:
