@@ -94,7 +94,7 @@ def test_sample_by_a_lower_count(spark):
     docs = sample(spark, 120)
     rows = [(r["lang"], r["text"]) for r in docs.collect()]
     want = plain(rows, 20, 40)
-    assert len(want) > 40
+    assert len(want) >= 40
     assert got(collocations(docs, min_count=20, top=40)) == want
 
 
