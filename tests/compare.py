@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import time
 from pathlib import Path
 
 import duckdb
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 def duck_tables(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()

@@ -2,8 +2,7 @@
 
 import __spark_entry__ as entry
 import pytest
-from compare import compare, duck_tables
-from conftest import SF_DIR
+from compare import SF_DIR, compare, duck_tables
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
