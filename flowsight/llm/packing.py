@@ -36,10 +36,19 @@ ASCII_WHITE = re.compile("[ \t\n\x0b\x0c\r]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for str.split, not for the tokenizer
 
 
+# Letters whose class no version of Unicode changes; words of these are cut as the tokenizer cuts them.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+JOINED = 256
+WORD_END = "</w>"
+
+
 class WordIds:
     """Ids of texts by the tokenizers library, through a bounded cache of white-space words.
 
-    Right for tokenizers that drop white space and treat what lies between alone.
+    Right for tokenizers that drop white space and treat what lies between alone, and that
+    end every run of `RUNS` with a token in `</w>`: plain words are then encoded many to a call, and
+    their ids are told apart by counting such tokens. All other words are encoded one by one.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -51,16 +60,38 @@ class WordIds:
         self.tokenizer.no_padding()
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _add(self, words: set[str]) -> None:
+        """The ids of new words go to the cache."""
+        plain = [w for w in words if PLAIN.fullmatch(w) and not any(s in w for s in self.special)]
+        runs = np.array([1 if w.isalpha() else len(RUNS.findall(w.lower())) for w in plain], np.int64)
+        joined = ["\n".join(plain[at : at + JOINED]) for at in range(0, len(plain), JOINED)]
+        for k, ids in enumerate(self._encode(joined)):
+            part = slice(k * JOINED, (k + 1) * JOINED)
+            ids = np.array(ids, "<u4")
+            last = np.flatnonzero(self.ends[ids])[runs[part].cumsum() - 1] + 1
+            data, start = ids.tobytes(), 0
+            for word, end in zip(plain[part], (4 * last).tolist()):
+                self.cache[word] = data[start:end]
+                start = end
+        others = list(words.difference(plain))
+        for word, ids in zip(others, self._encode(others)):
+            self.cache[word] = array("I", ids).tobytes()
 
     def _group(self, texts: list[str]) -> list[bytes]:
         words = [ASCII_WHITE.split(t) if SEPARATORS.search(t) else t.split() for t in texts]
-        new = set(chain.from_iterable(words)).difference(self.cache)
-        if len(self.cache) + len(new) > self.cache_words:
-            self.cache.clear()
-            new = set(chain.from_iterable(words))
-        order = list(new)
-        for word, e in zip(order, self.tokenizer.encode_batch_fast(order, add_special_tokens=False)):
-            self.cache[word] = array("I", e.ids).tobytes()
+        here = set(chain.from_iterable(words))
+        new = here.difference(self.cache)
+        if len(self.cache) + len(new) > self.cache_words:  # what these texts hold again stays
+            self.cache = {w: self.cache[w] for w in here - new}
+        self._add(new)
         of = self.cache.__getitem__
         return [b"".join(map(of, w)) for w in words]
 

@@ -28,6 +28,8 @@ def test_ids_equal_the_library(library):
     alphabet = "aeththnrei .,'\n\t 0189éßЖ語😀\x1c\x85́ İΣ"
     texts = ["".join(pick.choice(alphabet) for _ in range(60)) for _ in range(3000)]
     texts += [f"Ab{chr(c)}1 {chr(c)}{chr(c)}b 'S{chr(c)}" for c in range(1, 0xD800, 3)]
+    texts += [f"{chr(c)}a'Ll{chr(c)}{chr(c)}9 {chr(c)}" for c in range(33, 0x180)]
+    texts += ["".join(pick.choice("aB'sStrRevEmMlLdD09.,!-ßÉ ÿ÷×²ª") for _ in range(40)) for _ in range(3000)]
     texts += ["<|endoftext|>x <|startoftext|>", "", " ", "a'll b'S"]
     want = [array("I", e.ids).tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
     assert list(WordIds(PATH, cache_words=100).encode(texts)) == want
