@@ -47,8 +47,9 @@ class WordIds:
     """Ids of texts by the tokenizers library, through a bounded cache of white-space words.
 
     Right for tokenizers that drop white space and treat what lies between alone, and that
-    end every run of `RUNS` with a token in `</w>`: plain words are then encoded many to a call, and
-    their ids are told apart by counting such tokens. All other words are encoded one by one.
+    end every run of `RUNS` with a token in `</w>`: plain words are then cut into their lower-case
+    runs, of which many go to a call, and whose ids are told apart by these tokens. All other words are encoded
+    one by one.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -59,6 +60,7 @@ class WordIds:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.cache: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
         self.cache_words = cache_words
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -68,19 +70,31 @@ class WordIds:
     def _encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _add(self, words: set[str]) -> None:
-        """The ids of new words go to the cache."""
-        plain = [w for w in words if PLAIN.fullmatch(w) and not any(s in w for s in self.special)]
-        runs = np.array([1 if w.isalpha() else len(RUNS.findall(w.lower())) for w in plain], np.int64)
-        joined = ["\n".join(plain[at : at + JOINED]) for at in range(0, len(plain), JOINED)]
+    def _add_runs(self, runs: set[str]) -> None:
+        """The ids of new runs; each ends with the only token of its kind."""
+        new = list(runs.difference(self.runs))
+        if len(self.runs) + len(new) > self.cache_words:
+            self.runs, new = {}, list(runs)
+        joined = ["\n".join(new[at : at + JOINED]) for at in range(0, len(new), JOINED)]
         for k, ids in enumerate(self._encode(joined)):
-            part = slice(k * JOINED, (k + 1) * JOINED)
             ids = np.array(ids, "<u4")
-            last = np.flatnonzero(self.ends[ids])[runs[part].cumsum() - 1] + 1
             data, start = ids.tobytes(), 0
-            for word, end in zip(plain[part], (4 * last).tolist()):
-                self.cache[word] = data[start:end]
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            for run, end in zip(new[k * JOINED : (k + 1) * JOINED], ends, strict=True):
+                self.runs[run] = data[start:end]
                 start = end
+
+    def _add(self, words: set[str]) -> None:
+        """The ids of new words go to the cache."""
+        plain = [w for w in words if PLAIN.fullmatch(w)]
+        text = "\n".join(plain)
+        if any(s in text for s in self.special):
+            plain = [w for w in plain if not any(s in w for s in self.special)]
+        cut = [w.lower() if w.isalpha() else RUNS.findall(w.lower()) for w in plain]
+        self._add_runs(set(chain.from_iterable([c] if isinstance(c, str) else c for c in cut)))
+        of = self.runs.__getitem__
+        for word, c in zip(plain, cut):
+            self.cache[word] = of(c) if isinstance(c, str) else b"".join(map(of, c))
         others = list(words.difference(plain))
         for word, ids in zip(others, self._encode(others)):
             self.cache[word] = array("I", ids).tobytes()
