@@ -118,7 +118,7 @@ def _step(name: str, rows: str, centres: str) -> str:
     )
 
 
-def _hash32(key: str, seed: int) -> str:
+def hash32_sql(key: str, seed: int | str) -> str:
     return f"CAST('0x' || substr(md5('{seed}:' || {key}), 1, 8) AS BIGINT)"
 
 
@@ -138,7 +138,7 @@ packed AS (
 """
 
 _FEATURE_BATCHES = f"""WITH RECURSIVE f AS ({V.features_sql(FLOW)}),
-sized AS (SELECT {KEYS}, {_hash32("subscriber_id || '|' || dst_subnet || '|' || transaction_time", 0)} % {FEATURE_SHARDS} AS shard,
+sized AS (SELECT {KEYS}, {hash32_sql("subscriber_id || '|' || dst_subnet || '|' || transaction_time", 0)} % {FEATURE_SHARDS} AS shard,
   strlen(subscriber_id) + strlen(dst_subnet) + strlen(transaction_time) + strlen(CAST(number_of_records AS VARCHAR)) AS size FROM f),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY transaction_time, shard ORDER BY subscriber_id, dst_subnet) AS rn FROM sized),
 packed AS (
@@ -268,7 +268,7 @@ ORACLES: dict[str, str] = {
     "AND avg_tx_bytes IS NOT NULL AND avg_rx_bytes IS NOT NULL AND avg_duration IS NOT NULL",
     "train_rows_limited": f"WITH k AS (SELECT *, subscriber_id || '|' || dst_subnet || '|' || transaction_time AS k FROM ({_DATED}) "
     "WHERE dt BETWEEN DATE '2024-01-01' AND DATE '2024-01-31') "
-    f"SELECT {KEYS} FROM k QUALIFY row_number() OVER (ORDER BY {_hash32('k', 0)}, k) <= 300",
+    f"SELECT {KEYS} FROM k QUALIFY row_number() OVER (ORDER BY {hash32_sql('k', 0)}, k) <= 300",
     "tokenize_hash": "SELECT event_id, 'IMSI_TOKEN(64):' || "
     f"sha256('{TOKEN_KEY.decode()}:' || subscriberId) AS token FROM ({FLOW})",
     "tokenize_aes_roundtrip": f"SELECT {KEYS}, true AS is_token FROM ({_DAY_FEATURES})",
@@ -287,11 +287,11 @@ ORACLES: dict[str, str] = {
     "scorer_alerts": f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({_RULE}) WHERE logistic >= 0.99",
     "prediction_join": "SELECT transactionId, round(logistic, 9) AS logistic, nameOrig, nameDest, amount, isFraud "
     f"FROM ({_RULE}) WHERE logistic >= 0.5",
-    "fraud_downsample": f"WITH t AS ({TRANSACTIONS}), neg AS (SELECT *, row_number() OVER (ORDER BY {_hash32('transactionId', 2)}, transactionId) AS rn, "
+    "fraud_downsample": f"WITH t AS ({TRANSACTIONS}), neg AS (SELECT *, row_number() OVER (ORDER BY {hash32_sql('transactionId', 2)}, transactionId) AS rn, "
     "count(*) OVER () AS n FROM t WHERE isFraud = 0) "
     "SELECT transactionId, type, amount, isFraud FROM neg WHERE rn <= round_even(0.005::DOUBLE * n, 0) "
     "UNION ALL SELECT transactionId, type, amount, isFraud FROM t WHERE isFraud = 1",
-    "fraud_split": f"SELECT transactionId, isFraud, row_number() OVER (ORDER BY {_hash32('transactionId', 2)}, transactionId) "
+    "fraud_split": f"SELECT transactionId, isFraud, row_number() OVER (ORDER BY {hash32_sql('transactionId', 2)}, transactionId) "
     f"<= floor(0.8::DOUBLE * count(*) OVER ()) AS in_train FROM ({TRANSACTIONS})",
     "known_frauds": f"SELECT transactionId, type, amount, nameOrig FROM ({TRANSACTIONS}) WHERE isFraud = 1 ORDER BY transactionId LIMIT 10",
     "one_hot_type": f"WITH t AS ({TRANSACTIONS}), v AS (SELECT list_sort(list(DISTINCT type)) AS values FROM t) "

@@ -43,7 +43,7 @@ TOKEN_KEY = b"0123456789abcdef"
 SHARDS, REQUEST_BYTES, REQUEST_WINDOW = 8, 2000, 30 * V.DAY
 
 
-def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
@@ -218,7 +218,7 @@ def centroid_distance(spark, sf):
     names = [f"distance_{i + 1}" for i in range(V.N_CLUSTERS)]
     # a scale factor may leave a cluster of the fixed model empty
     missing = {n: F.lit(None).cast("double") for n in names if n not in rows.columns}
-    return _rounded(rows.withColumns(missing).select(*KEYS, *names), 6, *names)
+    return rounded(rows.withColumns(missing).select(*KEYS, *names), 6, *names)
 
 
 def row_spread(spark, sf):
@@ -227,7 +227,7 @@ def row_spread(spark, sf):
         V.normalized_centroids(spark, sf),
     )
     numbers = ["normalized_dest", "spread"]
-    return _rounded(rows.select(*KEYS, "centroid_id", *numbers), 5, *numbers)
+    return rounded(rows.select(*KEYS, "centroid_id", *numbers), 5, *numbers)
 
 
 def outliers(spark, sf):
@@ -253,11 +253,11 @@ def centroid_pivot(spark, sf):
 
 
 def centroid_spread(spark, sf):
-    return _rounded(V.normalized_centroids(spark, sf), 5, "normalized_dest")
+    return rounded(V.normalized_centroids(spark, sf), 5, "normalized_dest")
 
 
 def centroid_spread_compat(spark, sf):
-    return _rounded(V.normalized_centroids(spark, sf, compat=True), 5, "normalized_dest")
+    return rounded(V.normalized_centroids(spark, sf, compat=True), 5, "normalized_dest")
 
 
 def _steps(spark, sf):
@@ -271,13 +271,13 @@ def _steps(spark, sf):
 def kmeans_one_step(spark, sf):
     rows, start = V.features(spark, sf), V.centroids(spark, sf)
     updated, _ = clustering.kmeans_step(rows, start)
-    return _rounded(updated, 6, *VECTOR_COLUMNS)
+    return rounded(updated, 6, *VECTOR_COLUMNS)
 
 
 def cluster_report(spark, sf):
     centres, info = _steps(spark, sf)
     report = clustering.cluster_report(centres, info)
-    return _rounded(report, 4, "cluster_radius", *VECTOR_COLUMNS)
+    return rounded(report, 4, "cluster_radius", *VECTOR_COLUMNS)
 
 
 def train_rows_filtered(spark, sf):
@@ -297,19 +297,6 @@ def _kmeans(spark, sf):
     return rows, clustering.fit_kmeans(rows, k=4, seed=1)
 
 
-def kmeans_train(spark, sf):
-    rows, model = _kmeans(spark, sf)
-    centres = clustering.pivot_centroids(clustering.centroids_long(spark, model))
-    return clustering.centroid_spread(clustering.assign(model, rows), centres)
-
-
-def kmeans_report(spark, sf):
-    rows, model = _kmeans(spark, sf)
-    centres = clustering.pivot_centroids(clustering.centroids_long(spark, model))
-    info = clustering.model_training_info(model, clustering.assign(model, rows), centres)
-    return clustering.cluster_report(centres, info)
-
-
 def _inertia(rows: DataFrame, centres: DataFrame, scale: dict[str, float]) -> DataFrame:
     """Rows with the id of their nearest standardised centre and the squared distance."""
     near = scoring.nearest_centroid(rows, centres, scale=scale)
@@ -495,11 +482,11 @@ def _rule_predictions(spark, sf):
 
 
 def parse_predictions(spark, sf):
-    return _rounded(_rule_predictions(spark, sf).drop("json_response"), 9, "logistic")
+    return rounded(_rule_predictions(spark, sf).drop("json_response"), 9, "logistic")
 
 
 def scorer_alerts(spark, sf):
-    return _rounded(
+    return rounded(
         fraud.alerts(_rule_predictions(spark, sf)).drop("json_response"), 9, "logistic"
     )
 
@@ -507,7 +494,7 @@ def scorer_alerts(spark, sf):
 def prediction_join(spark, sf):
     found = fraud.alerts(_rule_predictions(spark, sf), 0.5).drop("json_response")
     matched = fraud.match_transactions(found, V.transactions(spark, sf))
-    return _rounded(
+    return rounded(
         matched.select("transactionId", "logistic", "nameOrig", "nameDest", "amount", "isFraud"),
         9,
         "logistic",
@@ -562,7 +549,7 @@ def confusion_counts(spark, sf):
 
 def model_evaluation(spark, sf):
     numbers = ["accuracy", "precision", "recall"]
-    return _rounded(fraud.evaluate(_rule_scored(spark, sf)), 9, *numbers)
+    return rounded(fraud.evaluate(_rule_scored(spark, sf)), 9, *numbers)
 
 
 def _gbt(spark, sf):
@@ -688,7 +675,7 @@ def stored_query_centroids(spark, sf):
     V.normalized_centroids(spark, sf).write.parquet(f"{folder}/centroids")
     text = f"SELECT * FROM parquet.`{folder}/centroids`;"
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{folder}/sql")
-    return _rounded(tables.read_centroids(spark, f"{folder}/sql"), 5, "normalized_dest")
+    return rounded(tables.read_centroids(spark, f"{folder}/sql"), 5, "normalized_dest")
 
 
 def csv_labelled_scan(spark, sf):
@@ -702,7 +689,7 @@ def centroids_json_load(spark, sf):
     path = scratch_path(spark, "json")
     V.normalized_centroids(spark, sf).write.json(path)
     loaded = files.read_json(spark, path, NORMALIZED_CENTROIDS)
-    return _rounded(loaded, 5, "normalized_dest")
+    return rounded(loaded, 5, "normalized_dest")
 
 
 BATCH_QUERIES: dict[str, Query] = {
@@ -741,8 +728,6 @@ BATCH_QUERIES: dict[str, Query] = {
         cluster_report,
         train_rows_filtered,
         train_rows_limited,
-        kmeans_train,
-        kmeans_report,
         kmeans_facts,
         tokens_without_key,
         tokenize_hash,

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsight.operators.sampling import take_seeded
@@ -26,6 +26,11 @@ def usable_rows(features: DataFrame) -> DataFrame:
     return features.where(ok)
 
 
+def row_key() -> Column:
+    """The key of a feature row as one text."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("\0")) for c in _KEY_COLUMNS])
+
+
 def train_rows(
     features: DataFrame,
     date_from: str | dt.date,
@@ -41,7 +46,7 @@ def train_rows(
     rows = usable_rows(partition_range(features, date_from, date_to))
     if limit is None:
         return rows
-    keyed = rows.withColumn("_key", F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("\0")) for c in _KEY_COLUMNS]))
+    keyed = rows.withColumn("_key", row_key())
     return take_seeded(keyed, "_key", seed, rows=limit).drop("_key")
 
 
@@ -135,9 +140,12 @@ def centroid_spread(
 
 
 def cluster_report(
-    centroids: DataFrame, training_info: DataFrame, columns: list[str] = VECTOR_COLUMNS
+    centroids: DataFrame,
+    training_info: DataFrame,
+    columns: list[str] = VECTOR_COLUMNS,
+    iteration: int | None = None,
 ) -> DataFrame:
-    """Cluster radius at the last training iteration beside the centroid features.
+    """Cluster radius at the last, or at a given, training iteration beside the centroid features.
 
     `training_info` has one row per iteration with an array of cluster structs.
     """
@@ -148,7 +156,7 @@ def cluster_report(
         F.col("info.centroid_id").alias("centroid_id"),
         F.col("info.cluster_radius").alias("cluster_radius"),
     )
-    last = training_info.agg(F.max("iteration")).scalar()
+    last = F.lit(iteration) if iteration is not None else training_info.agg(F.max("iteration")).scalar()
     return (
         centroids.join(per_cluster, "centroid_id", "left")
         .where(F.col("iteration") == last)

@@ -7,17 +7,31 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowsight.operators import clustering, fraud, sampling
-from flowsight.schemas import NORMALIZED_CENTROIDS, conform
+from flowsight.operators import clustering, fraud, kmeans, sampling
+from flowsight.schemas import NORMALIZED_CENTROIDS, VECTOR_COLUMNS, conform
 from flowsight.session import scratch_root
 
 
 @dataclass(frozen=True)
 class ClusterResult:
-    model: PipelineModel
+    """`centroids` and `info` hold every round, `report` the last one."""
+
+    model: kmeans.KMeansModel
     normalized: DataFrame
     report: DataFrame
+    centroids: DataFrame
+    info: DataFrame
+
+    def report_at(self, iteration: int) -> DataFrame:
+        return round_report(self.centroids, self.info, iteration)
+
+
+def round_report(centroids: DataFrame, info: DataFrame, iteration: int) -> DataFrame:
+    """Cluster radius beside the centroid features after a round of training."""
+    of_round = centroids.where(F.col("iteration") == iteration).drop("iteration")
+    return clustering.cluster_report(clustering.pivot_centroids(of_round), info, VECTOR_COLUMNS, iteration)
 
 
 def train_clusters(
@@ -29,6 +43,7 @@ def train_clusters(
     seed: int = 1,
     limit: int | None = None,
     compat: bool = False,
+    iterations: int = 20,
 ) -> ClusterResult:
     """Fit k-means on the features of a date range and derive the side table.
 
@@ -36,21 +51,27 @@ def train_clusters(
     tables derived from the model. Runs the training jobs.
     """
     scratch_root(spark)
-    rows = clustering.train_rows(features, date_from, date_to, limit).checkpoint()
-    model = clustering.fit_kmeans(rows, k, seed)
-    centroids = clustering.pivot_centroids(clustering.centroids_long(spark, model))
-    assigned = clustering.assign(model, rows)
-    normalized = conform(
-        clustering.centroid_spread(assigned, centroids, compat), NORMALIZED_CENTROIDS
-    )
-    info = clustering.model_training_info(model, assigned, centroids)
-    return ClusterResult(model, normalized, clustering.cluster_report(centroids, info))
+    rows = clustering.train_rows(features, date_from, date_to, limit)
+    rows = rows.withColumn("_key", clustering.row_key()).checkpoint()
+    model = kmeans.fit(rows, "_key", k, seed, iterations)
+    centroids, info = kmeans.centroids_long(spark, model), kmeans.training_info(spark, model)
+    last = len(model.rounds)
+    final = clustering.pivot_centroids(centroids.where(F.col("iteration") == last).drop("iteration"))
+    assigned = kmeans.assign(model, rows.drop("_key"))
+    normalized = conform(clustering.centroid_spread(assigned, final, compat), NORMALIZED_CENTROIDS)
+    return ClusterResult(model, normalized, round_report(centroids, info, last), centroids, info)
 
 
 def write_clusters(result: ClusterResult, table: str) -> None:
     clustering.write_or_replace(result.normalized, table)
 
 
+def write_history(result: ClusterResult, centroids_table: str, info_table: str) -> None:
+    """The centroids and the figures of every round as tables."""
+    clustering.write_or_replace(result.centroids, centroids_table)
+    clustering.write_or_replace(result.info, info_table)
+
+
 @dataclass(frozen=True)
 class FraudResult:
     model: PipelineModel

@@ -111,6 +111,14 @@ TRAINING_INFO = _struct(
     ]
 )
 
+# one row for every round of training
+TRAINING_HISTORY = StructType([TRAINING_INFO["iteration"], StructField("loss", _D), TRAINING_INFO["cluster_info"]])
+
+
+def with_iteration(schema: StructType) -> StructType:
+    return StructType([TRAINING_INFO["iteration"], *schema.fields])
+
+
 TRANSACTION = _struct(
     [
         ("step", _I),

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowsight.operators import clustering, scoring
+from flowsight.operators import clustering, kmeans, scoring
 from flowsight.plans import training
 from flowsight.schemas import FEATURES, NORMALIZED_CENTROIDS, VECTOR_COLUMNS
 
@@ -162,11 +162,14 @@ def test_kmeans_job(spark):
     assert [r["centroid_id"] for r in report] == [1, 2, 3]
     assert all(r["cluster_radius"] > 0 for r in report)
     # the raw-unit centres are the means of their rows
-    rows = clustering.assign(result.model, features)
+    rows = kmeans.assign(result.model, features)
     means = {r["centroid_id"]: r for r in clustering.pivot_centroids(clustering.centroid_rows(rows)).collect()}
     for r in report:
         for c in VECTOR_COLUMNS:
             assert r[c] == pytest.approx(means[r["centroid_id"]][c], abs=60)
+    assert result.report_at(1).count() == 3
+    losses = [r["loss"] for r in result.info.orderBy("iteration").collect()]
+    assert losses == sorted(losses, reverse=True) and len(losses) == len(result.model.rounds)
     training.write_clusters(result, "normalized_centroid_data")
     training.write_clusters(result, "normalized_centroid_data")
     assert spark.table("normalized_centroid_data").count() == 3
