@@ -7,7 +7,7 @@ their frequencies are the dictionary; copies, repeated lines and passages shrink
 each. A phrase occurrence belongs to the chunk in which it begins before the closing window (in a
 text's last chunk: anywhere), so each is counted once; a phrase is at most a word longer than the window.
 
-Counting runs over the dictionary in three passes: words, pairs, then longer phrases. As no phrase is
+Words are counted by the parsing pass, as the alphabet; then two passes over the dictionary count pairs and longer phrases. As no phrase is
 more frequent than its parts, a pass leaves out phrases with an infrequent part, known by a Bloom filter of
 what the pass before has found. The filter has at most 2^`FILTER_BITS` bits whatever the input; where it lets an infrequent part
 pass, a phrase more is counted and dropped by its exact count. Tasks identify phrases by their words,
@@ -41,11 +41,13 @@ DIVISOR = 48
 LONGEST_CHUNK = 1 << 13
 FILTER_BITS = 27
 MAX_WORDS = 1 << 20
+MAX_TOKENS = 1 << 22
 MAX_PHRASES = 1 << 21
 BREAK, END = "\n", "\r"
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
-NORMAL = str.maketrans(
-    {c: BREAK for c in PIECE_ENDS} | {"\t": " "} | {chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)}
+NORMAL = bytes.maketrans(
+    (UPPER := b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") + b"\t" + PIECE_ENDS.encode(),
+    UPPER.lower() + b" " + BREAK.encode() * len(PIECE_ENDS),
 )
 MIX = np.uint64(0x9E3779B97F4A7C15)
 TEXT_BLOCK = 1 << 20
@@ -66,21 +68,27 @@ def mixed(parts: list[np.ndarray]) -> np.ndarray:
 
 def tokens_of(text: str) -> list[str]:
     """Words and breaks; a break may stand anywhere, also several times."""
-    return list(filter(None, text.translate(NORMAL).replace(BREAK, f" {BREAK} ").split(" ")))
+    plain = text.encode("utf-8").translate(NORMAL).decode("utf-8")
+    return list(filter(None, plain.replace(BREAK, f" {BREAK} ").split(" ")))
 
 
 class Words(dict):
-    """Numbers of words in the order of their first use, and their hashes."""
+    """Numbers of words in the order of their first use, and their hashes by number."""
 
     def __init__(self, seed: int = 0):
         super().__init__({BREAK: 0, END: 1})
-        self.seed, self.hashes = seed, [0, 0]
+        self.seed, self.hashes = seed, np.zeros(1 << 16, np.uint64)
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
-        self.hashes.append(word_hash(word, self.seed))
+        if number == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+        self.hashes[number] = word_hash(word, self.seed)
         return number
 
+    def numbers(self, tokens: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
+
 
 def chunk_ends(hashes: np.ndarray, window: int, divisor: int, longest: int) -> list[tuple[int, int]]:
     """(first, end) of a text's chunks, in words; neighbours overlap by a window."""
@@ -101,15 +109,12 @@ def chunk_ends(hashes: np.ndarray, window: int, divisor: int, longest: int) -> l
     return out
 
 
-def chunks_of(text: str, words: Words, window: int, divisor: int, longest: int) -> Iterator[str]:
-    """The chunks of a text; the last one closes with the end mark."""
-    tokens = tokens_of(text)
-    ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+def chunks_of(
+    tokens: list[str], ids: np.ndarray, words: Words, window: int, divisor: int, longest: int
+) -> Iterator[str]:
+    """The chunks of a text given as tokens and their numbers; the last one closes with the end mark."""
     at = np.flatnonzero(ids > 1)
-    hashes = np.array(words.hashes, np.uint64)[ids[at]] if len(words) < len(ids) else np.fromiter(
-        map(words.hashes.__getitem__, ids[at].tolist()), np.uint64, len(at)
-    )
-    for first, end in chunk_ends(hashes, window, divisor, longest):
+    for first, end in chunk_ends(words.hashes[ids[at]], window, divisor, longest):
         chunk = " ".join(tokens[at[first] : at[end - 1] + 1])
         yield f"{chunk} {END}" if end == len(at) else chunk
 
@@ -117,27 +122,58 @@ def chunks_of(text: str, words: Words, window: int, divisor: int, longest: int)
 def parse(
     docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR, longest: int = LONGEST_CHUNK
 ) -> DataFrame:
-    """The dictionary: (lang, chunk, n), every distinct chunk of a language with its number."""
+    """The dictionary and its alphabet: (lang, word, entry, n).
+
+    Every distinct chunk of a language with its number (`word` false), and every distinct word.
+    """
     rows = docs.select(
         F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"), whole_text(docs).alias("text")
     ).filter("text <> ''")
 
     def work(batch: pa.RecordBatch):
-        words = Words()
+        words, seen, held = Words(), {}, 0
         langs, found, size = [], [], 0
+
+        def alphabet():
+            names = list(words)
+            for lang, parts in seen.items():
+                number, n = np.unique(np.concatenate(parts), return_counts=True)
+                n, number = n[number > 1], number[number > 1].tolist()
+                yield {
+                    "lang": [lang] * len(n),
+                    "word": np.ones(len(n), bool),
+                    "entry": [names[i] for i in number],
+                    "n": n,
+                }
+
+        def chunks():
+            yield {
+                "lang": langs,
+                "word": np.zeros(len(found), bool),
+                "entry": found,
+                "n": np.ones(len(found), np.int64),
+            }
+
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if len(words) > MAX_WORDS:
-                words = Words()
-            for chunk in chunks_of(text, words, window, divisor, longest):
+            tokens = tokens_of(text)
+            ids = words.numbers(tokens)
+            seen.setdefault(lang, []).append(ids)
+            held += len(ids)
+            for chunk in chunks_of(tokens, ids, words, window, divisor, longest):
                 langs.append(lang)
                 found.append(chunk)
-                size += len(chunk)
+            size += len(text)
             if size > TEXT_BLOCK:
-                yield {"lang": langs, "chunk": found}
+                yield from chunks()
                 langs, found, size = [], [], 0
-        yield {"lang": langs, "chunk": found}
+            if held > MAX_TOKENS or len(words) > MAX_WORDS:
+                yield from alphabet()
+                words, seen, held = Words(), {}, 0
+        yield from chunks()
+        yield from alphabet()
 
-    return arrow_map(rows, work, "lang string, chunk string").groupBy("lang", "chunk").agg(F.count("*").alias("n"))
+    parsed = arrow_map(rows, work, "lang string, word boolean, entry string, n long")
+    return parsed.groupBy("lang", "word", "entry").agg(F.sum("n").alias("n"))
 
 
 class Filter:
@@ -215,7 +251,7 @@ class Counter:
     def add(self, chunks: list[str], numbers: np.ndarray, window: int, parts: Filter | None) -> None:
         """`parts` knows the frequent phrases a word shorter than the shortest counted here."""
         tokens = f" {END} {END} ".join(chunks).split(" ") + [END, END]
-        ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
+        ids = self.words.numbers(tokens)
         # a chunk closes with two end marks, a text's last one with three
         end = ids == 1
         close = np.flatnonzero(end & np.append(~end[1:], True))
@@ -238,7 +274,7 @@ class Counter:
                 alive[:-k] &= word[k:]
                 alive[len(alive) - k :] = False
             at = np.flatnonzero(alive)
-            hashes = np.array(self.words.hashes, np.uint64)
+            hashes = self.words.hashes
             alive[at] = parts.holds(mixed([hashes[ids[at + i]] for i in range(least)]))
         for k in range(least, max(self.sizes) + 1):
             if k > least:  # both parts that are a word shorter
@@ -271,7 +307,6 @@ class Counter:
                     phrases = [" ".join(r) for r in rows]
                     yield {
                         "lang": [self.lang] * len(phrases),
-                        "size": np.full(len(phrases), k, np.int32),
                         "phrase": phrases,
                         "f": weights[at : at + (1 << 16)],
                     }
@@ -280,11 +315,11 @@ class Counter:
 def phrase_counts(
     chunks: DataFrame, sizes: tuple[int, ...], parts: Filter | None = None, window: int = WINDOW
 ) -> DataFrame:
-    """(lang, size, phrase, f) of the phrases of `sizes` words in the dictionary's chunks.
+    """(lang, phrase, f) of the phrases of `sizes` words in the dictionary's chunks.
 
     With `parts`, phrases that hold a part it does not know may be left out.
     """
-    kind = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
+    kind = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_process()
@@ -301,15 +336,16 @@ def phrase_counts(
                 found[0].append(chunk)
                 found[1].append(n)
             for lang, (texts, numbers) in by_lang.items():
-                counter = counters.setdefault(lang, Counter(lang, sizes))
-                counter.add(texts, np.array(numbers, np.int64), window, parts)
-                if counter.full():
+                if lang not in counters:
+                    counters[lang] = Counter(lang, sizes)
+                counters[lang].add(texts, np.array(numbers, np.int64), window, parts)
+                if counters[lang].full():
                     yield from given(counters.pop(lang))
         for counter in counters.values():
             yield from given(counter)
 
-    counts = chunks.select("lang", "chunk", "n").mapInArrow(run, "lang string, size int, phrase string, f long")
-    return counts.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    counts = chunks.filter("NOT word").select("lang", "entry", "n").mapInArrow(run, "lang string, phrase string, f long")
+    return counts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
 def frequent_phrases(
@@ -319,16 +355,16 @@ def frequent_phrases(
     and (lang, n) of all words."""
     window = max(longest - 1, 1)
     chunks = written(parse(docs, window), "chunks")
-    words = written(phrase_counts(chunks, (1,), window=window), "words")
-    enough = F.col("f") >= min_count
-    found, below = words.filter(enough), words.filter(enough)
+    words = chunks.filter("word").select("lang", F.col("entry").alias("phrase"), F.col("n").alias("f"))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    enough = F.col("f") >= min_count
+    found = below = words.filter(enough)
     for sizes in (range(2, min(longest, 2) + 1), range(3, longest + 1)):
         if sizes:
             counts = phrase_counts(chunks, tuple(sizes), frequent_filter(below), window)
             below = written(counts.filter(enough), "phrases")
             found = found.unionByName(below)
-    return found, totals
+    return found.withColumn("size", F.size(F.split("phrase", " "))), totals
 
 
 def _part(first: Column, length: Column) -> Column:

@@ -56,6 +56,11 @@ def plain(rows, least=100, top=2000):
     return sorted(out)
 
 
+def chunks_in(text, divisor=48, longest=8192):
+    words, tokens = c.Words(), c.tokens_of(text)
+    return list(chunks_of(tokens, words.numbers(tokens), words, 4, divisor, longest))
+
+
 def got(df):
     return sorted(tuple(r) for r in df.collect())
 
@@ -103,7 +108,7 @@ def test_bounded_tables_give_the_same(spark, monkeypatch):
     docs = with_langs(spark, rows)
     found = got(phrase_counts(parse(docs), (2,)))
     f = plain_counts(rows)
-    assert {(lang, p): n for lang, _, p, n in found} == {
+    assert {(lang, p): n for lang, p, n in found} == {
         (lang, " ".join(w)): n for (lang, w), n in f.items() if len(w) == 2
     }
 
@@ -148,7 +153,7 @@ def test_chunks_overlap_by_a_window_and_cover_all(n, longest):
 @given(st.text(alphabet="ab .\n\tCé", max_size=300), st.integers(1, 6), st.integers(1, 9))
 @settings(max_examples=300, deadline=None)
 def test_every_phrase_is_counted_once(text, divisor, longest):
-    chunks = list(chunks_of(text, c.Words(), 4, divisor, longest))
+    chunks = chunks_in(text, divisor, longest)
     counter = c.Counter("x", (1, 2, 3, 4, 5))
     if chunks:
         counter.add(chunks, np.ones(len(chunks), np.int64), 4, None)
@@ -159,8 +164,8 @@ def test_every_phrase_is_counted_once(text, divisor, longest):
 def test_equal_content_is_cut_alike():
     random = np.random.default_rng(7)
     shared = " ".join(f"w{i}" for i in random.integers(0, 900, 2000))
-    a = list(chunks_of("one two three " + shared, c.Words(), 4, 48, 8192))
-    b = list(chunks_of("something else before it " * 9 + shared, c.Words(), 4, 48, 8192))
+    a = chunks_in("one two three " + shared)
+    b = chunks_in("something else before it " * 9 + shared)
     assert len(set(a) & set(b)) >= len(a) - 2 > 20
 
 
