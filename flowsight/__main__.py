@@ -12,6 +12,7 @@ import dataclasses
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 
+from flowsight.operators.ensemble import load_ensemble
 from flowsight.options import FlowOptions, FraudOptions, GeneratorOptions
 from flowsight.plans import flow_anomaly, fraud_detection, inputs, publisher
 from flowsight.session import build_session
@@ -51,7 +52,9 @@ def parser() -> argparse.ArgumentParser:
         if job.endswith("-batch"):
             one.add_argument("--load_id", default=None)
         if job.startswith("fraud"):
-            one.add_argument("--model", required=True, help="folder of a saved model")
+            kind_of_model = one.add_mutually_exclusive_group(required=True)
+            kind_of_model.add_argument("--model", help="folder of a saved model")
+            kind_of_model.add_argument("--nodes", help="folder of a saved table of tree nodes")
         if job == "publish":
             one.add_argument("--output", required=True)
             one.add_argument("--rows", type=int, required=True)
@@ -72,7 +75,8 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         centroids, ranges = inputs.side_tables(spark, options)
     else:
         fraud_detection.create_tables(spark, options)
-        model = PipelineModel.load(given["model"])
+        nodes = given["nodes"]
+        model = load_ensemble(spark, nodes) if nodes else PipelineModel.load(given["model"])
     if job == "flow-batch":
         lines = inputs.batch_lines(spark, options)
         flow_anomaly.run_batch(lines, centroids, options, ranges, given["load_id"])

@@ -552,19 +552,19 @@ def model_evaluation(spark, sf):
     return rounded(fraud.evaluate(_rule_scored(spark, sf)), 9, *numbers)
 
 
-def _gbt(spark, sf):
+def fitted_trees(spark, sf):
     rows = fraud.training_set(V.transactions(spark, sf), fraction=0.5)
     return fraud.fit_fraud_model(rows, iterations=40, step_size=0.3)
 
 
 def gbt_scores(spark, sf):
-    model = _gbt(spark, sf)
+    model = fitted_trees(spark, sf)
     return fraud.predict(model, fraud.model_input(V.transactions(spark, sf)))
 
 
 def gbt_facts(spark, sf):
     """What a fitted and a reloaded model have to fulfil, as one row."""
-    model = _gbt(spark, sf)
+    model = fitted_trees(spark, sf)
     path = scratch_path(spark, "gbt")
     fraud.save_model(model, path)
     rows = V.transactions(spark, sf)

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flowsight.functions.scalars import shard_of
+from flowsight.operators import ensemble
 from flowsight.operators.batching import pack_requests
+from flowsight.operators.ensemble import Ensemble
 from flowsight.operators.sampling import downsample
 from flowsight.schemas import MODEL_INPUT
 
@@ -191,12 +193,19 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_nodes(model: PipelineModel, path: str) -> None:
+    """The fitted trees as a table of nodes, which `ensemble.load_ensemble` reads."""
+    ensemble.save_ensemble(model, path, NUMERIC_COLUMNS, CATEGORICAL_COLUMN)
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | Ensemble, rows: DataFrame) -> DataFrame:
     """The input columns plus `logistic`, the probability of fraud."""
+    if isinstance(model, Ensemble):
+        return ensemble.score(rows, model)
     scored = model.transform(rows).withColumn(
         "logistic", F.get(vector_to_array("probability"), F.lit(1))
     )

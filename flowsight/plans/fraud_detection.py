@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from flowsight.functions.scalars import shard_of
+from flowsight.operators.ensemble import Ensemble
 from flowsight.operators.fraud import (
     KEY_COLUMN,
     alerts,
@@ -72,12 +73,12 @@ def create_tables(
 def score(
     transactions: DataFrame,
     options: FraudOptions = FraudOptions(),
-    model: PipelineModel | None = None,
+    model: PipelineModel | Ensemble | None = None,
     open_scorer: Scorer | None = None,
 ) -> DataFrame:
     """Alerts of a bounded set of transactions.
 
-    A model scores in the JVM, row by row, without request documents. A scorer gets
+    A model (fitted, or read from a table of nodes) scores without request documents. A scorer gets
     the documents of (window, shard) and answers in JSON.
     """
     if model is not None:
@@ -113,7 +114,7 @@ def _load_transactions(rows: DataFrame, options: FraudOptions, load_id: str) ->
 def run_batch(
     lines: DataFrame,
     options: FraudOptions = FraudOptions(),
-    model: PipelineModel | None = None,
+    model: PipelineModel | Ensemble | None = None,
     open_scorer: Scorer | None = None,
     load_id: str | None = None,
 ) -> None:
@@ -140,7 +141,7 @@ def start_stream(
     lines: DataFrame,
     options: FraudOptions,
     checkpoint: str,
-    model: PipelineModel | None = None,
+    model: PipelineModel | Ensemble | None = None,
     open_scorer: Scorer | None = None,
     available_now: bool = False,
     on_load: Callable[[str, dict[str, int]], None] | None = None,

@@ -119,6 +119,20 @@ def with_iteration(schema: StructType) -> StructType:
     return StructType([TRAINING_INFO["iteration"], *schema.fields])
 
 
+ENSEMBLE_NODES = _struct(
+    [
+        ("tree", _I),
+        ("node", _I),
+        ("feature", _S),
+        ("category", _S),
+        ("threshold", _D),
+        ("left", _I),
+        ("right", _I),
+        ("value", _D),
+        ("weight", _D),
+    ]
+)
+
 TRANSACTION = _struct(
     [
         ("step", _I),
