@@ -1,6 +1,6 @@
 """Runs a job: `python -m flowsight JOB --option value ...`, or the same by spark-submit.
 
-Jobs: flow-batch, flow-stream, fraud-batch, fraud-stream, publish. Every option of
+Jobs: flow-batch, flow-stream, fraud-batch, fraud-stream, publish, compact. Every option of
 `flowsight.options` is an argument of its name; see --help after the job.
 """
 
@@ -16,6 +16,7 @@ from flowsight.operators.ensemble import load_ensemble
 from flowsight.options import FlowOptions, FraudOptions, GeneratorOptions
 from flowsight.plans import flow_anomaly, fraud_detection, inputs, publisher
 from flowsight.session import build_session
+from flowsight.sinks import compaction
 
 KINDS = {
     "flow-batch": FlowOptions,
@@ -58,13 +59,23 @@ def parser() -> argparse.ArgumentParser:
         if job == "publish":
             one.add_argument("--output", required=True)
             one.add_argument("--rows", type=int, required=True)
+    one = jobs.add_parser("compact")
+    one.add_argument("--table", required=True)
+    one.add_argument("--cluster_by", type=lambda text: text.split(","), default=None)
+    one.add_argument("--clean", action="store_true", help="remove what was merged; no reader may be running")
     return top
 
 
 def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     """Parses the arguments, makes missing tables and runs the job to its end."""
     given = vars(parser().parse_args(arguments))
-    job, kind = given["job"], KINDS[given["job"]]
+    job = given["job"]
+    if job == "compact":
+        compaction.compact(spark, given["table"], cluster_by=given["cluster_by"])
+        if given["clean"]:
+            compaction.clean(spark, given["table"])
+        return
+    kind = KINDS[job]
     names = {f.name for f in dataclasses.fields(kind)}
     options = kind(**{k: v for k, v in given.items() if k in names})
     if job == "publish":

@@ -184,17 +184,17 @@ _MONEY = {
 
 _DATED = f"SELECT *, CAST(substr(transaction_time, 1, 10) AS DATE) AS dt FROM ({V.features_sql(FLOW)})"
 
-_DAY_FEATURES = V.features_sql(FLOW)
+DAY_FEATURES = V.features_sql(FLOW)
 
 _JOB_OUTLIERS = f"WITH {V.scored_sql(_JOB_FEATURES)} SELECT {KEYS}, {_COUNTS}, {_OUTLIER_TAIL}"
 _ALERTS = f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({_RULE}) WHERE logistic >= 0.99"
 
 ORACLES: dict[str, str] = {
-    "flow_features": _DAY_FEATURES,
+    "flow_features": DAY_FEATURES,
     "flow_features_minute": V.features_sql(FLOW, 60),
     "flow_features_network_subnet": V.features_sql(FLOW, subnet=_network("dstIP", 22)),
-    "flow_features_sketch": _DAY_FEATURES,
-    "flow_features_sketch_salted": _DAY_FEATURES,
+    "flow_features_sketch": DAY_FEATURES,
+    "flow_features_sketch_salted": DAY_FEATURES,
     "json_validate_status": f"SELECT event_id, status FROM ({STATUS})",
     "json_rejects": "SELECT line, status, CASE WHEN status = 'bad_json' THEN 'Not a valid JSON record ' "
     f"ELSE 'Not a valid IP address ' END || line AS error FROM ({STATUS}) WHERE status <> 'ok'",
@@ -219,7 +219,7 @@ ORACLES: dict[str, str] = {
     "geo_enrich_bucketed": _GEO,
     "feature_vector": f"SELECT {KEYS}, "
     + ", ".join(f"CAST({c} AS DOUBLE) AS v{i}" for i, c in enumerate(VECTOR_COLUMNS))
-    + f" FROM ({_DAY_FEATURES})",
+    + f" FROM ({DAY_FEATURES})",
     "nearest_centroid": _scored(
         f"SELECT {KEYS}, centroid_id, round(distance, 6) AS distance FROM scored"
     ),
@@ -271,10 +271,10 @@ ORACLES: dict[str, str] = {
     f"SELECT {KEYS} FROM k QUALIFY row_number() OVER (ORDER BY {hash32_sql('k', 0)}, k) <= 300",
     "tokenize_hash": "SELECT event_id, 'IMSI_TOKEN(64):' || "
     f"sha256('{TOKEN_KEY.decode()}:' || subscriberId) AS token FROM ({FLOW})",
-    "tokenize_aes_roundtrip": f"SELECT {KEYS}, true AS is_token FROM ({_DAY_FEATURES})",
+    "tokenize_aes_roundtrip": f"SELECT {KEYS}, true AS is_token FROM ({DAY_FEATURES})",
     "tokenize_groups": f"SELECT count(*) AS n, CAST(sum(txBytes) AS BIGINT) AS tx FROM ({FLOW}) GROUP BY subscriberId",
     "feature_batches": _FEATURE_BATCHES,
-    "tokenize_service": f"SELECT sha256(subscriber_id) AS subscriber_id, dst_subnet, transaction_time FROM ({_DAY_FEATURES})",
+    "tokenize_service": f"SELECT sha256(subscriber_id) AS subscriber_id, dst_subnet, transaction_time FROM ({DAY_FEATURES})",
     "inspect_sensitive": r"SELECT doc_id, CAST(len(regexp_extract_all(text, '\b[0-9]{14,15}\b')) AS INT) AS text_imsi_count, "
     r"CAST(len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}')) AS INT) AS text_email_count, "
     r"CAST(len(regexp_extract_all(text, '\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b')) AS INT) AS text_ipv4_count FROM documents",
@@ -342,11 +342,11 @@ ORACLES: dict[str, str] = {
     "stream_request_instances": f"SELECT transactionId, type, amount FROM ({TRANSACTIONS})",
     "stream_alerts": _ALERTS,
     "csv_labelled_scan": f"SELECT step, isFraud, type, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest, transactionId FROM ({TRANSACTIONS}) WHERE isFraud = 1",
-    "kmeans_facts": f"SELECT CAST(4 AS BIGINT) AS clusters, count(*) AS n, true AS nearest, true AS not_above_start FROM ({_DAY_FEATURES})",
-    "tokens_without_key": f"SELECT {KEYS} FROM ({_DAY_FEATURES})",
+    "kmeans_facts": f"SELECT CAST(4 AS BIGINT) AS clusters, count(*) AS n, true AS nearest, true AS not_above_start FROM ({DAY_FEATURES})",
+    "tokens_without_key": f"SELECT {KEYS} FROM ({DAY_FEATURES})",
     "gbt_facts": "SELECT count(*) AS n, true AS probabilities, true AS accurate, true AS recalled, "
     f"true AS same_when_reloaded FROM ({TRANSACTIONS})",
-    "append_twice": _DAY_FEATURES,
+    "append_twice": DAY_FEATURES,
     "create_or_replace": f"WITH {V.normalized_sql()} SELECT centroid_id, {VECTOR} FROM centroids",
     "stored_query_centroids": f"WITH {V.normalized_sql()} SELECT centroid_id, round(normalized_dest, 5) AS normalized_dest, {VECTOR} FROM normalized",
     "centroids_json_load": f"WITH {V.normalized_sql()} SELECT centroid_id, round(normalized_dest, 5) AS normalized_dest, {VECTOR} FROM normalized",

@@ -640,7 +640,7 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _external(spark, columns, partition_by=None) -> tuple[str, str]:
+def new_table(spark, columns, partition_by=None) -> tuple[str, str]:
     path = scratch_path(spark, "t")
     table = path.rsplit("/", 1)[-1].replace("-", "_")
     sinks.create_table(spark, table, columns, partition_by, path)
@@ -650,7 +650,7 @@ def _external(spark, columns, partition_by=None) -> tuple[str, str]:
 def append_twice(spark, sf):
     """The default method: rows of every append stay."""
     rows = V.features(spark, sf)
-    table, path = _external(spark, FEATURES)
+    table, path = new_table(spark, FEATURES)
     first = F.pmod(F.xxhash64("transaction_time"), F.lit(2)) == 0
     sinks.append(rows.where(first), table)
     sinks.append(rows.where(~first), table)

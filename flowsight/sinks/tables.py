@@ -16,6 +16,8 @@ from flowsight.schemas import split_required
 # Load columns behind the data columns: day partition and name of the load.
 DATE_COLUMN = "dt"
 LOAD_COLUMN = "load_id"
+# How the names of merged loads begin (see `compaction`).
+MERGED = "merged-"
 
 # Files per load of the flow and the payment tables.
 FLOW_SHARDS = 100
@@ -64,7 +66,7 @@ def require_table(spark: SparkSession, table: str, df: DataFrame) -> list[str]:
     return target.fieldNames()
 
 
-def _laid_out(
+def laid_out(
     df: DataFrame, shards: int | None, cluster_by: list[str] | None
 ) -> DataFrame:
     """File layout: even files, sorted for min/max pruning.
@@ -82,6 +84,11 @@ def _laid_out(
     return df
 
 
+def with_clause(load_id: str, day: str = "") -> str:
+    """A partition of a load in SQL."""
+    return f"{LOAD_COLUMN} = '{load_id}'" + (f", {DATE_COLUMN} = DATE '{day}'" if day else "")
+
+
 def with_date(df: DataFrame, time_column: str = "transaction_time") -> DataFrame:
     """Adds the day partition column from a timestamp or its text."""
     return df.withColumn(DATE_COLUMN, F.to_date(F.col(time_column)))
@@ -95,7 +102,7 @@ def append(
 ) -> None:
     """Append rows to an existing table, columns matched by name. Runs the query."""
     columns = require_table(df.sparkSession, table, df)
-    _laid_out(df, shards, cluster_by).select(*columns).write.insertInto(table)
+    laid_out(df, shards, cluster_by).select(*columns).write.insertInto(table)
 
 
 def load(
@@ -111,7 +118,7 @@ def load(
     after a failure writes its own partition over, so rows are neither lost nor
     doubled, and the loads of other runs stay. Runs the query.
     """
-    if not re.fullmatch(r"[\w.-]+", str(load_id)):
+    if not re.fullmatch(r"[\w.-]+", str(load_id)) or str(load_id).startswith(MERGED):
         raise ValueError(f"{load_id!r} is no name for a load")
     columns = require_table(df.sparkSession, table, df)
     data = [c for c in columns if c != LOAD_COLUMN]
@@ -120,7 +127,7 @@ def load(
         spec += f", {DATE_COLUMN}"
     df.sparkSession.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT * FROM {{rows}}",
-        rows=_laid_out(df, shards, cluster_by).select(*data),
+        rows=laid_out(df, shards, cluster_by).select(*data),
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsight.schemas import NORMALIZED_CENTROIDS, conform
+from flowsight.sinks import compaction
+from flowsight.sinks.tables import LOAD_COLUMN
 
 
 def read_query_file(spark: SparkSession, path: str) -> DataFrame:
@@ -30,8 +32,13 @@ def read_partitions(
     date_to: str | dt.date,
     date_column: str = "dt",
 ) -> DataFrame:
-    """Scan of the day partitions in the closed range; the others are not listed."""
-    return partition_range(spark.table(table), date_from, date_to, date_column)
+    """Scan of the day partitions in the closed range; the others are not read.
+
+    Of a table of loads each row once, also while its loads are being merged.
+    """
+    loads = LOAD_COLUMN in spark.table(table).columns
+    rows = compaction.current(spark, table) if loads else spark.table(table)
+    return partition_range(rows, date_from, date_to, date_column)
 
 
 def partition_range(

@@ -39,6 +39,9 @@ def test_flow_job_from_the_command_line(spark, folder):
     assert count > 100 and {r.load_id for r in features.select("load_id").distinct().collect()} == {"first"}
     run(spark, arguments)
     assert spark.table(f"f_{tag}").count() == count
+    run(spark, ["compact", "--table", f"f_{tag}", "--clean"])
+    assert {r.load_id for r in spark.table(f"f_{tag}").select("load_id").distinct().collect()} == {"merged-1"}
+    assert spark.table(f"f_{tag}").count() == count
 
 
 def test_publish(spark, folder):
