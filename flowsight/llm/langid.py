@@ -14,12 +14,12 @@ first in alphabetical order wins.
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ BUCKETS = 1 << 17
 PENALTY = 8.0
 SMOOTHING = 50.0
 GROUP_CHARS = 1 << 22  # texts that are scored side by side
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")  # a letter, then letters and their marks
 SCRIPT_SHARE = 0.01
 UNDETERMINED = "und"
 

@@ -3,6 +3,7 @@
 import numpy as np
 from fixtures import DOCS_SCHEMA, documents
 from flowsight.llm.langid import (
+    LETTERS,
     Model,
     keep_known_language,
     label_spans,
@@ -105,3 +106,15 @@ def test_nothing_to_learn(spark):
     assert {r.lang_pred for r in language_report(documents(spark, [(1, "a b"), (2, None)])).collect()} == {"und"}
     assert language_report(documents(spark, [])).count() == 0
     assert isinstance(learn(documents(spark, [])), Model)
+
+
+def test_letters_are_letters_with_their_marks(spark):
+    assert LETTERS.findall("हिन्दी भाषा தமிழ் e\u0301te\u0301 x½y ²Ⅷ 42_a") == [
+        "हिन्दी", "भाषा", "தமிழ்", "e\u0301te\u0301", "x", "y", "a",
+    ]
+    rows = [(i, "the cat and the dog of the house" if i % 2 else "der hund und die katze", "en" if i % 2 else "de") for i in range(60)]
+    rows += [(100, "½ ² Ⅷ ①", None), (101, "\u0301\u0302", None), (102, "½ the cat", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_report(docs).collect()}
+    assert got[100] == got[101] == ("und", 0.0)
+    assert got[102][0] == "en"
