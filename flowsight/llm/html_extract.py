@@ -7,8 +7,9 @@ A page without such a container, or with much less text in it, falls back to its
 hosts with more than a task's share are salted for the join, so that a host with a third of all pages fills no task.
 
 Menus, footers and hidden elements go by their tag. Containers that only a class word or a form tag speaks against
-are judged when the page is read: they stay if most of the page's text stands in them, or a fair
-part of it with an article's sign (main, article, h1), so a layout with such a word in its name keeps its article.
+are judged when the page is read: where no article or main stands outside of them, they stay if most of the page's
+text is in them, or a fair part of it with an article's sign (main, article, h1), so a layout with such a word
+in its name keeps its article.
 
 Defined results: null or empty html, and pages without text, give an empty text; a null url is a host of
 its own; repeated rows give equal results; other columns play no part. Of paths with equal
@@ -90,6 +91,9 @@ class _Suspect:
     def __init__(self, readers: bool) -> None:
         self.readers, self.sign, self.size = readers, False, 0
 
+    def meets(self, tag: str) -> None:
+        self.sign = self.sign or tag != "article" or not self.readers  # readers' words may be articles of theirs
+
     def stays(self, total: int) -> bool:
         return self.size >= WITH_SIGN * total if self.sign else not self.readers and self.size >= MOST * total
 
@@ -104,6 +108,7 @@ class _Page:
         self.text: list[str] = []
         self.linked = 0
         self.in_link = False
+        self.outside = False  # whether an article or main stands outside of all suspects
 
     def _top(self) -> tuple[str, str, int, bool, tuple[_Suspect, ...]]:
         return self.stack[-1] if self.stack else ("", "body", 1, False, ())
@@ -124,7 +129,7 @@ class _Page:
     def blocks(self) -> tuple[list[tuple[str, str, int]], set[str]]:
         """The blocks of containers that stay, and the paths with a title in them."""
         total = sum(size for _, _, size, _, _ in self.found)
-        kept = [b for b in self.found if all(s.stays(total) for s in b[3])]
+        kept = [b for b in self.found if not b[3] or not self.outside and all(s.stays(total) for s in b[3])]
         return [(path, text, size) for path, text, size, _, _ in kept], {b[0] for b in kept if b[4]}
 
     def add(self, text: str) -> None:
@@ -151,7 +156,8 @@ class _Page:
         _, path, steps, hidden, suspects = self._top()
         if tag in ARTICLE_SIGNS:
             for s in suspects:
-                s.sign = True
+                s.meets(tag)
+            self.outside = self.outside or not (hidden or suspects or tag == "h1")
         if not hidden and tag not in KEPT_TAGS:
             names = set(WORDS.findall(f"{found.get('class', '')} {found.get('id', '')}".lower()))
             hidden = (

@@ -101,6 +101,9 @@ def test_containers_with_a_dropped_word_in_their_name_keep_the_article(spark):
     assert text_of(spark, f"{boxes}<div><p>{LONG}</p></div>{boxes}") == want
     comments = f'<div class="comments">{"<p>I do not think so, said a reader of it.</p>" * 40}</div>'
     assert text_of(spark, f"<div class=post><p>{LONG}</p>{comments}</div>") == want
+    theirs = f'<div class="comments">{"<article>I do not think so, said a reader of it.</article>" * 40}</div>'
+    assert text_of(spark, f"<div class=post><p>{LONG}</p>{theirs}</div>") == want
+    assert text_of(spark, f"<article>Short.</article><div class=ad>{LONG}</div>") == "Short."
     assert text_of(spark, f'<h1 class="page-header">Title</h1><p>{LONG}</p>') == f"Title\n{want}"
 
 
