@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from flowsight.checks import views as V
 from flowsight.checks.oracles import KEYS, hash32_sql
-from flowsight.checks.queries import Query, rounded, written
+from flowsight.checks.queries import Query, rounded
 from flowsight.operators import clustering, kmeans
 from flowsight.plans.training import round_report
 from flowsight.schemas import VECTOR_COLUMNS
+from flowsight.session import written
 
 K, SEED, PASSES, ROUNDS, MIDDLE = 4, 1, 3, 6, 3
 

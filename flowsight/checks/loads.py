@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from flowsight.checks import views as V
 from flowsight.checks.oracles import DAY_FEATURES
-from flowsight.checks.queries import Query, new_table, written
+from flowsight.checks.queries import Query, new_table
 from flowsight.schemas import FEATURES
+from flowsight.session import written
 from flowsight.sinks import compaction
 from flowsight.sinks import tables as sinks
 

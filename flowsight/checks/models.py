@@ -1,4 +1,4 @@
-"""Scores of tree ensembles kept as tables of nodes, and the same in SQL."""
+"""Scores of tree ensembles kept as tables of nodes, curves, seeded orders; and the same in SQL."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsight.checks import views as V
-from flowsight.checks.oracles import TRANSACTIONS
-from flowsight.checks.queries import Query, fitted_trees, rounded
-from flowsight.operators import ensemble, fraud
+from flowsight.checks.oracles import RULE, TRANSACTIONS, hash32_sql
+from flowsight.checks.queries import Query, fitted_trees, rounded, rule_scored
+from flowsight.operators import curves, ensemble, fraud, sampling
 from flowsight.session import scratch_path
 
 NUMBERS = fraud.NUMERIC_COLUMNS
@@ -68,6 +68,26 @@ def ensemble_alerts(spark, sf):
     return rounded(found.drop("json_response"), 9, "logistic")
 
 
+def _tied(spark, sf) -> DataFrame:
+    """Rule scores with many ties."""
+    return rounded(rule_scored(spark, sf), 4, "logistic")
+
+
+def roc_curve(spark, sf):
+    numbers = ["recall", "false_positive_rate", "precision"]
+    return rounded(curves.curve(_tied(spark, sf)), 9, *numbers)
+
+
+def areas_under_curves(spark, sf):
+    return rounded(curves.areas(_tied(spark, sf)), 9, "roc_area", "average_precision")
+
+
+def shuffled_positions(spark, sf):
+    """The place of every transaction in a seeded order of all."""
+    rows = V.transactions(spark, sf).select("transactionId", "amount")
+    return sampling.with_position(rows, "transactionId", seed=5)
+
+
 def gbt_nodes_agree(spark, sf):
     """Every transaction: whether the fitted trees and their table of nodes score it alike."""
     model = fitted_trees(spark, sf)
@@ -108,13 +128,34 @@ scored AS (
 ) """
 _SCORES = f"{_WALK} SELECT transactionId, type, round(logistic, 9) AS logistic FROM scored"
 
+_CURVE = f"""WITH s AS (SELECT round(logistic, 4) AS score, isFraud FROM ({RULE})),
+c AS (SELECT score, count(*) FILTER (isFraud = 1) AS p, count(*) FILTER (isFraud <> 1) AS n FROM s GROUP BY 1),
+r AS (SELECT *, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp, sum(p) OVER () AS all_p, sum(n) OVER () AS all_n
+  FROM c WINDOW w AS (ORDER BY score DESC)) """
+
 MODEL_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (ensemble_scores, ensemble_scores_in_code, ensemble_alerts, gbt_nodes_agree)
+    f.__name__: f
+    for f in (
+        ensemble_scores,
+        ensemble_scores_in_code,
+        ensemble_alerts,
+        gbt_nodes_agree,
+        roc_curve,
+        areas_under_curves,
+        shuffled_positions,
+    )
 }
 
 MODEL_ORACLES: dict[str, str] = {
     "ensemble_scores": _SCORES,
     "ensemble_scores_in_code": _SCORES,
     "ensemble_alerts": f"{_WALK} SELECT transactionId, round(logistic, 9) AS logistic FROM scored WHERE logistic >= {ALERT}",
+    "roc_curve": f"{_CURVE} SELECT score, tp AS true_positives, fp AS false_positives, round(tp / all_p::DOUBLE, 9) AS recall, "
+    "round(fp / all_n::DOUBLE, 9) AS false_positive_rate, round(tp / (tp + fp)::DOUBLE, 9) AS precision FROM r",
+    "areas_under_curves": f"{_CURVE} SELECT CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives, "
+    "round(sum(n::DOUBLE * (2 * (tp - p) + p)) / (2.0 * sum(p) * sum(n)), 9) AS roc_area, "
+    "round(sum(p * tp / (tp + fp)::DOUBLE) / sum(p), 9) AS average_precision FROM r",
+    "shuffled_positions": f"SELECT transactionId, amount, row_number() OVER (ORDER BY {hash32_sql('transactionId', 5)}, transactionId) "
+    f"AS position FROM ({TRANSACTIONS})",
     "gbt_nodes_agree": f"SELECT transactionId, true AS alike, true AS probability FROM ({TRANSACTIONS})",
 }

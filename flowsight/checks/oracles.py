@@ -150,7 +150,7 @@ packed AS (
 SELECT {KEYS}, shard, batch_id FROM packed"""
 
 _LOGISTIC = "1.0 / (1.0 + exp(-((amount - 300000.0) / 10000.0 - CASE WHEN newbalanceOrig = 0 THEN 0.0 ELSE 20.0 END)))"
-_RULE = f"SELECT *, {_LOGISTIC} AS logistic FROM ({TRANSACTIONS})"
+RULE = f"SELECT *, {_LOGISTIC} AS logistic FROM ({TRANSACTIONS})"
 _CALL = "CAST(round_even(logistic, 0) AS INT)"
 
 
@@ -187,7 +187,7 @@ _DATED = f"SELECT *, CAST(substr(transaction_time, 1, 10) AS DATE) AS dt FROM ({
 DAY_FEATURES = V.features_sql(FLOW)
 
 _JOB_OUTLIERS = f"WITH {V.scored_sql(_JOB_FEATURES)} SELECT {KEYS}, {_COUNTS}, {_OUTLIER_TAIL}"
-_ALERTS = f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({_RULE}) WHERE logistic >= 0.99"
+_ALERTS = f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({RULE}) WHERE logistic >= 0.99"
 
 ORACLES: dict[str, str] = {
     "flow_features": DAY_FEATURES,
@@ -283,10 +283,10 @@ ORACLES: dict[str, str] = {
     "request_documents": f"{_REQUESTS} SELECT window_start, shard, batch_id, count(*) AS n_rows, "
     "CAST(sum(size) AS BIGINT) AS n_bytes FROM packed GROUP BY 1, 2, 3",
     "request_instances": f"SELECT transactionId, type, amount FROM ({TRANSACTIONS})",
-    "parse_predictions": f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({_RULE})",
-    "scorer_alerts": f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({_RULE}) WHERE logistic >= 0.99",
+    "parse_predictions": f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({RULE})",
+    "scorer_alerts": f"SELECT transactionId, round(logistic, 9) AS logistic FROM ({RULE}) WHERE logistic >= 0.99",
     "prediction_join": "SELECT transactionId, round(logistic, 9) AS logistic, nameOrig, nameDest, amount, isFraud "
-    f"FROM ({_RULE}) WHERE logistic >= 0.5",
+    f"FROM ({RULE}) WHERE logistic >= 0.5",
     "fraud_downsample": f"WITH t AS ({TRANSACTIONS}), neg AS (SELECT *, row_number() OVER (ORDER BY {hash32_sql('transactionId', 2)}, transactionId) AS rn, "
     "count(*) OVER () AS n FROM t WHERE isFraud = 0) "
     "SELECT transactionId, type, amount, isFraud FROM neg WHERE rn <= round_even(0.005::DOUBLE * n, 0) "
@@ -299,8 +299,8 @@ ORACLES: dict[str, str] = {
     "step, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest FROM t, v",
     "type_vocabulary": f"SELECT DISTINCT type FROM ({TRANSACTIONS})",
     "transaction_keys": f"SELECT transactionId AS original, sha256(transactionId) AS transactionId FROM ({TRANSACTIONS})",
-    "confusion_counts": f"SELECT isFraud AS actual, {_CALL} AS predicted, count(*) AS n FROM ({_RULE}) GROUP BY 1, 2",
-    "model_evaluation": f"WITH s AS (SELECT isFraud = 1 AS a, {_CALL} = 1 AS p FROM ({_RULE})) SELECT count(*) AS n, "
+    "confusion_counts": f"SELECT isFraud AS actual, {_CALL} AS predicted, count(*) AS n FROM ({RULE}) GROUP BY 1, 2",
+    "model_evaluation": f"WITH s AS (SELECT isFraud = 1 AS a, {_CALL} = 1 AS p FROM ({RULE})) SELECT count(*) AS n, "
     "count(*) FILTER (a AND p) AS true_positives, round(count(*) FILTER (a = p) / count(*)::DOUBLE, 9) AS accuracy, "
     "round(count(*) FILTER (a AND p) / nullif(count(*) FILTER (p), 0)::DOUBLE, 9) AS precision, "
     "round(count(*) FILTER (a AND p) / nullif(count(*) FILTER (a), 0)::DOUBLE, 9) AS recall FROM s",

@@ -30,7 +30,7 @@ from flowsight.schemas import (
     TRANSACTION,
     VECTOR_COLUMNS,
 )
-from flowsight.session import scratch_path
+from flowsight.session import scratch_path, written
 from flowsight.sinks import tables as sinks
 from flowsight.sources import files, tables
 
@@ -535,7 +535,7 @@ def transaction_keys(spark, sf):
     return fraud.with_random_key(rows, ["original"]).select("original", "transactionId")
 
 
-def _rule_scored(spark, sf):
+def rule_scored(spark, sf):
     emptied = F.when(F.col("newbalanceOrig") == 0, 0.0).otherwise(20.0)
     margin = (F.col("amount") - 300000.0) / 10000.0 - emptied
     return V.transactions(spark, sf).withColumn(
@@ -544,12 +544,12 @@ def _rule_scored(spark, sf):
 
 
 def confusion_counts(spark, sf):
-    return fraud.confusion_counts(_rule_scored(spark, sf))
+    return fraud.confusion_counts(rule_scored(spark, sf))
 
 
 def model_evaluation(spark, sf):
     numbers = ["accuracy", "precision", "recall"]
-    return rounded(fraud.evaluate(_rule_scored(spark, sf)), 9, *numbers)
+    return rounded(fraud.evaluate(rule_scored(spark, sf)), 9, *numbers)
 
 
 def fitted_trees(spark, sf):
@@ -634,12 +634,6 @@ def load_features_table(spark, sf):
     return found
 
 
-def written(rows: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_path(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def new_table(spark, columns, partition_by=None) -> tuple[str, str]:
     path = scratch_path(spark, "t")
     table = path.rsplit("/", 1)[-1].replace("-", "_")

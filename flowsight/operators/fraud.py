@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from flowsight.functions.scalars import shard_of
-from flowsight.operators import ensemble
+from flowsight.operators import curves, ensemble
 from flowsight.operators.batching import pack_requests
 from flowsight.operators.ensemble import Ensemble
 from flowsight.operators.sampling import downsample
@@ -252,9 +251,7 @@ def evaluate(scored: DataFrame, probability: str = "logistic") -> DataFrame:
 
 def area_under_curve(scored: DataFrame, probability: str = "logistic") -> float:
     """Area under the ROC curve. Runs the evaluation job."""
-    return BinaryClassificationEvaluator(
-        rawPredictionCol=probability, labelCol=LABEL_COLUMN, metricName="areaUnderROC"
-    ).evaluate(scored)
+    return curves.areas(scored, probability, LABEL_COLUMN).first()["roc_area"]
 
 
 def known_frauds(rows: DataFrame, n: int = 10, key: str = KEY_COLUMN) -> DataFrame:

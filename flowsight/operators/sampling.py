@@ -22,6 +22,27 @@ def shuffle_rows(df: DataFrame, key: str, seed: int = 2) -> DataFrame:
     return df.orderBy(hash32(F.col(key), seed), F.col(key))
 
 
+def with_position(df: DataFrame, key: str, seed: int = 2, name: str = "position") -> DataFrame:
+    """Adds `name`: the place of each row in the seeded order, from 1.
+
+    The order is cut into 65,536 ranges of the hash; their sizes are summed up to the places where they begin
+    (the one window without partitions, over these sums), and rows are numbered inside
+    their range. Rows that repeat a key are ordered by a hash of the row; a key is meant to be almost
+    unique, as all rows of one are numbered in one task.
+    """
+    hashed = df.withColumn("_row", F.xxhash64(*df.columns)).withColumn("_hash", hash32(F.col(key), seed))
+    hashed = hashed.withColumn("_slot", F.shiftright("_hash", _BUCKET_SHIFT))
+    before = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = hashed.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n"))
+    starts = sizes.select("_slot", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_slot").orderBy("_hash", key, "_row"))
+    return (
+        hashed.join(F.broadcast(starts), "_slot")  # two numbers for each range
+        .withColumn(name, F.col("_start") + inside)
+        .drop("_slot", "_hash", "_row", "_start")
+    )
+
+
 def with_cut(
     df: DataFrame,
     key: str,
