@@ -74,7 +74,7 @@ def _typed_fields() -> str:
     )
 
 
-_GEO = (
+GEO = (
     f"SELECT f.event_id, f.srcIP, g.geoCountry, g.geoCity, g.latitude, g.longitude FROM ({FLOW}) f "
     f"LEFT JOIN ({V.duck(V.GEO, 'nation JOIN region ON n_regionkey = r_regionkey')}) g "
     f"ON {_ip_number('f.srcIP')} BETWEEN g.start_ip AND g.end_ip"
@@ -215,8 +215,8 @@ ORACLES: dict[str, str] = {
     "flow_duration": f"SELECT event_id, CAST(abs(endTime - startTime) AS INT) AS duration FROM ({FLOW})",
     "union_file_and_bus": f"SELECT event_id, {FLOW_NAMES} FROM ({FLOW}) UNION ALL "
     f"SELECT event_id, {FLOW_NAMES} FROM ({INJECTED})",
-    "geo_enrich_broadcast": _GEO,
-    "geo_enrich_bucketed": _GEO,
+    "geo_enrich_broadcast": GEO,
+    "geo_enrich_bucketed": GEO,
     "feature_vector": f"SELECT {KEYS}, "
     + ", ".join(f"CAST({c} AS DOUBLE) AS v{i}" for i, c in enumerate(VECTOR_COLUMNS))
     + f" FROM ({DAY_FEATURES})",

@@ -58,3 +58,24 @@ def subnet(ip: Column, form: str = "address", mask_bits: int = DEFAULT_MASK_BITS
     if form == "network":
         return network_cidr(ip, mask_bits)
     raise ValueError(f"unknown subnet form {form!r}")
+
+
+def ip_key(ip: Column) -> Column:
+    """An address as 16 bytes that sort like it: IPv4 below 12 zero bytes, IPv6 also with `::`.
+
+    Null for anything else, such as an IPv6 address with a dotted end.
+    """
+    halves = F.split(ip, "::", 3)
+    groups = [F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":", 9), lambda g: g != "") for i in (0, 1)]
+    gap = F.lit(8) - F.size(groups[0]) - F.size(groups[1])
+    shortened = F.contains(ip, F.lit("::"))
+    whole = F.concat(groups[0], F.array_repeat(F.lit("0"), F.when(shortened, gap).otherwise(0)), groups[1])
+    good = (
+        (F.size(halves) <= 2)
+        & (F.size(whole) == 8)
+        & F.forall(whole, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
+        & ~ip.rlike("(^:[^:])|([^:]:$)|(:::)")
+    )
+    wide = F.unhex(F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), ""))
+    narrow = F.unhex(F.lpad(F.hex(ip_to_long(ip)), 32, "0"))
+    return F.when(is_ipv4(ip), narrow).when(good, wide)

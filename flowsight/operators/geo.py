@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsight.functions.netaddr import ip_to_long
 from flowsight.schemas import GEO_COLUMNS
+from flowsight.session import written
 
 # /24 buckets: a bucket holds 256 addresses, hence at most 256 ranges.
 BUCKET_BITS = 8
@@ -84,3 +85,34 @@ def geo_enrich(
     return probe.join(side, match, "left").select(
         *flows.columns, *[F.col(c) for c in GEO_COLUMNS]
     )
+
+
+def enrich_by_key(rows: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+    """Adds the geography of the range that holds the 16-byte `key`, for addresses of any width.
+
+    Ranges (`start_key, end_key`, not overlapping) and rows are cut together into ordered partitions and
+    written; a row's range is the last that starts at or before it in its partition, or the last of an
+    earlier one. One shuffle, no expansion of long ranges; a hot address spreads over
+    partitions, as rows of one key are ordered by their hash. Rows without a key keep nulls.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.struct(*[F.col(c) for c in rows.columns])
+    starts = ranges.select(
+        F.col("start_key").alias("_key"), F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_tie"),
+        F.struct("end_key", *GEO_COLUMNS).alias("_range"),
+    )
+    tie = F.xxhash64(F.spark_partition_id(), *rows.columns)
+    asked = rows.select(F.col(key).alias("_key"), F.lit(1).alias("_kind"), tie.alias("_tie"), row.alias("_row"))
+    both = starts.unionByName(asked, allowMissingColumns=True)
+    cut = both.repartitionByRange(parts, "_key", "_kind", "_tie").withColumn("_part", F.spark_partition_id())
+    cut = written(cut, "keys")
+    lasts = cut.where("_kind = 0").groupBy("_part").agg(F.max_by("_range", "_key").alias("_last"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each partition of the cut
+    before = cut.select("_part").distinct().join(lasts, "_part", "left")
+    before = before.select("_part", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy("_key", "_kind", "_tie")
+    found = cut.withColumn("_here", F.last("_range", ignorenulls=True).over(inside)).where("_kind = 1")
+    found = found.join(F.broadcast(before), "_part").withColumn("_found", F.coalesce("_here", "_before"))
+    hit = F.when(F.col("_key") <= F.col("_found.end_key"), F.col("_found"))
+    return found.withColumn("_hit", hit).select("_row.*", *[F.col(f"_hit.{c}").alias(c) for c in GEO_COLUMNS])

@@ -24,9 +24,10 @@ class FlowOptions:
     # field of the record with the event time, epoch milliseconds; where it is null, and
     # with arrival_time for all, the time of reading counts
     event_time_field: str | None = "startTime"
-    # file with the SQL text that reads the centroids, and table of address ranges
+    # file with the SQL text that reads the centroids, and table or binary file of address ranges
     cluster_query: str | None = None
     geo_table: str | None = None
+    geo_file: str | None = None
     # "default", "file_loads" or "streaming_inserts"
     write_method: str = "default"
     batch_minutes: int = 1
@@ -42,6 +43,8 @@ class FlowOptions:
     outlier_threshold: float = 2.0
     # None: identifiers pass through unchanged
     token_key: bytes | None = None
+    # tokens that are bound to their column and refuse to be opened when changed
+    token_sealed: bool = True
     token_columns: tuple[str, ...] = ("subscriber_id",)
     token_prefix: str = "IMSI_TOKEN"
     # None: no inspection of the named columns

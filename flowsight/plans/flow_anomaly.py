@@ -95,7 +95,7 @@ def feature_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
     if options.inspect_columns:
         features = inspect_columns(features, options.inspect_columns)
     return tokenize_columns(
-        features, options.token_columns, options.token_key, options.token_prefix
+        features, options.token_columns, options.token_key, options.token_prefix, options.token_sealed
     )
 
 

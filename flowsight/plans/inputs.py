@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowsight.options import FlowOptions, FraudOptions
+from flowsight.session import written
 from flowsight.sources.files import merge, read_lines, stream_lines, with_arrival_time
+from flowsight.sources.geofile import read_geo_ranges
 from flowsight.sources.tables import read_centroids
 
 
@@ -48,6 +50,8 @@ def side_tables(
     if not options.cluster_query:
         raise ValueError("give a cluster query")
     ranges = spark.table(options.geo_table) if options.geo_table else None
+    if options.geo_file:  # decoded once, then read as a table
+        ranges = written(read_geo_ranges(spark, options.geo_file), "geo")
     return read_centroids(spark, options.cluster_query), ranges
 
 
