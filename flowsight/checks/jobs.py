@@ -17,9 +17,10 @@ from flowsight.options import FlowOptions, FraudOptions
 from flowsight.plans import flow_anomaly, fraud_detection
 from flowsight.plans.inputs import batch_lines
 from flowsight.schemas import TRANSACTION, NORMALIZED_CENTROIDS, conform
-from flowsight.session import scratch_path
+from flowsight.session import scratch_path, written
 from flowsight.sinks.tables import stream_append
 from flowsight.sources.files import merge
+from flowsight.streaming import counters
 from flowsight.streaming.batcher import stream_requests
 from flowsight.streaming.windows import (
     empty_source,
@@ -97,19 +98,7 @@ def _release(spark: SparkSession, folder: str, options: FlowOptions | FraudOptio
     return [rows[getattr(options, f"{name}_table")] for name in names]
 
 
-# written results of the flow job by application and input
-_FLOW_JOBS: dict[tuple[str, str], list[DataFrame]] = {}
-
-
 def _flow_job(spark, sf) -> list[DataFrame]:
-    """Features, outliers and raw rows: the job runs once for its three checks."""
-    key = spark.sparkContext.applicationId, sf
-    if key not in _FLOW_JOBS:
-        _FLOW_JOBS[key] = _run_flow_job(spark, sf)
-    return _FLOW_JOBS[key]
-
-
-def _run_flow_job(spark, sf) -> list[DataFrame]:
     folder, options = scratch_path(spark, "flow"), _flow_options()
     flow_anomaly.create_tables(spark, options, folder)
     flow_anomaly.run_batch(
@@ -309,6 +298,53 @@ def stream_alerts(spark, sf):
     return _alert_rows(spark, folder, options)
 
 
+VERSION_FROM, VERSION_FACTOR = "2024-01-16", 0.5
+
+
+def centroid_versions(spark, sf) -> DataFrame:
+    """The side table in two versions, the later one with other spreads."""
+    first = V.normalized_centroids(spark, sf).withColumn("valid_from", F.lit("1970-01-01").cast("timestamp"))
+    later = first.withColumns(
+        {
+            "valid_from": F.lit(VERSION_FROM).cast("timestamp"),
+            "normalized_dest": F.col("normalized_dest") * VERSION_FACTOR,
+        }
+    )
+    return first.unionByName(later)
+
+
+def _run_flow_stream(spark, sf, folder: str, options: FlowOptions, **kwargs) -> None:
+    flow_anomaly.create_tables(spark, options, folder)
+    centroids = _written_centroids(spark, sf, folder)
+
+    def start(ends: DataFrame) -> list:
+        lines = merge(_flow_text(_stream(spark, sf, "events")), ends)
+        return flow_anomaly.start_stream(
+            lines, centroids, options, f"{folder}/checkpoint", available_now=True, **kwargs
+        )
+
+    _drained(spark, folder, _FLOW_SENTINEL, start)
+
+
+def stream_versioned_outliers(spark, sf):
+    """Windows are scored by the version of the centroids that is valid at their end."""
+    folder, options = scratch_path(spark, "stream"), replace(_flow_options(), raw_table=None)
+    versions = written(centroid_versions(spark, sf), "versions")
+    _run_flow_stream(spark, sf, folder, options, centroid_versions=lambda: versions)
+    return _release(spark, folder, options, "outliers")[0].drop("dt", "load_id")
+
+
+def stream_counters(spark, sf):
+    """Totals of the counters that a stream commits with its loads, over its restarts."""
+    folder, tag = scratch_path(spark, "stream"), uuid.uuid4().hex
+    options = replace(_flow_options(), raw_table=None, counters_table=f"counters_{tag}")
+    _run_flow_stream(spark, sf, folder, options)
+    found = written(counters.totals(spark, options.counters_table), "totals")
+    spark.sql(f"DROP TABLE {options.counters_table}")
+    _release(spark, folder, options)
+    return found
+
+
 JOB_QUERIES = {
     f.__name__: f
     for f in (
@@ -325,5 +361,7 @@ JOB_QUERIES = {
         stream_outliers,
         stream_request_instances,
         stream_alerts,
+        stream_versioned_outliers,
+        stream_counters,
     )
 }

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from flowsight.checks import views as V
 from flowsight.checks.oracles import DAY_FEATURES
 from flowsight.checks.queries import Query, new_table
-from flowsight.schemas import FEATURES
+from flowsight.operators import sketches
+from flowsight.schemas import FEATURES, SKETCHES
 from flowsight.session import written
 from flowsight.sinks import compaction
 from flowsight.sinks import tables as sinks
@@ -55,10 +56,23 @@ def compacted_partitions(spark, sf):
     return found
 
 
-LOAD_QUERIES: dict[str, Query] = {f.__name__: f for f in (compacted_loads, compacted_partitions)}
+def features_from_sketches(spark, sf):
+    """Day features merged from the minute sketches that two loads have stored."""
+    table, _ = new_table(spark, SKETCHES, [sinks.LOAD_COLUMN, sinks.DATE_COLUMN])
+    flows, half = V.flow_logs(spark, sf), F.col("event_id") % 2
+    for i in range(2):
+        rows = sketches.sketch_rows(flows.where(half == i))
+        sinks.load(sinks.with_date(rows, "window_start"), table, f"run-{i}")
+    found = written(sketches.merged_features(compaction.current(spark, table), V.DAY), "merged")
+    spark.sql(f"DROP TABLE {table}")
+    return found
+
+
+LOAD_QUERIES: dict[str, Query] = {f.__name__: f for f in (compacted_loads, compacted_partitions, features_from_sketches)}
 
 LOAD_ORACLES: dict[str, str] = {
     "compacted_loads": DAY_FEATURES,
+    "features_from_sketches": DAY_FEATURES,
     "compacted_partitions": "SELECT substr(transaction_time, 1, 10) AS dt, count(*) AS n, CAST(1 AS BIGINT) AS partitions "
     f"FROM ({DAY_FEATURES}) GROUP BY 1",
 }

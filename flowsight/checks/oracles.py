@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from flowsight.checks import views as V
+from flowsight.checks.jobs import VERSION_FACTOR, VERSION_FROM
 from flowsight.checks.queries import (
     FEATURE_BYTES,
     FEATURE_SHARDS,
@@ -339,6 +340,12 @@ ORACLES: dict[str, str] = {
         f"WHERE {V.window_end_sql(V.DAY)} > (SELECT max(ts) FROM events)"
     ),
     "stream_outliers": _JOB_OUTLIERS,
+    "stream_versioned_outliers": _JOB_OUTLIERS.replace(
+        "> 2.0 * normalized_dest",
+        f"> 2.0 * normalized_dest * CASE WHEN transaction_time >= '{VERSION_FROM}' THEN {VERSION_FACTOR}::DOUBLE ELSE 1 END",
+    ),
+    "stream_counters": f"WITH f AS ({_JOB_FEATURES}), o AS ({_JOB_OUTLIERS}) SELECT 'features' AS name, count(*) AS total FROM f "
+    "UNION ALL SELECT 'records', CAST(sum(number_of_records) AS BIGINT) FROM f UNION ALL SELECT 'outliers', count(*) FROM o",
     "stream_request_instances": f"SELECT transactionId, type, amount FROM ({TRANSACTIONS})",
     "stream_alerts": _ALERTS,
     "csv_labelled_scan": f"SELECT step, isFraud, type, amount, oldbalanceOrg, newbalanceOrig, oldbalanceDest, newbalanceDest, transactionId FROM ({TRANSACTIONS}) WHERE isFraud = 1",

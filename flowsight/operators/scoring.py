@@ -52,6 +52,10 @@ class Centroids:
     norms: np.ndarray
     vectors: np.ndarray
 
+    @staticmethod
+    def none() -> Centroids:
+        return Centroids(np.zeros(0, np.int32), np.zeros(0), np.zeros((0, _N)))
+
     def __len__(self) -> int:
         return len(self.ids)
 

@@ -17,6 +17,11 @@ class FlowOptions:
     outliers_table: str = "outlier_data"
     # None: no raw sink
     raw_table: str | None = None
+    # sums and sketches of windows of `sketch_seconds` (batch); the features are merged from them
+    sketches_table: str | None = None
+    sketch_seconds: int = 60
+    # what each load has counted
+    counters_table: str | None = None
     # lines that are no valid record; None: not kept
     rejects_table: str | None = None
     # features with a null in a required column; None: they fail the load

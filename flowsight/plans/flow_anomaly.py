@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType, TimestampType
@@ -27,6 +27,8 @@ from flowsight.operators.parse import (
     valid_rows,
 )
 from flowsight.operators.scoring import Centroids, find_outliers, read_centroids
+from flowsight.operators.sketches import merged_features, sketch_rows
+from flowsight.operators.versions import find_outliers_by_version
 from flowsight.options import FlowOptions
 from flowsight.plans.inputs import load_interval
 from flowsight.schemas import (
@@ -37,6 +39,7 @@ from flowsight.schemas import (
     RAW_CLUSTER_COLUMNS,
     REJECTS,
     REQUIRED_COLUMNS,
+    SKETCHES,
 )
 from flowsight.sinks.tables import (
     DATE_COLUMN,
@@ -49,7 +52,9 @@ from flowsight.sinks.tables import (
     with_date,
 )
 from flowsight.sources.files import with_arrival_time
+from flowsight.streaming.counters import commit_counters, create_counters, observed
 from flowsight.streaming.metrics import counted
+from flowsight.streaming.pins import pinned
 from flowsight.streaming.windows import with_watermark
 
 
@@ -84,7 +89,11 @@ def flow_frames(lines: DataFrame, options: FlowOptions = FlowOptions()) -> FlowF
 
 def feature_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
     """Features of typed flows, inspected and tokenised as the options say."""
-    features = window_features(
+    return protected(_features(flows, options), options)
+
+
+def _features(flows: DataFrame, options: FlowOptions) -> DataFrame:
+    return window_features(
         flows,
         window_seconds=options.window_seconds,
         subnet_form=options.subnet_form,
@@ -92,6 +101,10 @@ def feature_rows(flows: DataFrame, options: FlowOptions) -> DataFrame:
         distinct="sketch" if flows.isStreaming else options.distinct,
         lg_k=options.sketch_lg_k,
     )
+
+
+def protected(features: DataFrame, options: FlowOptions) -> DataFrame:
+    """Features inspected and tokenised as the options say."""
     if options.inspect_columns:
         features = inspect_columns(features, options.inspect_columns)
     return tokenize_columns(
@@ -118,9 +131,14 @@ def create_tables(
         specs.append((options.rejects_table, REJECTS))
     if options.feature_rejects_table:
         specs.append((options.feature_rejects_table, features))
+    if options.sketches_table:
+        specs.append((options.sketches_table, SKETCHES))
     for table, schema in specs:
         path = f"{location}/{table.split('.')[-1]}" if location else None
         create_table(spark, table, schema, [LOAD_COLUMN, DATE_COLUMN], path)
+    if options.counters_table:
+        path = f"{location}/{options.counters_table.split('.')[-1]}" if location else None
+        create_counters(spark, options.counters_table, path)
 
 
 def _layout(options: FlowOptions, cluster_by: list[str]) -> dict:
@@ -151,10 +169,17 @@ def load_results(
     centroids: DataFrame | Centroids,
     options: FlowOptions,
     load_id: str,
+    versions: DataFrame | None = None,
 ) -> None:
     """Write one batch of features, then its outliers, scored from the rows written:
-    the aggregation runs once and nothing has to be cached."""
+    the aggregation runs once and nothing has to be cached.
+
+    With `versions` (of centroids, see `operators.versions`) a window is scored by the one valid at its end.
+    """
     spark = features.sparkSession
+    seen, flagged = Observation(f"features {load_id}"), Observation(f"outliers {load_id}")
+    if options.counters_table:
+        features = observed(features, seen, {"features": "1", "records": "number_of_records"})
     if options.open_tokenizer:
         features = tokenized_by_service(features, options)
     load_checked(
@@ -165,14 +190,14 @@ def load_results(
         options.feature_rejects_table,
         **_layout(options, FEATURE_CLUSTER_COLUMNS),
     )
-    written = loaded(spark, options.features_table, load_id)
-    outliers = find_outliers(
-        written.select(*FEATURES.names),
-        centroids,
-        options.outlier_threshold,
-        rotate_counts=options.rotate_counts,
-    )
+    written = loaded(spark, options.features_table, load_id).select(*FEATURES.names)
+    score, side = (find_outliers, centroids) if versions is None else (find_outliers_by_version, versions)
+    outliers = score(written, side, options.outlier_threshold, rotate_counts=options.rotate_counts)
+    if options.counters_table:
+        outliers = observed(outliers, flagged, {"outliers": "1"})
     load(with_date(outliers), options.outliers_table, load_id)
+    if options.counters_table:
+        commit_counters(spark, options.counters_table, load_id, {**seen.get, **flagged.get})
 
 
 def _raw_rows(
@@ -187,12 +212,22 @@ def _raw_rows(
     return with_date(rows, "event_ts")
 
 
+def _through_sketches(flows: DataFrame, options: FlowOptions, load_id: str) -> DataFrame:
+    """Stores the sketches of the flows, and merges the features from what is stored."""
+    lg_k, fine = options.sketch_lg_k, options.sketch_seconds
+    rows = sketch_rows(flows, fine, "event_ts", options.subnet_form, options.mask_bits, lg_k)
+    load(with_date(rows, "window_start"), options.sketches_table, load_id)
+    stored = loaded(flows.sparkSession, options.sketches_table, load_id)
+    return merged_features(stored, options.window_seconds, fine, lg_k)
+
+
 def run_batch(
     lines: DataFrame,
     centroids: DataFrame,
     options: FlowOptions = FlowOptions(),
     ranges: DataFrame | None = None,
     load_id: str | None = None,
+    versions: DataFrame | None = None,
 ) -> None:
     """The job over a bounded input. Runs the queries and writes the tables.
 
@@ -213,9 +248,12 @@ def run_batch(
         )
         written = loaded(lines.sparkSession, options.raw_table, load_id)
         features = feature_rows(written, options)
+    if options.sketches_table:
+        flows = written if options.raw_table else frames.flows
+        features = protected(_through_sketches(flows, options, load_id), options)
     if options.rejects_table:
         load(with_date(frames.rejects, "event_ts"), options.rejects_table, load_id)
-    load_results(features, centroids, options, load_id)
+    load_results(features, centroids, options, load_id, versions)
 
 
 def start_stream(
@@ -227,12 +265,15 @@ def start_stream(
     available_now: bool = False,
     refresh_centroids: Callable[[], DataFrame] | None = None,
     on_load: Callable[[str, dict[str, int]], None] | None = None,
+    centroid_versions: Callable[[], DataFrame] | None = None,
 ) -> list[StreamingQuery]:
     """Start the job: one query for features and outliers, one for the raw table and
     one for the rejects where the options name these.
 
     The centroids are read as they are at the start; `refresh_centroids`, a function
-    without arguments, reads them anew for each micro-batch. `on_load` is told the
+    without arguments, reads them anew for each micro-batch. `centroid_versions` gives a table of
+    versions instead: each window is scored by the version valid at its end, and the table as the batch saw it is kept
+    with the checkpoint, so that a batch that is run again gives equal rows. `on_load` is told the
     name of every load and its number of features and outliers.
     """
     frames = flow_frames(lines, options)
@@ -240,7 +281,10 @@ def start_stream(
 
     def write_features(batch: DataFrame, load_id: str) -> None:
         side = refresh_centroids() if refresh_centroids else at_start
-        load_results(batch, side, options, load_id)
+        versions = None
+        if centroid_versions:
+            versions = pinned(batch.sparkSession, f"{checkpoint}/versions", load_id, centroid_versions)
+        load_results(batch, side, options, load_id, versions)
         if on_load:
             names = {"features": options.features_table, "outliers": options.outliers_table}
             spark = batch.sparkSession

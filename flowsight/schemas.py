@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     DoubleType,
     IntegerType,
     LongType,
@@ -53,6 +54,23 @@ GEO_RANGES = StructType(
     _struct([("start_ip", _L), ("end_ip", _L)]).fields + FLOW_LOG_GEO.fields[-4:]
 )
 
+# stored window sums: a row for each fine window, subscriber and subnet
+SKETCHES = _struct(
+    [
+        ("window_start", TimestampType()),
+        ("subscriber_id", _S),
+        ("dst_subnet", _S),
+        ("n", _L),
+        ("ips", BinaryType()),
+        ("ports", BinaryType()),
+    ]
+    + [
+        (f"{prefix}_{name}", _I if prefix in ("max", "min") else _L)
+        for name in ("tx_bytes", "rx_bytes", "duration")
+        for prefix in ("max", "min", "sum", "n")
+    ]
+)
+
 FEATURES = _struct(
     [
         ("subscriber_id", _S),
