@@ -10,8 +10,8 @@ turns margins into scores.
 Defined results: null text counts as empty, which has no indicators and gets the score of the bias;
 a null doc_id is never learned from (it counts as held out) but scored; labels other than 0 and 1 are
 ignored, of several labels for a document the lowest counts; with one class or none to learn from
-every score is the share of label 1, smoothed; repeated rows get equal scores; other
-columns play no part.
+every score is the share of label 1, smoothed; repeated rows get equal scores; a text of any length is
+read in blocks, and its indicators do not depend on where these end; other columns play no part.
 """
 
 from __future__ import annotations
@@ -31,28 +31,42 @@ TRAIN_ROWS = 10_000
 THRESHOLD = 0.3
 EPOCHS = 12
 COST = 1.0
-REPEAT_LEVELS = (0.0, 0.02, 0.1, 0.3, 0.6)
+REPEAT_SIZES = (1, 5)
+HALVINGS = 7
 
 
 def _repeats(words: np.ndarray) -> np.ndarray:
-    """Indicators of n-gram patterns: how much of the text is a word or five words said again."""
-    if len(words) < 2:
-        return np.zeros(0, np.uint64)
-    twice = np.count_nonzero(words[1:] == words[:-1]) / (len(words) - 1)
-    again = 0.0
-    if len(words) > 5:
-        five = words[:-4].copy()
-        for k in range(1, 5):
-            five = five * np.uint64(0x9E3779B97F4A7C15) + words[k : len(words) - 4 + k]
-        again = 1 - len(np.unique(five)) / len(five)
-    levels = [k for k, least in enumerate(REPEAT_LEVELS) if twice > least]
-    levels += [len(REPEAT_LEVELS) + k for k, least in enumerate(REPEAT_LEVELS) if again > least]
+    """Indicators of repeated n-grams over the whole text, for each size of `REPEAT_SIZES`.
+
+    One for each k for which the share of n-grams that were there before (of single words: directly before) is above 2^-k.
+    """
+    levels = []
+    for row, size in enumerate(REPEAT_SIZES):
+        total = len(words) - size + 1 if size > 1 else len(words) - 1
+        if total < 1:
+            continue
+        if size == 1:
+            again = np.count_nonzero(words[1:] == words[:-1])
+        else:
+            grams = words[:total].copy()
+            for k in range(1, size):
+                grams = grams * np.uint64(0x9E3779B97F4A7C15) + words[k : total + k]
+            again = total - len(np.unique(grams))
+        levels += [row * HALVINGS + k for k in range(HALVINGS) if again << k > total]
     return np.array(levels, np.uint64) + np.uint64(1 << 41)
 
 
+def _buckets(keys: np.ndarray) -> np.ndarray:
+    keys = keys * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique(((keys ^ keys >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(46))
+
+
 def indicators(text: str) -> np.ndarray:
-    """The sorted buckets of the text's words, word pairs, byte triples and repeat patterns."""
-    found, last = [], np.zeros(0, np.uint64)
+    """The sorted buckets of the text's words, word pairs, byte triples and repeats.
+
+    A long text is read in blocks; the numbers of its words are all that is kept of them.
+    """
+    found, all_words, last = [], [], np.zeros(0, np.uint64)
     for block in text_blocks(text):
         raw = block.encode("utf-8")
         b = np.frombuffer(raw, np.uint8).astype(np.uint64)
@@ -62,9 +76,10 @@ def indicators(text: str) -> np.ndarray:
         run = np.concatenate([last, words])
         pairs = run[:-1] * np.uint64(0x9E3779B97F4A7C15) + run[1:]
         last = run[-1:]
-        keys = np.concatenate([triples, words, pairs, _repeats(words)]) * np.uint64(0xD6E8FEB86659FD93)
-        found.append(np.unique(((keys ^ keys >> np.uint64(32)) * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(46)))
-    return (found[0] if len(found) == 1 else np.unique(np.concatenate(found))).astype(np.int64)
+        all_words.append(words)
+        found.append(_buckets(np.concatenate([triples, words, pairs])))
+    found.append(_buckets(_repeats(np.concatenate(all_words))))
+    return np.unique(np.concatenate(found)).astype(np.int64)
 
 
 @dataclass
@@ -85,10 +100,13 @@ class Model:
 def descend(
     rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, cost: float = COST, epochs: int = EPOCHS
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias of the squared hinge loss, by dual coordinate descent; classes weigh alike."""
+    """Weights and bias of the hinge loss, by dual coordinate descent; classes weigh alike.
+
+    Minimises |w, bias|^2 / 2 + sum of C_i * max(0, 1 - y_i * margin_i); every dual variable stays in [0, C_i].
+    """
     sign = np.where(labels > 0, 1.0, -1.0)
     share = np.where(labels > 0, max((labels > 0).mean(), 1e-9), max((labels <= 0).mean(), 1e-9))
-    diagonal = share / cost  # 1 / (2 C_i) with C_i = cost / (2 share)
+    most = cost / (2 * share)
     w, bias = np.zeros(len(scale)), 0.0
     alpha = np.zeros(len(rows))
     values = []
@@ -99,8 +117,8 @@ def descend(
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
             at, x, y = rows[i], values[i], sign[i]
-            gradient = y * (float(w[at] @ x) + bias) - 1 + diagonal[i] * alpha[i]
-            new = max(alpha[i] - gradient / (float(x @ x) + 1 + diagonal[i]), 0.0)
+            gradient = y * (float(w[at] @ x) + bias) - 1
+            new = min(max(alpha[i] - gradient / (float(x @ x) + 1), 0.0), most[i])
             if new != alpha[i]:
                 step = (new - alpha[i]) * y
                 w[at] += step * x

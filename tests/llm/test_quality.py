@@ -1,9 +1,22 @@
 """Quality classifier: held-out accuracy, the descent's optimality, awkward rows."""
 
+import zlib
+
 import numpy as np
 import pytest
 from fixtures import DOCS_SCHEMA, EDGES, documents
-from flowsight.llm.quality import BUCKETS, descend, indicators, learn, logistic, quality_report, score
+from flowsight.llm.quality import (
+    BUCKETS,
+    HALVINGS,
+    _buckets,
+    _repeats,
+    descend,
+    indicators,
+    learn,
+    logistic,
+    quality_report,
+    score,
+)
 
 
 @pytest.fixture(scope="module")
@@ -24,8 +37,6 @@ def test_held_out_accuracy(tables):
 
 
 def test_labels_of_the_held_out_fold_do_not_matter(tables):
-    import zlib
-
     docs, labels = tables
     flipped = labels.selectExpr(
         "doc_id",
@@ -37,12 +48,12 @@ def test_labels_of_the_held_out_fold_do_not_matter(tables):
     assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in held.items())
 
 
-def test_descent_minimises_the_squared_hinge_loss():
+def test_descent_minimises_the_hinge_loss():
     rng = np.random.default_rng(4)
     rows = [np.unique(rng.integers(0, 12, 5)) for _ in range(80)]
     labels = np.array([float(3 in r or 5 in r) for r in rows])
     scale = rng.normal(size=12)
-    w, bias = descend(rows, labels, scale, cost=0.7, epochs=400)
+    w, bias = descend(rows, labels, scale, cost=0.7, epochs=2000)
     x = np.zeros((80, 12))
     for i, at in enumerate(rows):
         x[i, at] = scale[at] / np.sqrt(scale[at] @ scale[at])
@@ -50,10 +61,11 @@ def test_descent_minimises_the_squared_hinge_loss():
     weight = 0.7 / (2 * np.where(labels > 0, labels.mean(), 1 - labels.mean()))
 
     def loss(w, b):
-        return (w @ w + b * b) / 2 + (weight * np.maximum(0, 1 - sign * (x @ w + b)) ** 2).sum()
+        return (w @ w + b * b) / 2 + (weight * np.maximum(0, 1 - sign * (x @ w + b))).sum()
 
     best = loss(w, bias)
-    assert all(loss(w + d * 1e-2, bias) > best for d in rng.normal(size=(50, 12)))
+    for size in (1e-2, 1e-1, 1):
+        assert all(loss(w + d[1:] * size, bias + d[0] * size) > best for d in rng.normal(size=(50, 13)))
     slope, shift = logistic(x @ w + bias, labels)
     assert slope > 0 and np.isfinite(shift)
 
@@ -64,6 +76,41 @@ def test_indicators():
     assert len(np.setdiff1d(indicators("w w w w w w w"), indicators("w"))) >= 5
 
 
+def test_repeats_do_not_depend_on_blocks():
+    rng = np.random.default_rng(1)
+    half = " ".join(f"w{i}" for i in rng.integers(0, 1 << 30, 120_000))
+    text = f"{half} {half}"  # longer than a block
+    assert len(text) > 2_000_000
+    whole = np.fromiter((zlib.crc32(w.encode()) for w in text.split()), np.uint64)
+    assert _repeats(whole).tolist() == [(1 << 41) + HALVINGS + k for k in range(2, HALVINGS)]
+    assert np.isin(_buckets(_repeats(whole)), indicators(text)).all()
+    assert len(_repeats(whole[: len(whole) // 2])) == 0
+
+
+def test_scores_equal_a_plain_version(tables):
+    """The whole model from its parts, in Python over all labelled rows."""
+    docs, labels = tables
+    model = learn(docs, labels)
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = sorted(i for i in known if i in texts and zlib.crc32(str(i).encode()) % 5)
+    counts = np.ones((2, BUCKETS))
+    for i in rows:
+        counts[known[i], indicators(texts[i])] += 1
+    scale = np.log((counts[1] / counts[1].sum()) / (counts[0] / counts[0].sum()))
+    assert np.allclose(model.scale, scale)
+    y = np.array([known[i] for i in rows], float)
+    found = [indicators(texts[i]) for i in rows]
+    train = [k for k in range(len(rows)) if k % 5]
+    w, bias = descend([found[k] for k in train], y[train], scale)
+    assert np.allclose(model.weights, w * scale) and abs(model.bias - bias) < 1e-9
+    got = {r.doc_id: r.score for r in score(docs, model).collect()}
+    for i in list(texts)[:50]:
+        at = indicators(texts[i])
+        margin = (w[at] @ scale[at]) / (np.sqrt(scale[at] @ scale[at]) or 1.0) + bias
+        assert abs(got[i] - 1 / (1 + np.exp(-(model.slope * margin + model.shift)))) < 1e-9
+
+
 def test_awkward_rows(spark, tables):
     docs, labels = tables
     model = learn(docs, labels, 200)
