@@ -36,7 +36,7 @@ _FLOW_SENTINEL = '{"srcIP":"0.0.0.0","dstIP":"0.0.0.0"}'
 _PAYMENT_SENTINEL = '{"transactionId":"end"}'
 
 
-def _flow_options() -> FlowOptions:
+def flow_options() -> FlowOptions:
     tag = uuid.uuid4().hex
     return FlowOptions(
         window_seconds=V.DAY,
@@ -49,7 +49,7 @@ def _flow_options() -> FlowOptions:
     )
 
 
-def _fraud_options() -> FraudOptions:
+def payment_options() -> FraudOptions:
     tag = uuid.uuid4().hex
     return FraudOptions(
         transactions_table=f"transactions_{tag}",
@@ -61,12 +61,12 @@ def _fraud_options() -> FraudOptions:
     )
 
 
-def _flow_text(events: DataFrame, injected: bool = True) -> DataFrame:
+def flow_text(events: DataFrame, injected: bool = True) -> DataFrame:
     flows = V.project(events, V.FLOW_INJECTED if injected else V.FLOW)
     return V.project(flows, V.LINES).select("line", "event_ts")
 
 
-def _payment_text(orders: DataFrame) -> DataFrame:
+def payment_text(orders: DataFrame) -> DataFrame:
     rows = V.project(orders, V.TRANSACTIONS)
     return rows.select(F.to_json(F.struct(*TRANSACTION.fieldNames())).alias("line"), "event_ts")
 
@@ -77,7 +77,7 @@ def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return reader.parquet(sf)
 
 
-def _written_centroids(spark: SparkSession, sf: str, folder: str) -> DataFrame:
+def written_centroids(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     """The side table as the offline job leaves it: computed once and stored."""
     path = f"{folder}/centroids"
     conform(V.normalized_centroids(spark, sf), NORMALIZED_CENTROIDS).write.parquet(path)
@@ -91,7 +91,7 @@ def _released(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return rows
 
 
-def _release(spark: SparkSession, folder: str, options: FlowOptions | FraudOptions, *names: str):
+def release(spark: SparkSession, folder: str, options: FlowOptions | FraudOptions, *names: str):
     """The rows of the named tables; all tables of the job leave the catalog."""
     tables = [v for k, v in vars(options).items() if k.endswith("_table") and v]
     rows = {t: _released(spark, folder, t) for t in tables if spark.catalog.tableExists(t)}
@@ -99,15 +99,15 @@ def _release(spark: SparkSession, folder: str, options: FlowOptions | FraudOptio
 
 
 def _flow_job(spark, sf) -> list[DataFrame]:
-    folder, options = scratch_path(spark, "flow"), _flow_options()
+    folder, options = scratch_path(spark, "flow"), flow_options()
     flow_anomaly.create_tables(spark, options, folder)
     flow_anomaly.run_batch(
-        _flow_text(V.table(spark, sf, "events")),
-        _written_centroids(spark, sf, folder),
+        flow_text(V.table(spark, sf, "events")),
+        written_centroids(spark, sf, folder),
         options,
         V.geo_ranges(spark, sf),
     )
-    return _release(spark, folder, options, "features", "outliers", "raw")
+    return release(spark, folder, options, "features", "outliers", "raw")
 
 
 def flow_job_features(spark, sf):
@@ -125,12 +125,12 @@ def flow_job_raw(spark, sf):
 def flow_job_inspected(spark, sf):
     """The counts of sensitive values that the job stores beside its features."""
     folder = scratch_path(spark, "flow")
-    options = replace(_flow_options(), inspect_columns=("dst_subnet",))
+    options = replace(flow_options(), inspect_columns=("dst_subnet",))
     flow_anomaly.create_tables(spark, options, folder)
     flow_anomaly.run_batch(
-        _flow_text(V.table(spark, sf, "events")), _written_centroids(spark, sf, folder), options
+        flow_text(V.table(spark, sf, "events")), written_centroids(spark, sf, folder), options
     )
-    (features,) = _release(spark, folder, options, "features")
+    (features,) = release(spark, folder, options, "features")
     return features.select(
         "subscriber_id", "dst_subnet", "transaction_time",
         "dst_subnet_imsi_count", "dst_subnet_email_count", "dst_subnet_ipv4_count",
@@ -140,19 +140,19 @@ def flow_job_inspected(spark, sf):
 def flow_job_text_files(spark, sf):
     """Text files in, event time out of the records: the features of the job."""
     folder = scratch_path(spark, "flow")
-    options = replace(_flow_options(), input_path=f"{folder}/in", input_glob="*.txt")
+    options = replace(flow_options(), input_path=f"{folder}/in", input_glob="*.txt")
     flow_anomaly.create_tables(spark, options, folder)
-    _flow_text(V.table(spark, sf, "events")).select("line").write.text(f"{folder}/in")
+    flow_text(V.table(spark, sf, "events")).select("line").write.text(f"{folder}/in")
     flow_anomaly.run_batch(
-        batch_lines(spark, options), _written_centroids(spark, sf, folder), options
+        batch_lines(spark, options), written_centroids(spark, sf, folder), options
     )
-    (features,) = _release(spark, folder, options, "features")
+    (features,) = release(spark, folder, options, "features")
     return features.drop("dt", "load_id")
 
 
 def fraud_job_rejects(spark, sf):
     """Payments without an id are kept apart, those with one are loaded."""
-    folder, options = scratch_path(spark, "fraud"), _fraud_options()
+    folder, options = scratch_path(spark, "fraud"), payment_options()
     fraud_detection.create_tables(spark, options, folder)
     rows = V.transactions(spark, sf)
     named = F.when(F.col("o_orderkey") % 10 != 3, F.col("transactionId"))
@@ -161,34 +161,34 @@ def fraud_job_rejects(spark, sf):
     fraud_detection.run_batch(
         rows.select(text.alias("line"), "event_ts"), options, open_scorer=open_rule_scorer
     )
-    kept, rejected = _release(spark, folder, options, "transactions", "transaction_rejects")
+    kept, rejected = release(spark, folder, options, "transactions", "transaction_rejects")
     kept = kept.select("transactionId", "amount", F.lit(False).alias("rejected"))
     return kept.union(rejected.select("transactionId", "amount", F.lit(True)))
 
 
 def two_loads_append(spark, sf):
     """Two runs over the halves of the events: the second leaves the first as it is."""
-    folder, options = scratch_path(spark, "flow"), _flow_options()
+    folder, options = scratch_path(spark, "flow"), flow_options()
     flow_anomaly.create_tables(spark, options, folder)
-    centroids = _written_centroids(spark, sf, folder)
+    centroids = written_centroids(spark, sf, folder)
     events, half = V.table(spark, sf, "events"), F.col("event_id") % 2
     for part in (0, 1):
-        lines = _flow_text(events.where(half == part))
+        lines = flow_text(events.where(half == part))
         flow_anomaly.run_batch(lines, centroids, options, V.geo_ranges(spark, sf))
-    return _release(spark, folder, options, "raw")[0].drop("dt", "load_id", "event_ts")
+    return release(spark, folder, options, "raw")[0].drop("dt", "load_id", "event_ts")
 
 
 def fraud_job_alerts(spark, sf):
-    folder, options = scratch_path(spark, "fraud"), _fraud_options()
+    folder, options = scratch_path(spark, "fraud"), payment_options()
     fraud_detection.create_tables(spark, options, folder)
     fraud_detection.run_batch(
-        _payment_text(V.table(spark, sf, "orders")), options, open_scorer=open_rule_scorer
+        payment_text(V.table(spark, sf, "orders")), options, open_scorer=open_rule_scorer
     )
     return _alert_rows(spark, folder, options)
 
 
 def _alert_rows(spark, folder, options):
-    return _release(spark, folder, options, "predictions")[0].select(
+    return release(spark, folder, options, "predictions")[0].select(
         "transactionId", F.round("logistic", 9).alias("logistic")
     )
 
@@ -213,10 +213,10 @@ def _drained(spark, folder: str, sentinel_line: str, start, more_input=None) ->
 
 def stream_features(spark, sf):
     folder = scratch_path(spark, "stream")
-    options = _flow_options()
+    options = flow_options()
 
     def start(ends: DataFrame) -> list:
-        lines = merge(_flow_text(_stream(spark, sf, "events"), injected=False), ends)
+        lines = merge(flow_text(_stream(spark, sf, "events"), injected=False), ends)
         features = flow_anomaly.flow_frames(lines, options).features
         return [
             stream_append(features, f"{folder}/out", f"{folder}/checkpoint", True).start()
@@ -229,12 +229,12 @@ def stream_features(spark, sf):
 def stream_late_rows(spark, sf):
     """The whole feed arrives twice. The second time its windows are closed, all but
     the last: those rows are late and dropped."""
-    folder, options = scratch_path(spark, "stream"), _flow_options()
+    folder, options = scratch_path(spark, "stream"), flow_options()
     replay = f"{folder}/replay"
     empty_source(spark, _LINE, replay)
 
     def start(ends: DataFrame) -> list:
-        first = _flow_text(_stream(spark, sf, "events"), injected=False)
+        first = flow_text(_stream(spark, sf, "events"), injected=False)
         again = spark.readStream.schema(_LINE).parquet(replay)
         features = flow_anomaly.flow_frames(merge(first, again, ends), options).features
         return [
@@ -242,7 +242,7 @@ def stream_late_rows(spark, sf):
         ]
 
     def play_again() -> None:
-        lines = _flow_text(V.table(spark, sf, "events"), injected=False)
+        lines = flow_text(V.table(spark, sf, "events"), injected=False)
         lines.write.mode("append").parquet(replay)
 
     _drained(spark, folder, _FLOW_SENTINEL, start, play_again)
@@ -250,25 +250,25 @@ def stream_late_rows(spark, sf):
 
 
 def stream_outliers(spark, sf):
-    folder, options = scratch_path(spark, "stream"), _flow_options()
+    folder, options = scratch_path(spark, "stream"), flow_options()
     flow_anomaly.create_tables(spark, options, folder)
-    centroids, ranges = _written_centroids(spark, sf, folder), V.geo_ranges(spark, sf)
+    centroids, ranges = written_centroids(spark, sf, folder), V.geo_ranges(spark, sf)
 
     def start(ends: DataFrame) -> list:
-        lines = merge(_flow_text(_stream(spark, sf, "events")), ends)
+        lines = merge(flow_text(_stream(spark, sf, "events")), ends)
         return flow_anomaly.start_stream(
             lines, centroids, options, f"{folder}/checkpoint", ranges, available_now=True
         )
 
     _drained(spark, folder, _FLOW_SENTINEL, start)
-    return _release(spark, folder, options, "outliers")[0].drop("dt", "load_id")
+    return release(spark, folder, options, "outliers")[0].drop("dt", "load_id")
 
 
 def stream_request_instances(spark, sf):
     folder = scratch_path(spark, "stream")
 
     def start(ends: DataFrame) -> list:
-        lines = merge(_payment_text(_stream(spark, sf, "orders")), ends)
+        lines = merge(payment_text(_stream(spark, sf, "orders")), ends)
         rows = with_watermark(fraud_detection.transactions_of(lines))
         documents = stream_requests(
             rows, instance_json(), shard_of(F.col("transactionId"), SHARDS), REQUEST_BYTES, REQUEST_WINDOW
@@ -285,11 +285,11 @@ def stream_request_instances(spark, sf):
 
 
 def stream_alerts(spark, sf):
-    folder, options = scratch_path(spark, "stream"), _fraud_options()
+    folder, options = scratch_path(spark, "stream"), payment_options()
     fraud_detection.create_tables(spark, options, folder)
 
     def start(ends: DataFrame) -> list:
-        lines = merge(_payment_text(_stream(spark, sf, "orders")), ends)
+        lines = merge(payment_text(_stream(spark, sf, "orders")), ends)
         return fraud_detection.start_stream(
             lines, options, f"{folder}/checkpoint", open_scorer=open_rule_scorer, available_now=True
         )
@@ -315,10 +315,10 @@ def centroid_versions(spark, sf) -> DataFrame:
 
 def _run_flow_stream(spark, sf, folder: str, options: FlowOptions, **kwargs) -> None:
     flow_anomaly.create_tables(spark, options, folder)
-    centroids = _written_centroids(spark, sf, folder)
+    centroids = written_centroids(spark, sf, folder)
 
     def start(ends: DataFrame) -> list:
-        lines = merge(_flow_text(_stream(spark, sf, "events")), ends)
+        lines = merge(flow_text(_stream(spark, sf, "events")), ends)
         return flow_anomaly.start_stream(
             lines, centroids, options, f"{folder}/checkpoint", available_now=True, **kwargs
         )
@@ -328,20 +328,20 @@ def _run_flow_stream(spark, sf, folder: str, options: FlowOptions, **kwargs) ->
 
 def stream_versioned_outliers(spark, sf):
     """Windows are scored by the version of the centroids that is valid at their end."""
-    folder, options = scratch_path(spark, "stream"), replace(_flow_options(), raw_table=None)
+    folder, options = scratch_path(spark, "stream"), replace(flow_options(), raw_table=None)
     versions = written(centroid_versions(spark, sf), "versions")
     _run_flow_stream(spark, sf, folder, options, centroid_versions=lambda: versions)
-    return _release(spark, folder, options, "outliers")[0].drop("dt", "load_id")
+    return release(spark, folder, options, "outliers")[0].drop("dt", "load_id")
 
 
 def stream_counters(spark, sf):
     """Totals of the counters that a stream commits with its loads, over its restarts."""
     folder, tag = scratch_path(spark, "stream"), uuid.uuid4().hex
-    options = replace(_flow_options(), raw_table=None, counters_table=f"counters_{tag}")
+    options = replace(flow_options(), raw_table=None, counters_table=f"counters_{tag}")
     _run_flow_stream(spark, sf, folder, options)
     found = written(counters.totals(spark, options.counters_table), "totals")
     spark.sql(f"DROP TABLE {options.counters_table}")
-    _release(spark, folder, options)
+    release(spark, folder, options)
     return found
 
 

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsight.checks import views as V
-from flowsight.checks.oracles import DAY_FEATURES
-from flowsight.checks.queries import Query, new_table
+from flowsight.checks.jobs import payment_options, payment_text, release
+from flowsight.checks.oracles import DAY_FEATURES, TRANSACTIONS
+from flowsight.checks.queries import Query, new_table, open_rule_scorer, rounded
 from flowsight.operators import sketches
-from flowsight.schemas import FEATURES, SKETCHES
-from flowsight.session import written
+from flowsight.plans import fraud_detection
+from flowsight.schemas import FEATURES, SKETCHES, VECTOR_COLUMNS
+from flowsight.session import scratch_path, written
 from flowsight.sinks import compaction
 from flowsight.sinks import tables as sinks
+from flowsight.sources import files
 
 LOADS = 5
 
@@ -68,11 +74,51 @@ def features_from_sketches(spark, sf):
     return found
 
 
-LOAD_QUERIES: dict[str, Query] = {f.__name__: f for f in (compacted_loads, compacted_partitions, features_from_sketches)}
+def default_method_appends(spark, sf):
+    """Two runs of the payment job by the default method: the rows of both stay."""
+    folder, options = scratch_path(spark, "default"), replace(payment_options(), write_method="default")
+    fraud_detection.create_tables(spark, options, folder)
+    orders = V.table(spark, sf, "orders")
+    for i in range(2):
+        lines = payment_text(orders.where(F.col("o_orderkey") % 2 == i))
+        fraud_detection.run_batch(lines, options, open_scorer=open_rule_scorer)
+    return release(spark, folder, options, "transactions")[0].select("transactionId", "type", "amount")
+
+
+def centroids_json_into_table(spark, sf):
+    """Two loads of newline JSON into a table, by a file with its schema."""
+    folder = scratch_path(spark, "json")
+    side = V.normalized_centroids(spark, sf)
+    types = {"int": "INTEGER", "double": "FLOAT"}
+    listed = json.dumps([{"name": n, "type": types[t], "mode": "NULLABLE"} for n, t in side.dtypes])
+    spark.createDataFrame([(listed,)], "value string").coalesce(1).write.text(f"{folder}/schema")
+    table, path = new_table(spark, files.read_schema(spark, f"{folder}/schema"))
+    for i in range(2):
+        side.where(F.col("centroid_id") % 2 == i).write.json(f"{folder}/{i}")
+        files.load_json(spark, f"{folder}/{i}", table, files.read_schema(spark, f"{folder}/schema"))
+    schema = spark.table(table).schema
+    spark.sql(f"DROP TABLE {table}")
+    found = spark.read.schema(schema).parquet(path)
+    return rounded(found.withColumn("centroid_id", F.col("centroid_id").cast("int")), 5, "normalized_dest")
+
+
+LOAD_QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        compacted_loads,
+        compacted_partitions,
+        features_from_sketches,
+        default_method_appends,
+        centroids_json_into_table,
+    )
+}
 
 LOAD_ORACLES: dict[str, str] = {
     "compacted_loads": DAY_FEATURES,
     "features_from_sketches": DAY_FEATURES,
+    "default_method_appends": f"SELECT transactionId, type, amount FROM ({TRANSACTIONS})",
+    "centroids_json_into_table": f"WITH {V.normalized_sql()} SELECT centroid_id, round(normalized_dest, 5) AS normalized_dest, "
+    f"{', '.join(VECTOR_COLUMNS)} FROM normalized",
     "compacted_partitions": "SELECT substr(transaction_time, 1, 10) AS dt, count(*) AS n, CAST(1 AS BIGINT) AS partitions "
     f"FROM ({DAY_FEATURES}) GROUP BY 1",
 }

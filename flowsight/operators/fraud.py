@@ -34,6 +34,9 @@ KEY_COLUMN = "transactionId"
 LABEL_COLUMN = "isFraud"
 UNUSED_COLUMNS = ["nameOrig", "nameDest", "isFlaggedFraud"]
 
+# Most values of a categorical column.
+MAX_CATEGORIES = 4096
+
 # Fixed value: an alert needs at least this probability.
 PROBABILITY = 0.99
 
@@ -137,10 +140,18 @@ def training_set(
     return sampled.drop(*UNUSED_COLUMNS)
 
 
-def vocabulary(df: DataFrame, column: str = CATEGORICAL_COLUMN) -> Column:
-    """The distinct values of a categorical column, sorted, as a scalar subquery."""
-    values = df.select(column).distinct()
-    return values.agg(F.array_sort(F.collect_list(column)).alias("vocabulary")).scalar()
+def vocabulary(df: DataFrame, column: str = CATEGORICAL_COLUMN, most: int = MAX_CATEGORIES) -> Column:
+    """The distinct values of a categorical column, sorted, as a scalar subquery.
+
+    Only the first values are ever gathered; a column with more than `most` is no category and fails.
+    """
+    values = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).limit(most + 1)
+    found = values.agg(F.array_sort(F.collect_list(column)).alias("vocabulary")).select(
+        F.when(
+            F.size("vocabulary") > most, F.raise_error(F.lit(f"more than {most} values of {column}"))
+        ).otherwise(F.col("vocabulary"))
+    )
+    return found.scalar()
 
 
 def one_hot(df: DataFrame, train: DataFrame, column: str = CATEGORICAL_COLUMN) -> DataFrame:

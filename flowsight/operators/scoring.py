@@ -28,6 +28,8 @@ from flowsight.schemas import OUTLIERS, VECTOR_COLUMNS
 # Fixed value: a row is an outlier strictly above this score.
 THRESHOLD = 2.0
 
+# Up to this many centroids "auto" writes the distances out in generated code.
+CODE_CENTROIDS = 8
 # Centroids per distance matrix of a batch.
 MATRIX_SIZE = 256
 # Columns that carry the result through the batches.
@@ -214,7 +216,7 @@ def nearest_centroid(
     centroids: DataFrame | Centroids,
     scale: dict[str, float] | None = None,
     spread_columns: list[str] = VECTOR_COLUMNS,
-    method: str = "arrow",
+    method: str = "auto",
 ) -> DataFrame:
     """Adds `nearest`: distance, centroid_id, normalized_dest and the spread to it.
 
@@ -224,13 +226,16 @@ def nearest_centroid(
     DataFrame is read at once; `read_centroids` reads it ahead.
 
     Both methods give the same rows: "arrow" compares batches in numpy, for any number of
-    centroids; "code" writes the distances out in generated code, for a handful.
+    centroids; "code" writes the distances out in generated code, for a handful; "auto" takes code for up
+    to `CODE_CENTROIDS` of them.
     """
     model = read_centroids(centroids) if isinstance(centroids, DataFrame) else centroids
     features = features.drop("nearest")
     if not len(model):
         empty = F.lit(None).cast(_RESULT)
         return features.where(F.lit(False)).withColumn("nearest", empty)
+    if method == "auto":
+        method = "code" if len(model) <= CODE_CENTROIDS else "arrow"
     if method not in ("arrow", "code"):
         raise ValueError(f"no method {method}")
     scored = _scored_in_code if method == "code" else _scored_in_batches

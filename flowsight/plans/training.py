@@ -88,10 +88,11 @@ def train_fraud(
 ) -> FraudResult:
     """Down-sample, split, fit boosted trees, score the test rows.
 
-    The sample is checkpointed, so that the large table is sampled once.
+    The sample is checkpointed, so that the large table is sampled once. The split has an order of its own: in
+    the sample's, the rows that were taken from the common class all come first.
     """
     scratch_root(transactions.sparkSession)
     labelled = fraud.training_set(transactions, sample_fraction, seed).checkpoint()
-    train, test = sampling.split_seeded(labelled, fraud.KEY_COLUMN, train_fraction, seed)
+    train, test = sampling.split_seeded(labelled, fraud.KEY_COLUMN, train_fraction, seed + 1)
     model = fraud.fit_fraud_model(train, iterations, step_size, seed=seed)
     return FraudResult(model, fraud.predict(model, test))

@@ -17,7 +17,7 @@ import re
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from flowsight.sinks.tables import DATE_COLUMN, LOAD_COLUMN, MERGED, laid_out, with_clause
 
@@ -110,9 +110,9 @@ def _seen(made: Manifest) -> str:
     return " OR ".join([later, *held])
 
 
-def current(spark: SparkSession, table: str) -> DataFrame:
-    """The rows of the table, each once, whatever is merged by now."""
-    return spark.table(table).where(_seen(read_manifest(spark, table)))
+def current(spark: SparkSession, table: str, where: Column | str = "true") -> DataFrame:
+    """The rows of the table (of those with `where`), each once, whatever is merged by now."""
+    return spark.table(table).where(where).where(_seen(read_manifest(spark, table)))
 
 
 def compact(

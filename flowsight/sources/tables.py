@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsight.schemas import NORMALIZED_CENTROIDS, conform
@@ -36,9 +36,14 @@ def read_partitions(
 
     Of a table of loads each row once, also while its loads are being merged.
     """
-    loads = LOAD_COLUMN in spark.table(table).columns
-    rows = compaction.current(spark, table) if loads else spark.table(table)
-    return partition_range(rows, date_from, date_to, date_column)
+    inside = in_range(date_from, date_to, date_column)
+    if LOAD_COLUMN in spark.table(table).columns:
+        return compaction.current(spark, table, inside)
+    return spark.table(table).where(inside)
+
+
+def in_range(date_from: str | dt.date, date_to: str | dt.date, date_column: str = "dt") -> Column:
+    return F.col(date_column).between(F.lit(str(date_from)).cast("date"), F.lit(str(date_to)).cast("date"))
 
 
 def partition_range(
@@ -47,8 +52,4 @@ def partition_range(
     date_to: str | dt.date,
     date_column: str = "dt",
 ) -> DataFrame:
-    return df.where(
-        F.col(date_column).between(
-            F.lit(str(date_from)).cast("date"), F.lit(str(date_to)).cast("date")
-        )
-    )
+    return df.where(in_range(date_from, date_to, date_column))

@@ -114,3 +114,32 @@ def test_names_of_merged_loads_are_kept(spark, table):
     with pytest.raises(ValueError):
         sinks.load(rows(spark, 0), table, "merged-1")
     assert tables.read_partitions(spark, table, "2024-01-01", "2024-01-31").count() == 0
+
+
+def test_json_by_a_schema_file(spark, folder):
+    import json
+
+    from flowsight.sources import files
+
+    listed = [{"name": "a", "type": "INTEGER", "mode": "REQUIRED"}, {"name": "b c", "type": "string"}, {"name": "d", "type": "FLOAT", "mode": "REPEATED"}]
+    with open(f"{folder}/schema.json", "w") as out:
+        json.dump(listed, out, indent=1)
+    schema = files.read_schema(spark, f"{folder}/schema.json")
+    assert schema.simpleString() == "struct<a:bigint,b c:string,d:array<double>>"
+    table = f"j_{uuid.uuid4().hex}"
+    for n in range(2):
+        with open(f"{folder}/{n}.json", "w") as out:
+            out.write(json.dumps({"a": n, "b c": "x", "d": [1.5]}) + "\n")
+        files.load_json(spark, f"{folder}/{n}.json", table, schema, f"{folder}/table")
+    assert sorted((r[0], r[1], r[2]) for r in spark.table(table).collect()) == [(0, "x", [1.5]), (1, "x", [1.5])]
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_categories_are_bounded(spark):
+    from flowsight.operators import fraud
+
+    rows = spark.range(50).selectExpr("CAST(id % 7 AS STRING) AS type").unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS type"))
+    got = spark.range(1).select(fraud.vocabulary(rows).alias("v")).first()["v"]
+    assert got == [str(i) for i in range(7)]
+    with pytest.raises(Exception, match="more than 6 values"):
+        spark.range(1).select(fraud.vocabulary(rows, most=6).alias("v")).collect()

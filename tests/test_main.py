@@ -5,7 +5,7 @@ import uuid
 import pytest
 from flowsight.__main__ import parser, run
 from flowsight.checks import views as V
-from flowsight.checks.jobs import _flow_text
+from flowsight.checks.jobs import flow_text
 from flowsight.schemas import NORMALIZED_CENTROIDS, conform
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +26,7 @@ def test_flow_job_from_the_command_line(spark, folder):
     conform(V.normalized_centroids(spark, SF), NORMALIZED_CENTROIDS).write.parquet(f"{folder}/side")
     query = f"SELECT * FROM parquet.`{folder}/side`"
     spark.createDataFrame([(query,)], "value string").coalesce(1).write.text(f"{folder}/query")
-    _flow_text(V.table(spark, SF, "events")).select("line").write.text(f"{folder}/in")
+    flow_text(V.table(spark, SF, "events")).select("line").write.text(f"{folder}/in")
     arguments = [
         "flow-batch", "--input_path", f"{folder}/in", "--input_glob", "*.txt",
         "--cluster_query", f"{folder}/query", "--features_table", f"f_{tag}",

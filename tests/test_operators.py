@@ -302,6 +302,7 @@ def test_fraud_training(spark, folder):
     result = training.train_fraud(labelled(spark), sample_fraction=0.3, iterations=5, step_size=0.3)
     scores = result.test_scores
     assert "nameOrig" not in scores.columns
+    assert {r["isFraud"] for r in scores.select("isFraud").distinct().collect()} == {0, 1}
     assert fraud.area_under_curve(scores) > 0.95
     assert fraud.evaluate(scores).first()["accuracy"] > 0.95
     fraud.save_model(result.model, f"{folder}/model")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_scoring import centroid_rows, feature_rows
 
 from flowsight.checks import views as V
-from flowsight.checks.jobs import _flow_options, _flow_text
+from flowsight.checks.jobs import flow_options, flow_text
 from flowsight.operators import scoring, sketches, versions
 from flowsight.operators.features import window_features
 from flowsight.plans import flow_anomaly
@@ -78,11 +78,11 @@ def test_counters_of_a_load_that_is_run_again(spark, folder):
 def test_job_with_sketches_counters_and_versions(spark, folder):
     tag = uuid.uuid4().hex
     options = replace(
-        _flow_options(), raw_table=None, sketches_table=f"s_{tag}", counters_table=f"n_{tag}", sketch_seconds=3600
+        flow_options(), raw_table=None, sketches_table=f"s_{tag}", counters_table=f"n_{tag}", sketch_seconds=3600
     )
-    plain = replace(_flow_options(), raw_table=None)
+    plain = replace(flow_options(), raw_table=None)
     side = conform(V.normalized_centroids(spark, SF), NORMALIZED_CENTROIDS)
-    lines = _flow_text(V.table(spark, SF, "events"))
+    lines = flow_text(V.table(spark, SF, "events"))
     for o, where in ((options, "a"), (plain, "b")):
         flow_anomaly.create_tables(spark, o, f"{folder}/{where}")
     flow_anomaly.run_batch(lines, side, plain, load_id="x")
