@@ -8,7 +8,8 @@ with a beam; its best rows of all shards are merged. Scores are cosines in doubl
 
 Every row is indexed. Equal vectors are one node; since a query wants `k` rows besides its own, only
 the `k` + 1 smallest vec_ids of a vector can be in an answer, so copies beyond these are left out
-before the shuffle, by a window with a group limit. Queries are dealt to shards in blocks.
+before the shuffle, by a window with a group limit. For a search a shard is sent to one task, and the queries
+stream past it in blocks.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part,
 nor do rows without vec_id; of rows that repeat a vec_id the one with the smaller vector counts;
@@ -17,17 +18,18 @@ vectors of different lengths are never compared; ties go to the smaller vec_id;
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
 SHARD_ROWS = 4096
-QUERY_BLOCK = 4096
 DEGREE = 32
 BUILD_BEAM = 64
 SEARCH_BEAM = 100
@@ -153,9 +155,8 @@ def valid_vectors(vectors: DataFrame) -> DataFrame:
     return fits.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
 
 
-def scaled(embeddings: pd.Series) -> np.ndarray:
+def scaled(exact: np.ndarray) -> np.ndarray:
     """The vectors, each times a power of two: no digit and no cosine changes, no square overflows."""
-    exact = np.stack(embeddings.to_numpy())
     _, exponent = np.frexp(np.abs(exact).max(axis=1, keepdims=True))
     return np.ldexp(exact, -exponent)
 
@@ -177,7 +178,7 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id", ignore_index=True)
-        exact = scaled(rows["embedding"])
+        exact = scaled(np.stack(rows["embedding"].to_numpy()))
         unit = exact / np.sqrt((exact * exact).sum(axis=1, keepdims=True))
         _, first, node = np.unique(np.round(unit, 5), axis=0, return_index=True, return_inverse=True)
         graph = build_graph(unit[first].astype(np.float32))
@@ -193,50 +194,84 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
     return written(dealt.groupBy("dim", "shard").applyInPandas(build, schema), "ann-index")
 
 
+class Shard:
+    """A shard's rows with their graph, ready to be searched."""
+
+    def __init__(self, rows: pa.Table, dim: int):
+        self.ids = rows["vec_id"].to_numpy()
+        self.exact = scaled(_vectors(rows["embedding"], dim))
+        self.length = np.sqrt((self.exact * self.exact).sum(axis=1))
+        self.entry = rows["entry"][0].as_py()
+        node, links = rows["node"].to_numpy(), rows["links"].combine_chunks()
+        heads = np.flatnonzero(links.is_valid().to_numpy(zero_copy_only=False))
+        heads = heads[np.argsort(node[heads])]
+        self.points = (self.exact / self.length[:, None])[heads].astype(np.float32)
+        self.links = np.array([links[int(i)].as_py() for i in heads], np.int64).reshape(len(heads), -1)
+        self.members = np.argsort(node, kind="stable")
+        self.cuts = np.searchsorted(node[self.members], np.arange(len(heads) + 1))
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int) -> tuple[list, list, list]:
+        """(query_id, vec_id, score): the best `k` of all rows that a beam of `beam` nodes has met, by exact score."""
+        wanted = scaled(queries)
+        wanted_length = np.sqrt((wanted * wanted).sum(axis=1))
+        unit = (wanted / wanted_length[:, None]).astype(np.float32)
+        found, _ = beam_search(self.points, self.links, self.entry, unit, min(beam, len(self.points)))
+        out: tuple[list, list, list] = ([], [], [])
+        for q, nodes in enumerate(found.tolist()):
+            at = np.concatenate([self.members[self.cuts[c] : self.cuts[c + 1]] for c in nodes if c >= 0])
+            at = at[self.ids[at] != query_ids[q]]
+            score = (self.exact[at] * wanted[q]).sum(axis=1) / (self.length[at] * wanted_length[q])
+            best = np.lexsort((self.ids[at], -score))[:k]
+            for column, values in zip(out, ([query_ids[q]] * len(best), self.ids[at[best]], score[best])):
+                column += list(values)
+        return out
+
+
+def _vectors(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+    values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return values.flatten().to_numpy().reshape(-1, dim)
+
+
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM) -> DataFrame:
     """(query_id, rank, vec_id, score): the `k` best rows found for each of `queries`, but for itself.
 
-    `queries` are rows of `valid_vectors`, whether indexed or not.
+    `queries` are rows of `valid_vectors`, whether indexed or not. A task holds one shard at a time, which is sent
+    to it once, and the queries of its length stream past.
     """
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    places = index.select(F.col("dim").alias("in_dim"), F.col("shard").alias("in_shard")).distinct()
-    asked = queries.select(
-        F.size("embedding").alias("query_dim"), F.col("vec_id").alias("query_id"), "embedding", block.alias("in_block")
-    )
-    asked = asked.join(places, F.col("query_dim") == F.col("in_dim")).drop("query_dim")
-    held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def work(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
-        if len(rows) and len(asked):
-            exact, wanted = scaled(rows["embedding"]), scaled(asked["embedding"])
-            length, wanted_length = np.sqrt((exact * exact).sum(axis=1)), np.sqrt((wanted * wanted).sum(axis=1))
-            heads = rows[rows["links"].notna()].sort_values("node")
-            points = (exact / length[:, None])[heads.index.to_numpy()].astype(np.float32)
-            links = np.stack(heads["links"].to_numpy()).astype(np.int64)
-            ids, node = rows["vec_id"].to_numpy(), rows["node"].to_numpy()
-            members = np.argsort(node, kind="stable")
-            cuts = np.searchsorted(node[members], np.arange(len(points) + 1))
-            width = min(beam, len(points))
-            for part in np.array_split(np.arange(len(asked)), -(-len(asked) // BLOCK)):
-                unit = (wanted[part] / wanted_length[part, None]).astype(np.float32)
-                found, _ = beam_search(points, links, int(rows["entry"].iloc[0]), unit, width)
-                for q, nodes in zip(part.tolist(), found[:, : 2 * k + 2].tolist()):
-                    at = np.concatenate([members[cuts[c] : cuts[c + 1]] for c in nodes if c >= 0])
-                    at = at[ids[at] != asked["query_id"].iat[q]]
-                    score = (exact[at] * wanted[q]).sum(axis=1) / (length[at] * wanted_length[q])
-                    best = np.lexsort((ids[at], -score))[:k]
-                    out["query_id"] += [asked["query_id"].iat[q]] * len(best)
-                    out["vec_id"] += ids[at[best]].tolist()
-                    out["score"] += score[best].tolist()
-        return pd.DataFrame(out)
-
-    n = blocks * places.count()
-    held = held.repartition(max(1, n), "dim", "shard", "block")
-    asked = asked.repartition(max(1, n), "in_dim", "in_shard", "in_block")
-    pairs = held.groupBy("dim", "shard", "block").cogroup(asked.groupBy("in_dim", "in_shard", "in_block"))
-    found = pairs.applyInPandas(work, "query_id long, vec_id long, score double")
+    shards = (index.agg(F.max("shard").alias("last")).first()["last"] or 0) + 1
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+    asked = queries.select(F.size("embedding").alias("dim"), every, F.lit(True).alias("asked"), "vec_id", "embedding")
+    both = index.withColumn("asked", F.lit(False)).unionByName(asked, allowMissingColumns=True)
+    both = both.repartitionById(shards, "shard").sortWithinPartitions("shard", "dim", "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, parts, shard = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("shard", "dim")])
+            is_query = batch.column("asked").to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((np.diff(keys) != 0).any(axis=0) | (np.diff(is_query.astype(int)) != 0)) + 1
+            cuts = [0, *change.tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                here = tuple(keys[:, a].tolist())
+                if here != place:
+                    place, parts, shard = here, [], None
+                part = batch.slice(a, b - a)
+                if not is_query[a]:
+                    parts.append(part)
+                    continue
+                if shard is None and parts:
+                    shard, parts = Shard(pa.Table.from_batches(parts), here[1]), []
+                for at in range(0, part.num_rows if shard else 0, BLOCK):
+                    some = part.slice(at, BLOCK)
+                    columns = shard.best(some["vec_id"].to_numpy(), _vectors(some["embedding"], here[1]), k, beam)
+                    kinds = (pa.int64(), pa.int64(), pa.float64())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["query_id", "vec_id", "score"]
+                    )
+
+    found = both.mapInArrow(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -44,7 +44,7 @@ def test_recall_and_scores(embeddings):
 
 
 def test_many_shards_and_blocks(embeddings, monkeypatch):
-    monkeypatch.setattr(ann, "QUERY_BLOCK", 9)
+    monkeypatch.setattr(ann, "BLOCK", 9)
     rows = valid_vectors(embeddings)
     index = build_index(rows, 5, shard_rows=150)
     assert index.select("shard").distinct().count() > 8
