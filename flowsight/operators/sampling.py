@@ -51,22 +51,25 @@ def with_cut(
     fraction: float | None = None,
     nearest: bool = False,
     name: str = "in_cut",
+    among: Column | None = None,
 ) -> DataFrame:
     """Adds `name`: whether the row is among the first rows of the seeded order.
 
     The number is `rows`, or fraction * count, rounded down or (`nearest`) to the
     nearest whole number, halves to even. Exact, and the same on
     every run. Rows that repeat a key are ordered by a hash of the row; of rows that are
-    equal throughout all are in the cut or none.
+    equal throughout all are in the cut or none. With `among` the order is that of the rows it holds
+    for; the others are never in the cut.
     """
     if (rows is None) == (fraction is None):
         raise ValueError("give either rows or fraction")
-    hashed = df.withColumn("_row", F.xxhash64(*df.columns))
-    hashed = hashed.withColumn("_hash", hash32(F.col(key), seed))
+    hashed = df.withColumn("_hash", hash32(F.col(key), seed))
     hashed = hashed.withColumn("_slot", F.shiftright("_hash", _BUCKET_SHIFT))
+    ordered = hashed if among is None else hashed.where(among)
+    row = F.xxhash64(*df.columns)  # only of rows in the slot of the cut
 
     # at most 65,536 rows from here on
-    counts = hashed.groupBy("_slot").agg(F.count(F.lit(1)).alias("n"))
+    counts = ordered.groupBy("_slot").agg(F.count(F.lit(1)).alias("n"))
     by_slot = Window.orderBy("_slot").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -87,22 +90,26 @@ def with_cut(
     # the last wanted row itself: none if the cut falls on the edge of the slot
     position = F.row_number().over(Window.partitionBy("_slot").orderBy("_hash", key, "_row"))
     last = (
-        hashed.select("_slot", "_hash", key, "_row")
-        .withColumn("_cut", cut.scalar())
+        ordered.withColumn("_cut", cut.scalar())
         .where(F.col("_slot") == F.col("_cut._slot"))
+        .select("_slot", "_hash", key, row.alias("_row"), "_cut")
         .withColumn("_position", position)
         .where(F.col("_position") == F.col("_cut.take"))
         .agg(F.min(F.struct("_hash", key, "_row")).alias("last"))
     )
+    slot, cut_slot = F.col("_slot"), F.col("_cut._slot")
     inside = (
         F.when(F.col("_cut").isNull(), F.lit(True))
-        .when(F.col("_last").isNull(), F.col("_slot") < F.col("_cut._slot"))
-        .otherwise(F.struct("_hash", key, "_row") <= F.col("_last"))
+        .when(slot < cut_slot, F.lit(True))
+        .when((slot > cut_slot) | F.col("_last").isNull(), F.lit(False))
+        .otherwise(F.struct("_hash", key, row.alias("_row")) <= F.col("_last"))
     )
+    if among is not None:
+        inside = F.coalesce(among, F.lit(False)) & inside
     return (
         hashed.withColumns({"_cut": cut.scalar(), "_last": last.scalar()})
         .withColumn(name, inside)
-        .drop("_hash", "_row", "_slot", "_cut", "_last")
+        .drop("_hash", "_slot", "_cut", "_last")
     )
 
 
@@ -131,6 +138,5 @@ def downsample(
     df: DataFrame, keep_all: Column, key: str, fraction: float = 0.005, seed: int = 2
 ) -> DataFrame:
     """A seeded fraction of the rows where `keep_all` is false, plus all others."""
-    rare = df.where(keep_all)
-    common = take_seeded(df.where(~keep_all), key, seed, fraction=fraction, nearest=True)
-    return common.unionByName(rare)
+    cut = with_cut(df, key, seed, fraction=fraction, nearest=True, name="_taken", among=~keep_all)
+    return cut.where(keep_all | F.col("_taken")).drop("_taken")
