@@ -41,6 +41,7 @@ from flowsight.schemas import (
     REQUIRED_COLUMNS,
     SKETCHES,
 )
+from flowsight.session import written
 from flowsight.sinks.tables import (
     DATE_COLUMN,
     LOAD_COLUMN,
@@ -69,8 +70,13 @@ class FlowFrames:
     features: DataFrame
 
 
-def flow_frames(lines: DataFrame, options: FlowOptions = FlowOptions()) -> FlowFrames:
-    """Valid flows, rejects and features of `line, event_ts` records."""
+def flow_frames(
+    lines: DataFrame, options: FlowOptions = FlowOptions(), stored: bool = False
+) -> FlowFrames:
+    """Valid flows, rejects and features of `line, event_ts` records.
+
+    `stored` (batch) writes the parsed rows to the scratch folder, so that they are parsed once for all of them.
+    """
     field = options.event_time_field
     stamped = "event_ts" in lines.columns and not options.arrival_time
     if not stamped and (options.arrival_time or not field):
@@ -81,6 +87,8 @@ def flow_frames(lines: DataFrame, options: FlowOptions = FlowOptions()) -> FlowF
         parsed = parsed.withColumn("event_ts", F.coalesce(own, F.current_timestamp()))
     if parsed.isStreaming:
         parsed = with_watermark(parsed, "event_ts", options.allowed_lateness_seconds)
+    if stored:
+        parsed = written(parsed, "parsed")
     flows = valid_rows(parsed)
     if options.restamp:
         flows = restamp(flows)
@@ -190,9 +198,9 @@ def load_results(
         options.feature_rejects_table,
         **_layout(options, FEATURE_CLUSTER_COLUMNS),
     )
-    written = loaded(spark, options.features_table, load_id).select(*FEATURES.names)
+    features = loaded(spark, options.features_table, load_id).select(*FEATURES.names)
     score, side = (find_outliers, centroids) if versions is None else (find_outliers_by_version, versions)
-    outliers = score(written, side, options.outlier_threshold, rotate_counts=options.rotate_counts)
+    outliers = score(features, side, options.outlier_threshold, rotate_counts=options.rotate_counts)
     if options.counters_table:
         outliers = observed(outliers, flagged, {"outliers": "1"})
     load(with_date(outliers), options.outliers_table, load_id)
@@ -233,11 +241,11 @@ def run_batch(
 
     Every run adds its rows under a name of its own. `load_id` names the input: the same
     name again replaces its rows, for a run that is tried once more. With a raw table the
-    lines are parsed once: the features are computed from the few columns they
-    need of the raw rows just written.
+    features are computed from the few columns they need of the raw rows just written. Lines
+    are parsed once, also where rejects are kept.
     """
     load_id = load_id or uuid.uuid4().hex
-    frames = flow_frames(lines, options)
+    frames = flow_frames(lines, options, stored=bool(options.rejects_table))
     features = frames.features
     if options.raw_table:
         load(
@@ -246,10 +254,10 @@ def run_batch(
             load_id,
             **_layout(options, RAW_CLUSTER_COLUMNS),
         )
-        written = loaded(lines.sparkSession, options.raw_table, load_id)
-        features = feature_rows(written, options)
+        raw = loaded(lines.sparkSession, options.raw_table, load_id)
+        features = feature_rows(raw, options)
     if options.sketches_table:
-        flows = written if options.raw_table else frames.flows
+        flows = raw if options.raw_table else frames.flows
         features = protected(_through_sketches(flows, options, load_id), options)
     if options.rejects_table:
         load(with_date(frames.rejects, "event_ts"), options.rejects_table, load_id)

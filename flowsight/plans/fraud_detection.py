@@ -27,6 +27,7 @@ from flowsight.operators.fraud import (
 from flowsight.operators.parse import parse_transaction_lines, rejected_rows, valid_rows
 from flowsight.options import FraudOptions
 from flowsight.schemas import FRAUD_PREDICTION, REJECTS, TRANSACTION, conform
+from flowsight.session import written
 from flowsight.sinks.tables import LOAD_COLUMN, create_table, load, load_checked, loaded, stream_load
 from flowsight.sources.files import with_arrival_time
 from flowsight.plans.inputs import load_interval
@@ -125,9 +126,13 @@ def run_batch(
     transactions just written.
     """
     load_id = load_id or uuid.uuid4().hex
-    _load_transactions(transactions_of(lines), options, load_id)
     if options.rejects_table:
-        load(rejects_of(lines), options.rejects_table, load_id)
+        parsed = written(parse_transaction_lines(_timed(lines)), "parsed")
+        load(rejected_rows(parsed), options.rejects_table, load_id)
+        rows = counted(valid_rows(parsed), "transactions")
+    else:
+        rows = transactions_of(lines)
+    _load_transactions(rows, options, load_id)
     transactions = loaded(lines.sparkSession, options.transactions_table, load_id)
     load(
         score(transactions, options, model, open_scorer),
