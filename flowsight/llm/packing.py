@@ -36,20 +36,44 @@ ASCII_WHITE = re.compile("[ \t\n\x0b\x0c\r]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for str.split, not for the tokenizer
 
 
-# Letters whose class no version of Unicode changes; words of these are cut as the tokenizer cuts them.
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-RUNS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+# Texts of these letters, whose class no version of Unicode changes, are cut here as the tokenizer cuts them.
+PLAIN = re.compile("[ \t\n\x0b\x0c\r!-~À-ÖØ-öø-ÿ]*")
+RUNS = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^ \t\n\x0b\x0c\ra-zß-öø-ÿ0-9]+")
 JOINED = 256
 WORD_END = "</w>"
 
 
+class Recent(dict):
+    """A bounded cache: when it is half full its entries grow old, and those not used again by the next time go."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.old: dict[str, bytes] = {}
+        self.most = most
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Those of `keys` to be made and put in; all others are in the cache from now on."""
+        new = keys.difference(self)
+        if len(self) + len(new) > self.most // 2:
+            self.old = dict(self)
+            self.clear()
+            new = keys
+        old, made = self.old, []
+        for key in new:
+            value = old.get(key)
+            if value is None:
+                made.append(key)
+            else:
+                self[key] = value
+        return made
+
+
 class WordIds:
-    """Ids of texts by the tokenizers library, through a bounded cache of white-space words.
+    """Ids of texts by the tokenizers library, through bounded caches.
 
-    Right for tokenizers that drop white space and treat what lies between alone, and that
-    end every run of `RUNS` with a token in `</w>`: plain words are then cut into their lower-case
-    runs, of which many go to a call, and whose ids are told apart by these tokens. All other words are encoded
-    one by one.
+    Right for tokenizers that drop white space and treat what lies between alone, and that end every run of
+    `RUNS` with a token in `</w>`: plain texts are cut into their lower-case runs, of which many go to a call, and
+    whose ids are told apart by these tokens. Other texts are encoded by words of white space.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -59,9 +83,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.cache: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-        self.cache_words = cache_words
+        self.words, self.runs = Recent(cache_words), Recent(cache_words)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -70,11 +92,8 @@ class WordIds:
     def _encode(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _add_runs(self, runs: set[str]) -> None:
+    def _add_runs(self, new: list[str]) -> None:
         """The ids of new runs; each ends with the only token of its kind."""
-        new = list(runs.difference(self.runs))
-        if len(self.runs) + len(new) > self.cache_words:
-            self.runs, new = {}, list(runs)
         joined = ["\n".join(new[at : at + JOINED]) for at in range(0, len(new), JOINED)]
         for k, ids in enumerate(self._encode(joined)):
             ids = np.array(ids, "<u4")
@@ -84,30 +103,18 @@ class WordIds:
                 self.runs[run] = data[start:end]
                 start = end
 
-    def _add(self, words: set[str]) -> None:
-        """The ids of new words go to the cache."""
-        plain = [w for w in words if PLAIN.fullmatch(w)]
-        text = "\n".join(plain)
-        if any(s in text for s in self.special):
-            plain = [w for w in plain if not any(s in w for s in self.special)]
-        cut = [w.lower() if w.isalpha() else RUNS.findall(w.lower()) for w in plain]
-        self._add_runs(set(chain.from_iterable([c] if isinstance(c, str) else c for c in cut)))
-        of = self.runs.__getitem__
-        for word, c in zip(plain, cut):
-            self.cache[word] = of(c) if isinstance(c, str) else b"".join(map(of, c))
-        others = list(words.difference(plain))
-        for word, ids in zip(others, self._encode(others)):
-            self.cache[word] = array("I", ids).tobytes()
-
     def _group(self, texts: list[str]) -> list[bytes]:
-        words = [ASCII_WHITE.split(t) if SEPARATORS.search(t) else t.split() for t in texts]
-        here = set(chain.from_iterable(words))
-        new = here.difference(self.cache)
-        if len(self.cache) + len(new) > self.cache_words:  # what these texts hold again stays
-            self.cache = {w: self.cache[w] for w in here - new}
-        self._add(new)
-        of = self.cache.__getitem__
-        return [b"".join(map(of, w)) for w in words]
+        plain = [bool(PLAIN.fullmatch(t)) and not any(s in t for s in self.special) for t in texts]
+        cut = [
+            RUNS.findall(t.lower()) if p else ASCII_WHITE.split(t) if SEPARATORS.search(t) else t.split()
+            for t, p in zip(texts, plain)
+        ]
+        self._add_runs(self.runs.missing(set(chain.from_iterable(c for c, p in zip(cut, plain) if p))))
+        new = self.words.missing(set(chain.from_iterable(c for c, p in zip(cut, plain) if not p)))
+        for word, ids in zip(new, self._encode(new)):
+            self.words[word] = array("I", ids).tobytes()
+        of_run, of_word = self.runs.__getitem__, self.words.__getitem__
+        return [b"".join(map(of_run if p else of_word, c)) for c, p in zip(cut, plain)]
 
     def encode(self, texts: list[str]):
         """The little-endian unsigned 32-bit ids of each text."""
