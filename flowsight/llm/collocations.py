@@ -16,8 +16,8 @@ never by hashes, sum up what they meet in bounded tables, and Spark sums these.
 Scores are compared as decimals of 38 digits: exact while 1000 * a * n stays below 10^38.
 
 Defined results: null texts count as empty; a null `lang` is `und`; texts without words give nothing; repeated
-rows and doc_ids count as often as they occur (doc_id plays no part); a text of any length is parsed
-in blocks; ties go by a, then by the phrase's bytes; no documents, no rows; other columns play no part.
+rows and doc_ids count as often as they occur (doc_id plays no part); a text is parsed as a whole, a long
+one into chunks of at most `LONGEST_CHUNK` words and a window; ties go by a, then by the phrase's bytes; no documents, no rows; other columns play no part.
 """
 
 from __future__ import annotations
