@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,8 @@ def build_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # long texts: a batch in a Python worker ends at this size, however few its rows
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
     }
     settings.update(conf or {})
@@ -34,10 +37,15 @@ def build_session(
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder `spark.checkpoint.dir` names, else one below the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or (
-        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    )
+    """The shared folder `spark.checkpoint.dir` names, else one below the warehouse.
+
+    On a cluster the warehouse has to be shared for that; a warning says so.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        if not spark.sparkContext.master.startswith("local"):
+            warnings.warn(f"spark.checkpoint.dir is not set: scratch data goes to {root}, which all executors must share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
