@@ -13,12 +13,15 @@ from flowsight.checks import views as V
 from flowsight.checks.queries import REQUEST_BYTES, REQUEST_WINDOW, SHARDS, open_rule_scorer
 from flowsight.functions.scalars import shard_of
 from flowsight.operators.fraud import instance_json
+from flowsight.operators.generate import to_messages
 from flowsight.options import FlowOptions, FraudOptions
 from flowsight.plans import flow_anomaly, fraud_detection
 from flowsight.plans.inputs import batch_lines
-from flowsight.schemas import TRANSACTION, NORMALIZED_CENTROIDS, conform
+from flowsight.schemas import FLOW_LOG, NORMALIZED_CENTROIDS, TRANSACTION, conform
 from flowsight.session import scratch_path, written
+from flowsight.sinks.bus import publish_files
 from flowsight.sinks.tables import stream_append
+from flowsight.sources.bus import from_messages
 from flowsight.sources.files import merge
 from flowsight.streaming import counters
 from flowsight.streaming.batcher import stream_requests
@@ -298,6 +301,28 @@ def stream_alerts(spark, sf):
     return _alert_rows(spark, folder, options)
 
 
+_MESSAGE = "value string, headers array<struct<key: string, value: binary>>, timestamp timestamp"
+
+
+def stream_bus_features(spark, sf):
+    """Flows published as messages by one stream, and read from there by the features of another."""
+    folder, options = scratch_path(spark, "stream"), flow_options()
+    flows = V.project(_stream(spark, sf, "events"), V.FLOW)
+    messages = to_messages(flows, "netflow", FLOW_LOG.fieldNames())
+    publish_files(messages, f"{folder}/topic", f"{folder}/sent").trigger(availableNow=True).start().awaitTermination()
+
+    def start(ends: DataFrame) -> list:
+        topic = from_messages(spark.readStream.schema(_MESSAGE).json(f"{folder}/topic"))
+        lines = merge(topic.select("line"), ends.select("line"))  # the event time is in the records
+        features = flow_anomaly.flow_frames(lines, options).features
+        return [
+            stream_append(features, f"{folder}/out", f"{folder}/checkpoint", True).start()
+        ]
+
+    _drained(spark, folder, _FLOW_SENTINEL, start)
+    return spark.read.parquet(f"{folder}/out")
+
+
 VERSION_FROM, VERSION_FACTOR = "2024-01-16", 0.5
 
 
@@ -361,6 +386,7 @@ JOB_QUERIES = {
         stream_outliers,
         stream_request_instances,
         stream_alerts,
+        stream_bus_features,
         stream_versioned_outliers,
         stream_counters,
     )

@@ -340,6 +340,9 @@ ORACLES: dict[str, str] = {
         f"WHERE {V.window_end_sql(V.DAY)} > (SELECT max(ts) FROM events)"
     ),
     "stream_outliers": _JOB_OUTLIERS,
+    "stream_bus_features": V.features_sql(
+        f"SELECT * EXCLUDE (event_ts), make_timestamp(startTime * 1000) AS event_ts FROM ({FLOW})"
+    ),
     "stream_versioned_outliers": _JOB_OUTLIERS.replace(
         "> 2.0 * normalized_dest",
         f"> 2.0 * normalized_dest * CASE WHEN transaction_time >= '{VERSION_FROM}' THEN {VERSION_FACTOR}::DOUBLE ELSE 1 END",
