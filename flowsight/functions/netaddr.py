@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,22 +62,37 @@ def subnet(ip: Column, form: str = "address", mask_bits: int = DEFAULT_MASK_BITS
     raise ValueError(f"unknown subnet form {form!r}")
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often `body` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _key_of_groups(groups: Column) -> Column:
+    """The 16 bytes of eight hexadecimal groups, null for anything else."""
+    good = (F.size(groups) == 8) & F.forall(groups, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
+    return F.when(good, F.unhex(F.array_join(F.transform(groups, lambda g: F.lpad(g, 4, "0")), "")))
+
+
+def _wide_key(ip: Column) -> Column:
+    halves = F.transform(F.split(ip, "::", 3), lambda h: F.filter(F.split(h, ":", 9), lambda g: g != ""))
+
+    def filled(parts: Column) -> Column:
+        first, second = F.get(parts, F.lit(0)), F.coalesce(F.get(parts, F.lit(1)), F.array().cast("array<string>"))
+        gap = F.when(F.size(parts) == 2, F.lit(8) - F.size(first) - F.size(second)).otherwise(0)
+        whole = F.concat(first, F.array_repeat(F.lit("0"), gap), second)
+        return F.when(F.size(parts) <= 2, _bound(whole, _key_of_groups))
+
+    return F.when(~ip.rlike("(^:[^:])|([^:]:$)|(:::)"), _bound(halves, filled))
+
+
 def ip_key(ip: Column) -> Column:
     """An address as 16 bytes that sort like it: IPv4 below 12 zero bytes, IPv6 also with `::`.
 
-    Null for anything else, such as an IPv6 address with a dotted end.
+    Null for anything else, such as an IPv6 address with a dotted end. Each step is computed once for a row: written
+    out flat, the address would be taken apart again wherever a later step names an earlier one.
     """
-    halves = F.split(ip, "::", 3)
-    groups = [F.filter(F.split(F.coalesce(F.get(halves, F.lit(i)), F.lit("")), ":", 9), lambda g: g != "") for i in (0, 1)]
-    gap = F.lit(8) - F.size(groups[0]) - F.size(groups[1])
-    shortened = F.contains(ip, F.lit("::"))
-    whole = F.concat(groups[0], F.array_repeat(F.lit("0"), F.when(shortened, gap).otherwise(0)), groups[1])
-    good = (
-        (F.size(halves) <= 2)
-        & (F.size(whole) == 8)
-        & F.forall(whole, lambda g: g.rlike("^[0-9a-fA-F]{1,4}$"))
-        & ~ip.rlike("(^:[^:])|([^:]:$)|(:::)")
-    )
-    wide = F.unhex(F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), ""))
-    narrow = F.unhex(F.lpad(F.hex(ip_to_long(ip)), 32, "0"))
-    return F.when(is_ipv4(ip), narrow).when(good, wide)
+
+    def key(a: Column) -> Column:
+        return F.when(is_ipv4(a), F.unhex(F.lpad(F.hex(ip_to_long(a)), 32, "0"))).otherwise(_wide_key(a))
+
+    return _bound(ip, key)

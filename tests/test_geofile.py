@@ -82,3 +82,12 @@ def test_keys(spark):
         a = ipaddress.ip_address(x)
         assert bytes(got[x]) == int(a).to_bytes(16, "big"), x
     assert [x for x in bad if got[x] is not None] == []
+
+
+def test_an_address_is_taken_apart_once(spark):
+    """A key of a computed address names the computation once, and each step of its own once."""
+    rows = spark.createDataFrame([("2001:DB8::1",)], "ip string").withColumn("key", ip_key(F.upper("ip")))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("upper(") == 1
+    assert plan.count("split(") < 20
+    assert bytes(rows.first()["key"]) == int(ipaddress.ip_address("2001:db8::1")).to_bytes(16, "big")
