@@ -430,14 +430,11 @@ def request_batches(spark, sf):
     return packed.select("transactionId", "shard", "batch_id")
 
 
+_DOCUMENTS = {"batch_bytes": REQUEST_BYTES, "window_seconds": REQUEST_WINDOW, "order": "o_orderkey"}
+
+
 def _documents(spark, sf):
-    return fraud.requests(
-        V.transactions(spark, sf),
-        batch_bytes=REQUEST_BYTES,
-        window_seconds=REQUEST_WINDOW,
-        shard=_order_shard(),
-        order="o_orderkey",
-    )
+    return fraud.requests(V.transactions(spark, sf), shard=_order_shard(), **_DOCUMENTS)
 
 
 def request_documents(spark, sf):
@@ -476,8 +473,9 @@ def open_rule_scorer() -> Callable[[str], str]:
 
 
 def _rule_predictions(spark, sf):
+    rows = V.transactions(spark, sf)
     return fraud.parse_predictions(
-        fraud.score_requests(_documents(spark, sf), open_rule_scorer)
+        fraud.score_transactions(rows, open_rule_scorer, shard=_order_shard(), **_DOCUMENTS)
     )
 
 

@@ -200,6 +200,20 @@ _REQUEST_SCHEMA = StructType(
 
 # Requests handed back to Spark at a time.
 _REQUESTS_PER_SLICE = 64
+_SLICE_CHARS = 1 << 20
+
+
+def _payload_groups(
+    df: DataFrame, payload: str, shard: Column, order: list[str], window: Column | None
+) -> DataFrame:
+    grouped = _sorted_groups(df, F.octet_length(payload), shard, order, window)
+    return grouped.select(_WINDOW, _SHARD, _SIZE, payload)
+
+
+def _request_rows(batches: Iterator[pa.RecordBatch], payload: str, limit: int) -> Iterator[tuple]:
+    """The columns of a request document, one document at a time."""
+    for label, size, rows in _closed_batches(batches, [payload], limit):
+        yield (*label, rows.num_rows, size, request_text(rows.column(0).to_pylist()))
 
 
 def pack_requests(
@@ -215,21 +229,50 @@ def pack_requests(
     The documents are put together in the packing pass itself; `window_start` is
     in epoch microseconds (0 without a window).
     """
-    grouped = _sorted_groups(df, F.octet_length(payload), shard, order, window)
-    grouped = grouped.select(_WINDOW, _SHARD, _SIZE, payload)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: list[tuple] = []
-        for label, size, rows in _closed_batches(batches, [payload], limit):
-            text = request_text(rows.column(0).to_pylist())
-            done.append((*label, rows.num_rows, size, text))
-            if len(done) == _REQUESTS_PER_SLICE:
-                yield _request_slice(done)
-                done = []
-        if done:
+        for done in slices(_request_rows(batches, payload, limit), lambda row: len(row[-1])):
             yield _request_slice(done)
 
-    return grouped.mapInArrow(run, _REQUEST_SCHEMA)
+    return _payload_groups(df, payload, shard, order, window).mapInArrow(run, _REQUEST_SCHEMA)
+
+
+def answer_requests(
+    df: DataFrame,
+    payload: str,
+    open_function: Callable[[], Callable[[str], str]],
+    shard: Column,
+    order: list[str],
+    limit: int,
+    window: Column | None = None,
+) -> DataFrame:
+    """`response`: the answers to the documents of `pack_requests`, each given as the document closes.
+
+    `open_function` makes one client per partition. A worker holds one document and a few answers,
+    and no document travels: sent on to a pass of its own, thousands of them would come at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = open_function()
+        answers = (function(row[-1]) for row in _request_rows(batches, payload, limit))
+        for done in slices(answers, lambda answer: len(answer or "")):
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["response"])
+
+    return _payload_groups(df, payload, shard, order, window).mapInArrow(run, "response string")
+
+
+def slices(items: Iterator, size: Callable[[object], int]) -> Iterator[list]:
+    """The items in lists that end at `_REQUESTS_PER_SLICE` items or `_SLICE_CHARS` in size."""
+    done: list = []
+    held = 0
+    for item in items:
+        done.append(item)
+        held += size(item)
+        if len(done) == _REQUESTS_PER_SLICE or held >= _SLICE_CHARS:
+            yield done
+            done, held = [], 0
+    if done:
+        yield done
 
 
 def _request_slice(done: list[tuple]) -> pa.RecordBatch:

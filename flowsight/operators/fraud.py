@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -15,7 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from flowsight.functions.scalars import shard_of
 from flowsight.operators import curves, ensemble
-from flowsight.operators.batching import pack_requests
+from flowsight.operators.batching import answer_requests, pack_requests, slices
 from flowsight.operators.ensemble import Ensemble
 from flowsight.operators.sampling import downsample
 from flowsight.schemas import MODEL_INPUT
@@ -51,6 +51,19 @@ def instance_json(columns: list[str] | None = None) -> Column:
     return F.to_json(F.struct(*(columns or [f.name for f in MODEL_INPUT])))
 
 
+def _instances(
+    transactions: DataFrame, key_range: int, window_seconds: int, event_time: str, shard: Column | None, order: str
+) -> tuple[DataFrame, dict]:
+    """Rows to pack, and how to group them."""
+    rows = transactions.select(
+        order,
+        F.window(event_time, f"{window_seconds} seconds").start.alias("_start"),
+        (shard if shard is not None else shard_of(F.col(KEY_COLUMN), key_range)).alias("_part"),
+        instance_json().alias("instance"),
+    )
+    return rows, {"payload": "instance", "shard": F.col("_part"), "order": [order], "window": F.col("_start")}
+
+
 def requests(
     transactions: DataFrame,
     batch_bytes: int = 50_000,
@@ -61,20 +74,23 @@ def requests(
     order: str = KEY_COLUMN,
 ) -> DataFrame:
     """Size-bounded request documents per window and shard."""
-    rows = transactions.select(
-        order,
-        F.window(event_time, f"{window_seconds} seconds").start.alias("_start"),
-        (shard if shard is not None else shard_of(F.col(KEY_COLUMN), key_range)).alias("_part"),
-        instance_json().alias("instance"),
-    )
-    return pack_requests(
-        rows,
-        payload="instance",
-        shard=F.col("_part"),
-        order=[order],
-        limit=batch_bytes,
-        window=F.col("_start"),
-    )
+    rows, groups = _instances(transactions, key_range, window_seconds, event_time, shard, order)
+    return pack_requests(rows, limit=batch_bytes, **groups)
+
+
+def score_transactions(
+    transactions: DataFrame,
+    open_scorer: Callable[[], Callable[[str], str]],
+    batch_bytes: int = 50_000,
+    key_range: int = 100,
+    window_seconds: int = 5,
+    event_time: str = "event_ts",
+    shard: Column | None = None,
+    order: str = KEY_COLUMN,
+) -> DataFrame:
+    """`response`: what the scorer answers to each document of `requests`, asked where it is put together."""
+    rows, groups = _instances(transactions, key_range, window_seconds, event_time, shard, order)
+    return answer_requests(rows, open_function=open_scorer, limit=batch_bytes, **groups)
 
 
 def score_requests(
@@ -84,16 +100,18 @@ def score_requests(
 ) -> DataFrame:
     """`response`: what the scorer answers to each request document.
 
-    `open_scorer` is called once per partition, for a client or a loaded model.
+    `open_scorer` is called once per partition, for a client or a loaded model. For documents that exist, as
+    on a stream: a worker gets as many of them at a time as the Arrow settings allow.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = open_scorer()
-        for frame in frames:
-            yield pd.DataFrame({"response": frame[request_column].map(scorer)})
+        answers = (scorer(text.as_py()) for batch in batches for text in batch.column(0))
+        for done in slices(answers, lambda answer: len(answer or "")):
+            yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["response"])
 
     schema = StructType([StructField("response", StringType())])
-    return request_rows.select(request_column).mapInPandas(run, schema)
+    return request_rows.select(request_column).mapInArrow(run, schema)
 
 
 def parse_predictions(responses: DataFrame, column: str = "response") -> DataFrame:

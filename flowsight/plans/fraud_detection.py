@@ -21,8 +21,8 @@ from flowsight.operators.fraud import (
     parse_predictions,
     predict,
     prediction_rows,
-    requests,
     score_requests,
+    score_transactions,
 )
 from flowsight.operators.parse import parse_transaction_lines, rejected_rows, valid_rows
 from flowsight.options import FraudOptions
@@ -80,18 +80,19 @@ def score(
     """Alerts of a bounded set of transactions.
 
     A model (fitted, or read from a table of nodes) scores without request documents. A scorer gets
-    the documents of (window, shard) and answers in JSON.
+    the documents of (window, shard), one at a time, and answers in JSON.
     """
     if model is not None:
         scored = prediction_rows(predict(model, model_input(transactions)))
     elif open_scorer is not None:
-        documents = requests(
+        answers = score_transactions(
             transactions,
+            open_scorer,
             options.batch_bytes,
             options.key_range,
             options.window_seconds,
         )
-        scored = parse_predictions(score_requests(documents, open_scorer))
+        scored = parse_predictions(answers)
     else:
         raise ValueError("give a model or a scorer")
     return alerts(scored, options.probability)

@@ -137,3 +137,36 @@ def test_parse_predictions_keeps_the_element(spark):
 def test_alert_bound_is_inclusive(spark):
     rows = spark.createDataFrame([("a", 0.99), ("b", 0.9899), ("c", None)], "t string, logistic double")
     assert [r["t"] for r in fraud.alerts(rows).collect()] == ["a"]
+
+
+def test_documents_are_answered_where_they_are_packed(spark):
+    """Scoring is one pass in Python: documents that travelled to a second would meet there by the thousand."""
+    from flowsight.options import FraudOptions
+    from flowsight.plans import fraud_detection
+    from flowsight.schemas import MODEL_INPUT
+
+    def open_scorer():
+        def answer(request):
+            rows = json.loads(request)["instances"]
+            found = [{"logistic": [len(rows) / 100], "transactionId": [r["transactionId"]]} for r in rows]
+            return json.dumps({"predictions": found})
+
+        return answer
+
+    given = {"transactionId": "concat('T', id)", "event_ts": "timestamp_seconds(id div 500)"}
+    names = [f"CAST({given.get(f.name, 'id')} AS {f.dataType.simpleString()}) AS {f.name}" for f in MODEL_INPUT]
+    rows = spark.range(2000).selectExpr(*names, f"{given['event_ts']} AS event_ts").repartition(3)
+    options = FraudOptions(batch_bytes=2000, key_range=3, window_seconds=1, probability=0.0)
+    scored = fraud_detection.score(rows, options, open_scorer=open_scorer)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") + plan.count("MapInPandas") == 1
+    documents = fraud.requests(rows, 2000, 3, 1)
+    plain_scored = fraud.parse_predictions(fraud.score_requests(documents, open_scorer))
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, plain_scored.collect()))
+    assert scored.count() == 2000 and documents.count() > 100
+
+
+def test_slices_end_by_number_and_by_size():
+    assert [len(s) for s in batching.slices(iter([1] * 130), lambda x: x)] == [64, 64, 2]
+    assert [len(s) for s in batching.slices(iter([1 << 19] * 5), lambda x: x)] == [2, 2, 1]
+    assert list(batching.slices(iter([]), lambda x: x)) == []
