@@ -67,3 +67,25 @@ def test_nodes_of_the_job(spark, folder):
     rows = labelled(spark)
     found = fraud_detection.score(rows, FraudOptions(), model=model(spark, nodes))
     assert found.count() == rows.where("amount > 500000").count() > 0
+
+
+def test_training_rows_are_dealt_to_all_tasks(spark, monkeypatch):
+    """Rows of a file with one row group lie in one partition: the training spreads them, each row once."""
+    seen = []
+
+    def fit(_, rows):
+        parts = rows.groupBy(F.spark_partition_id()).count().collect()
+        seen.append(([r["count"] for r in parts], sorted(r["amount"] for r in rows.select("amount").collect())))
+
+    monkeypatch.setattr(fraud.Pipeline, "fit", fit)
+    monkeypatch.setattr(fraud, "TRAIN_TASK_ROWS", 100, raising=False)
+    rows = labelled(spark).coalesce(1).persist()
+    amounts = sorted(r["amount"] for r in rows.select("amount").collect())
+    fraud.fit_fraud_model(rows)
+    fraud.fit_fraud_model(rows.limit(99))
+    fraud.fit_fraud_model(rows.limit(0))
+    rows.unpersist()
+    (counts, kept), (few, _), (none, _) = seen
+    assert kept == amounts and len(counts) > 1
+    assert max(counts) * len(counts) <= 2 * sum(counts)
+    assert few == [99] and none == []
