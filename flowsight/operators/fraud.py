@@ -194,7 +194,7 @@ def _dealt(rows: DataFrame) -> DataFrame:
     has few of them, however many cores there are. Runs a count by partition.
     """
     counts = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("part")).count().collect()]
-    tasks = min(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-sum(counts) // TRAIN_TASK_ROWS))
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, -(-sum(counts) // TRAIN_TASK_ROWS))
     if max(counts, default=0) * tasks <= 2 * sum(counts):
         return rows
     dealt = rows.repartition(tasks).persist()
